@@ -9,6 +9,7 @@ canonical JSON text; dates as ``yyyy-MM-dd`` text.
 from __future__ import annotations
 
 from collections.abc import Callable
+from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -142,7 +143,7 @@ def typed_values(spark, sf_dir):
         (F.col("event_id") * 1000000007).alias("t_long"),
         (F.col("user_id") * 400 % 65536).cast("int").alias("t_ushort"),
         (F.lit(4294967295) - F.col("event_id")).alias("t_uint"),
-        (F.lit(18446744073709551615).cast("decimal(20,0)") - F.col("event_id")).cast("decimal(20,0)").alias("t_ulong"),
+        (F.lit(Decimal("18446744073709551615")) - F.col("event_id")).cast("decimal(20,0)").alias("t_ulong"),
         ((F.col("event_id") % 64) + F.lit(0.5)).cast("float").alias("t_float"),
         F.col("value").alias("t_double"),
         F.concat(F.lit('say "hi"\n'), F.col("event_type"), F.lit(" ü€")).alias("t_string"),
@@ -286,7 +287,7 @@ def ordered_by_uuid(spark, sf_dir):
 
 def _event_stream(spark, sf_dir):
     ensure_utc(spark)
-    schema = X.read_table(spark, sf_dir, "events").schema
+    schema = X.read_table(spark, sf_dir, "events", spread=False).schema
     return (spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet")
             .options(**T.rate_options(max_files=1)).parquet(sf_dir))
 

@@ -19,8 +19,24 @@ OFFSET_STRIDE = 1024
 DURATION_SCALE = 100000
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+def widen(df: DataFrame) -> DataFrame:
+    """Spread a scan that yields fewer splits than the cluster has task slots.
+
+    A large table scans into many splits and is returned untouched (no exchange);
+    a small single-row-group file would otherwise run every per-row expression in
+    one task.  The round-robin exchange is sort-based, hence retry-deterministic.
+    """
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    try:
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no RDD view (e.g. Spark Connect): leave as is
+        return df
+    return df.repartition(slots) if splits < slots else df
+
+
+def read_table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> DataFrame:
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return widen(df) if spread else df
 
 
 def envelope_from_events(events: DataFrame) -> DataFrame:
