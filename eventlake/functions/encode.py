@@ -38,7 +38,7 @@ def event_json(timestamp_pattern: str = ISO_PATTERN) -> Column:
     """The whole event as one JSON document, the eight keys in envelope order.
 
     ``timestamp_pattern`` is the documented ``DateTimeFormatString`` option.  An
-    event whose envelope is entirely null renders as the JSON literal ``null``.
+    empty slot (all six scalar columns null) renders as the JSON literal ``null``.
     """
     ts_text = F.date_format(F.col("Timestamp"), timestamp_pattern)
     doc = F.struct(
@@ -47,7 +47,7 @@ def event_json(timestamp_pattern: str = ISO_PATTERN) -> Column:
         F.col("XEventSizeInBytes"), F.col("Actions"), F.col("Fields"),
     )
     all_null = None
-    for name in ENVELOPE_COLUMNS:
+    for name in ENVELOPE_COLUMNS[:6]:
         cond = F.col(name).isNull()
         all_null = cond if all_null is None else (all_null & cond)
     return F.when(all_null, F.lit("null")).otherwise(F.to_json(doc, {"ignoreNullFields": "false"}))

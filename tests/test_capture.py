@@ -1,0 +1,122 @@
+"""Capture specification (C1-C6) on the reference's own test workload: ten
+``sql_batch_completed`` events of 6-9 s, plus rows that must be dropped."""
+
+import json
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from eventlake.operators import capture as C
+from tests.helpers import env_rows, uuid_of
+
+ACTIONS = ("client_app_name", "client_hostname", "database_name", "query_hash", "username")
+SPECS = (
+    C.CaptureSpec(name="sp_statement_completed", actions=ACTIONS,
+                  attributes={"collect_statement": "1"}, predicate="[duration]>= 5000000",
+                  field_types={"duration": "bigint"}),
+    C.CaptureSpec(name="sql_batch_completed", actions=ACTIONS,
+                  attributes={"collect_batch_text": "1"}, predicate="[duration]>= 5000000",
+                  field_types={"duration": "bigint"}),
+)
+EXPECTED = re.compile(r"WAITFOR DELAY '0:00:(0?[6-9]|10)'")
+
+
+def _actions(i):
+    return json.dumps({"client_app_name": "tests", "client_hostname": f"h{i}", "database_name": "master",
+                       "query_hash": 1000 + i, "username": "sa", "session_id": i})
+
+
+def _workload(spark):
+    rows = []
+    for i in range(10):
+        n = 6 + i % 4
+        fields = {"batch_text": f"WAITFOR DELAY '0:00:0{n}'", "duration": n * 1_000_000 + 1234,
+                  "cpu_time": 10, "result": "OK"}
+        rows.append((uuid_of(i), "sql_batch_completed", f"2024-05-01T10:00:{i:02d}.000000+00:00",
+                     i * 100, i * 100 + 90, 90, _actions(i), json.dumps(fields)))
+    # below the threshold, one of each declared kind
+    rows.append((uuid_of(20), "sql_batch_completed", "2024-05-01T10:01:00.000000+00:00", 0, 1, 1,
+                 _actions(20), json.dumps({"batch_text": "SELECT 1", "duration": 4_999_999})))
+    rows.append((uuid_of(21), "sp_statement_completed", "2024-05-01T10:01:01.000000+00:00", 0, 1, 1,
+                 _actions(21), json.dumps({"statement": "SELECT 2", "duration": 12})))
+    # undeclared kind, slow
+    rows.append((uuid_of(22), "rpc_completed", "2024-05-01T10:01:02.000000+00:00", 0, 1, 1,
+                 _actions(22), json.dumps({"statement": "EXEC p", "duration": 9_000_000})))
+    # declared kind without the field: no match
+    rows.append((uuid_of(23), "sql_batch_completed", "2024-05-01T10:01:03.000000+00:00", 0, 1, 1,
+                 _actions(23), json.dumps({"batch_text": "WAITFOR DELAY '0:00:07'"})))
+    # empty slot
+    rows.append((None, "sql_batch_completed", "2024-05-01T10:01:04.000000+00:00", 0, 1, 1,
+                 _actions(24), json.dumps({"batch_text": "x", "duration": 8_000_000})))
+    return env_rows(spark, rows)
+
+
+def test_reference_workload_gives_exactly_ten_rows(spark):
+    out = C.capture(_workload(spark), SPECS)
+    rows = out.select(F.variant_get("Fields", "$.batch_text", "string").alias("t"),
+                      F.to_json("Actions").alias("a")).collect()
+    assert len(rows) == 10
+    assert all(EXPECTED.search(r.t) for r in rows)
+    # only the five declared actions survive; session_id is dropped
+    assert all(sorted(json.loads(r.a)) == sorted(ACTIONS) for r in rows)
+
+
+def test_capture_is_one_pass_without_exchange(spark):
+    out = C.capture(_workload(spark), SPECS)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Union" not in plan
+
+
+def test_select_events_and_predicate(spark):
+    env = _workload(spark)
+    assert C.select_events(env, ["rpc_completed"]).count() == 1
+    assert C.where(env, SPECS[1]).count() == 12  # 10 + rpc (9 s) + null slot (8 s)
+    blank = C.CaptureSpec(name="x", predicate="   ")
+    assert C.where(env, blank).count() == env.count()
+
+
+def test_predicate_with_string_literal_and_types(spark):
+    env = _workload(spark)
+    spec = C.CaptureSpec(name="sql_batch_completed",
+                         predicate="[batch_text] = 'WAITFOR DELAY ''0:00:06''' AND [duration] > 0",
+                         field_types={"duration": "bigint"})
+    assert C.where(env, spec).count() == 3
+
+
+def test_keep_actions_and_optional_fields(spark):
+    env = _workload(spark).limit(1)
+    a = C.keep_actions(env, ["query_hash", "username"]).select(F.to_json("Actions")).first()[0]
+    assert json.loads(a) == {"query_hash": 1000, "username": "sa"}
+    f = C.optional_fields(env, {"collect_batch_text": "0", "collect_result": "1"}) \
+        .select(F.to_json("Fields")).first()[0]
+    assert "batch_text" not in json.loads(f) and "result" in json.loads(f)
+    assert C.keep_actions(env, []).select(F.to_json("Actions")).first()[0] == "{}"
+
+
+def test_optional_field_off_per_definition(spark):
+    specs = (C.CaptureSpec(name="sql_batch_completed", attributes={"collect_batch_text": "0"}),)
+    out = C.capture(_workload(spark), specs)
+    texts = out.select(F.variant_get("Fields", "$.batch_text", "string")).collect()
+    assert all(r[0] is None for r in texts)
+    # actions=None keeps every context column
+    assert "session_id" in out.select(F.to_json("Actions")).first()[0]
+
+
+def test_null_values_survive_projection(spark):
+    env = env_rows(spark, [(uuid_of(1), "k", "2024-01-01T00:00:00.000000+00:00", 0, 0, 0,
+                            '{"a": null, "b": 1}', '{"x": null, "y": "z"}')])
+    out = C.capture(env, [C.CaptureSpec(name="k", actions=("a",))])
+    r = out.select(F.to_json("Actions"), F.to_json("Fields")).first()
+    assert r[0] == '{"a":null}' and r[1] == '{"x":null,"y":"z"}'
+
+
+def test_duplicate_definitions_rejected(spark):
+    with pytest.raises(ValueError):
+        C.capture(_workload(spark), [C.CaptureSpec(name="a"), C.CaptureSpec(name="a")])
+    with pytest.raises(ValueError):
+        C.capture(_workload(spark), [])
+
+
+def test_drop_null(spark):
+    assert C.drop_null(_workload(spark)).filter(F.col("UUID").isNull()).count() == 0
