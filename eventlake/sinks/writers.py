@@ -108,17 +108,26 @@ def dedup_key(df: DataFrame, keys: tuple[str, ...] = ("Timestamp", "UUID"),
     return df.dropDuplicates(list(keys))
 
 
-def reject_reason() -> Column:
-    """K7: first broken constraint of a row, NULL for a good row."""
-    return (F.when(F.col("UUID").isNull(), F.lit("UUID is null"))
+CORRUPT_COLUMN = "_corrupt_record"
+
+
+def reject_reason(columns: tuple[str, ...] = ()) -> Column:
+    """K7: first broken constraint of a row, NULL for a good row.  A payload that is
+    NULL after parsing was malformed text (parsing maps SQL/JSON null to ``{}``)."""
+    r = F.when(F.lit(False), F.lit(None).cast("string"))
+    if CORRUPT_COLUMN in columns:
+        r = r.when(F.col(CORRUPT_COLUMN).isNotNull(), F.lit("corrupt record"))
+    return (r.when(F.col("UUID").isNull(), F.lit("UUID is null"))
             .when(F.col("Name").isNull(), F.lit("Name is null"))
             .when(F.char_length("Name") > NAME_MAX_CHARS, F.lit(f"Name longer than {NAME_MAX_CHARS}"))
-            .when(F.col("Timestamp").isNull(), F.lit("Timestamp is null")))
+            .when(F.col("Timestamp").isNull(), F.lit("Timestamp is null or malformed"))
+            .when(F.col("Actions").isNull(), F.lit("Actions malformed"))
+            .when(F.col("Fields").isNull(), F.lit("Fields malformed")))
 
 
 def label_valid(df: DataFrame) -> DataFrame:
     """K7: every row with its ``reject_reason`` (one pass, no split yet)."""
-    return df.withColumn("reject_reason", reject_reason())
+    return df.withColumn("reject_reason", reject_reason(tuple(df.columns)))
 
 
 def split_valid(df: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -6,18 +6,23 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from eventlake.functions.encode import ISO_PATTERN, parse_payload, to_utc
 from eventlake.functions.envelope import ENVELOPE, ENVELOPE_TEXT
 
+CORRUPT_COLUMN = "_corrupt_record"
+
 
 def from_text(df: DataFrame, pattern: str = ISO_PATTERN) -> DataFrame:
     """Text-form envelope -> envelope: ISO timestamps to instants, JSON payloads to variants.
-    Malformed values become NULL and are caught by the constraint split (K7)."""
+    Malformed values become NULL and are caught by the constraint split (K7).  Columns
+    beyond the eight (e.g. ``_corrupt_record``) pass through."""
+    extra = [c for c in df.columns if c not in ENVELOPE_TEXT.fieldNames()]
     return df.select(
         "UUID", "Name", to_utc("Timestamp", pattern).alias("Timestamp"),
         "XEventStartOffsetInBytes", "XEventEndOffsetInBytes", "XEventSizeInBytes",
-        parse_payload("Actions").alias("Actions"), parse_payload("Fields").alias("Fields"))
+        parse_payload("Actions").alias("Actions"), parse_payload("Fields").alias("Fields"), *extra)
 
 
 def read_event_stream(spark: SparkSession, path: str, fmt: str = "parquet",
@@ -28,7 +33,10 @@ def read_event_stream(spark: SparkSession, path: str, fmt: str = "parquet",
     if fmt == "parquet":
         return reader.schema(ENVELOPE).parquet(path)
     if fmt == "json":
-        return from_text(reader.schema(ENVELOPE_TEXT).json(path))
+        # keep the raw text of unparseable lines for the dead letter
+        schema = T.StructType([*ENVELOPE_TEXT.fields, T.StructField(CORRUPT_COLUMN, T.StringType())])
+        return from_text(reader.schema(schema).option("columnNameOfCorruptRecord", CORRUPT_COLUMN)
+                         .json(path))
     raise ValueError(f"unsupported landing format {fmt!r}")
 
 
