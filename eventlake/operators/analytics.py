@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 
 from eventlake.functions.encode import row_bytes
 from eventlake.functions.envelope import field
+from eventlake.operators.quantiles import percentile_columns
+from eventlake.session import cut_lineage
 
 # Defaults of the documented use cases.
 SLOW_THRESHOLD_US = 5_000_000          # the sample predicate [duration] >= 5000000
@@ -136,22 +138,35 @@ def failure_bursts(env: DataFrame, min_failures: int = 3, every: str = "1 day",
 CAPACITY_PERCENTILES = (0.5, 0.95, 0.99)
 
 
-def capacity_daily(env: DataFrame, accuracy: int = PERCENTILE_ACCURACY) -> DataFrame:
+def capacity_daily(env: DataFrame, exact: bool = True,
+                   accuracy: int = PERCENTILE_ACCURACY) -> DataFrame:
     """Per UTC day and database: events, total duration, p50/p95/p99 duration and
-    encoded bytes.  Percentiles are nearest-rank (smallest value whose cumulative
-    share reaches p) from a mergeable bounded-memory sketch: exact while a group holds
-    fewer than ``accuracy`` rows, rank error below n/accuracy beyond that."""
-    d = F.col("duration")
-    pct = F.percentile_approx(d, list(CAPACITY_PERCENTILES), accuracy)
-    return (env.select(F.to_date("Timestamp").alias("day"),
-                       action("database_name").alias("database_name"),
-                       duration().alias("duration"),
-                       row_bytes("relational").alias("row_bytes"))
-            .groupBy("day", "database_name")
-            .agg(F.count(F.lit(1)).alias("n_events"),
-                 F.sum(d).alias("sum_duration"),
-                 pct.alias("_p"),
-                 F.sum("row_bytes").alias("total_bytes"))
-            .select("day", "database_name", "n_events", "sum_duration",
-                    F.col("_p")[0].alias("p50_duration"), F.col("_p")[1].alias("p95_duration"),
-                    F.col("_p")[2].alias("p99_duration"), "total_bytes"))
+    encoded bytes.  Percentiles are nearest-rank (the smallest value whose cumulative
+    share reaches p).  ``exact=True`` uses the radix selection of
+    :mod:`eventlake.operators.quantiles` (no group is gathered in one task);
+    ``exact=False`` uses the mergeable sketch, exact below ``accuracy`` rows per group."""
+    base = env.select(F.to_date("Timestamp").alias("day"),
+                      action("database_name").alias("database_name"),
+                      duration().alias("duration"),
+                      row_bytes("relational").alias("row_bytes"))
+    keys = ["day", "database_name"]
+    names = ["p50_duration", "p95_duration", "p99_duration"]
+    if not exact:
+        d = F.col("duration")
+        pct = F.percentile_approx(d, list(CAPACITY_PERCENTILES), accuracy)
+        return (base.groupBy(*keys)
+                .agg(F.count(F.lit(1)).alias("n_events"), F.sum(d).alias("sum_duration"),
+                     pct.alias("_p"), F.sum("row_bytes").alias("total_bytes"))
+                .select(*keys, "n_events", "sum_duration",
+                        *[F.col("_p")[i].alias(n) for i, n in enumerate(names)], "total_bytes"))
+    # one scan: counts by (group, duration) feed both the sums and the exact percentiles
+    pre = cut_lineage(base.groupBy(*keys, "duration")
+                      .agg(F.count(F.lit(1)).alias("c"), F.sum("row_bytes").alias("b")), "capacity")
+    sums = pre.groupBy(*keys).agg(F.sum("c").alias("n_events"),
+                                  F.sum(F.col("duration") * F.col("c")).alias("sum_duration"),
+                                  F.sum("b").alias("total_bytes"))
+    pct = percentile_columns(pre, keys, "duration", CAPACITY_PERCENTILES, names,
+                             weight_col="c", materialize=False)
+    # both sides are per-group aggregates (one row per day x database)
+    out = sums.join(pct, on=[sums[k].eqNullSafe(pct[k]) for k in keys], how="left")
+    return out.select(*[sums[k] for k in keys], "n_events", "sum_duration", *names, "total_bytes")

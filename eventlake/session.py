@@ -67,3 +67,14 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh, never reused folder under the shared checkpoint root."""
     return f"{checkpoint_root(spark)}/eventlake-scratch/{label}-{uuid.uuid4().hex}"
+
+
+def cut_lineage(df, label: str = "stage"):
+    """Materialise a frame as Parquet in the shared checkpoint folder and read it back.
+
+    Columnar, compressed and readable by any executor after a loss; cheaper than an RDD
+    ``checkpoint()`` (which Java-serialises rows).  Used where a frame is re-read by
+    several later passes."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
