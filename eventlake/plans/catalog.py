@@ -317,6 +317,36 @@ def stream_dedup(spark, sf_dir):
     return back.select("UUID", _us().alias("Timestamp_us"), F.to_json("Fields").alias("Fields"))
 
 
+def _stream_agg(spark, sf_dir, build, keys, label):
+    """Streaming A2/A3/A8: an update-mode aggregate drained with availableNow, then the
+    latest version of every group read back (equals the batch result)."""
+    env = X.envelope_from_events(_event_stream(spark, sf_dir)).withWatermark("Timestamp", "1 hour")
+    agg = build(env)
+    flat = agg.select(F.col("window.start").alias("window_start"),
+                      *[c for c in agg.columns if c != "window"])
+    root, ckpt = scratch_path(spark, label), scratch_path(spark, "ckpt")
+    T.drain(T.run_aggregate(flat, root, ckpt))
+    out = T.latest_versions(spark, root, ["window_start", *keys])
+    return out.select(F.unix_micros("window_start").alias("window_start_us"),
+                      *[c for c in out.columns if c != "window_start"])
+
+
+def hourly_stats_stream(spark, sf_dir):
+    """A2 on a stream."""
+    return _stream_agg(spark, sf_dir, A.windowed_stats, ["Name"], "hourly-stream")
+
+
+def alert_windows_stream(spark, sf_dir):
+    """A3 on a stream."""
+    return _stream_agg(spark, sf_dir, lambda e: A.alerts(e, min_slow=3), ["Name"], "alerts-stream")
+
+
+def failure_bursts_stream(spark, sf_dir):
+    """A8 on a stream."""
+    return _stream_agg(spark, sf_dir, lambda e: A.failure_bursts(e, min_failures=3, every="1 day"),
+                       ["username"], "bursts-stream")
+
+
 # --- verification --------------------------------------------------------------------------------
 
 def distinct_events(spark, sf_dir):
@@ -434,6 +464,9 @@ QUERIES: dict[str, Query] = {
     "ordered_by_uuid": ordered_by_uuid,
     "stream_ingest": stream_ingest,
     "stream_dedup": stream_dedup,
+    "hourly_stats_stream": hourly_stats_stream,
+    "alert_windows_stream": alert_windows_stream,
+    "failure_bursts_stream": failure_bursts_stream,
     "distinct_events": distinct_events,
     "event_hash": event_hash,
     "count_events": count_events,

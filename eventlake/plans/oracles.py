@@ -191,6 +191,10 @@ BODIES: dict[str, str] = {
         FROM r GROUP BY day, database_name""",
 }
 
+BODIES["hourly_stats_stream"] = BODIES["hourly_stats"]
+BODIES["alert_windows_stream"] = BODIES["alert_windows"]
+BODIES["failure_bursts_stream"] = BODIES["failure_bursts"]
+
 # bodies that add CTEs of their own continue the WITH list
 _CONTINUES = {"query_hash_regression", "capacity_daily"}
 

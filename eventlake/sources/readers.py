@@ -73,5 +73,13 @@ def read_jdbc(spark: SparkSession, url: str, table: str, partition_column: str |
 
 
 def read_ordered(spark: SparkSession, path: str, key: str = "UUID") -> DataFrame:
-    """A stored table in key order (range-partitioned global sort)."""
-    return spark.read.parquet(path).orderBy(key)
+    """A stored table in key order (range-partitioned global sort).
+
+    Ties are broken by each row's file and row index, so the range partitioner can
+    split a key that holds a third of all rows over many tasks, and the order is the
+    same on every run (a retried task sees the same boundaries)."""
+    df = spark.read.parquet(path)
+    cols = df.columns
+    tagged = df.select("*", F.col("_metadata.file_path").alias("_file"),
+                       F.col("_metadata.row_index").alias("_row"))
+    return tagged.orderBy(key, "_file", "_row").select(*cols)
