@@ -57,8 +57,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     sc = spark.sparkContext
     root = sc.getCheckpointDir() or spark.conf.get(_CHECKPOINT_CONF, None)
     if not root:
+        # no shared folder configured (tests, a laptop): a local one, this process only
         root = tempfile.mkdtemp(prefix="eventlake-ckpt-")
-        spark.conf.set(_CHECKPOINT_CONF, root)
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(root)
     return root.rstrip("/")
