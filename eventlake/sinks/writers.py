@@ -97,15 +97,25 @@ def day_partition(ts: str | Column = "Timestamp", table: str = DEFAULT_TABLE) ->
 
 
 def dedup_key(df: DataFrame, keys: tuple[str, ...] = ("Timestamp", "UUID"),
-              watermark: str | None = None) -> DataFrame:
-    """K6: one row per key.  Batch: ``dropDuplicates`` (map-side partial, so a key with a
-    third of all rows is collapsed before the shuffle).  Streaming: the same within the
-    watermark, so state is bounded."""
+              watermark: str | None = None,
+              prefer: str = "XEventStartOffsetInBytes") -> DataFrame:
+    """K6: one row per key.
+
+    Batch: per key the row with the smallest ``prefer`` value (the earliest delivery,
+    as a primary key keeps the first insert), chosen by ``min_by``.  That is
+    deterministic, so a retried task keeps the same row, and it is a partial aggregate:
+    a key holding a third of all rows reaches the shuffle as one row per map task.
+    Streaming: the first arrival within the watermark, so state stays bounded."""
     if df.isStreaming:
         if watermark is not None:
             df = df.withWatermark("Timestamp", watermark)
         return df.dropDuplicatesWithinWatermark(list(keys))
-    return df.dropDuplicates(list(keys))
+    others = [c for c in df.columns if c not in keys]
+    if prefer not in df.columns or not others:
+        return df.dropDuplicates(list(keys))
+    picked = (df.groupBy(*keys)
+              .agg(F.min_by(F.struct(*others), F.col(prefer)).alias("_row")))
+    return picked.select(*[F.col(c) if c in keys else F.col(f"_row.{c}") for c in df.columns])
 
 
 CORRUPT_COLUMN = "_corrupt_record"

@@ -156,3 +156,14 @@ def test_jdbc_frame_has_text_payloads(spark):
     env = env_rows(spark, [(uuid_of(1), "k", "2024-01-01T00:00:00.000000+00:00", 0, 0, 0, '{"a":1}', '{}')])
     types = dict(K.jdbc_frame(env).dtypes)
     assert types["Actions"] == "string" and types["Fields"] == "string"
+
+
+def test_dedup_key_keeps_earliest_delivery(spark):
+    env = env_rows(spark, [
+        (uuid_of(1), "k", "2024-01-01T00:00:00.000000+00:00", 200, 1, 1, '{"v":2}', "{}"),
+        (uuid_of(1), "k", "2024-01-01T00:00:00.000000+00:00", 100, 1, 1, '{"v":1}', "{}"),
+        (uuid_of(1), "k", "2024-01-01T00:00:01.000000+00:00", 300, 1, 1, '{"v":3}', "{}"),
+    ])
+    out = K.dedup_key(env).orderBy("Timestamp").select(F.to_json("Actions")).collect()
+    assert [r[0] for r in out] == ['{"v":1}', '{"v":3}']
+    assert K.dedup_key(env).columns == env.columns
