@@ -20,6 +20,22 @@ from pyspark.sql import SparkSession
 
 _CHECKPOINT_CONF = "spark.checkpoint.dir"
 
+# Settings for a large cluster (~100 TB of events, ~1000 executors).  Shuffle partitions
+# start high and AQE coalesces them to the advisory size; skewed shuffle partitions are
+# split; scans read 256 MB splits; Parquet timestamps are written as microseconds.
+CLUSTER_CONF = {
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.shuffle.partitions": "8000",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
+    "spark.sql.variant.writeShredding.enabled": "true",
+    "spark.sql.variant.pushVariantIntoScan": "true",
+}
+
 
 def build_session(master: str | None = None, app_name: str = "eventlake",
                   shuffle_partitions: int | None = None) -> SparkSession:

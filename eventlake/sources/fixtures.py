@@ -73,8 +73,6 @@ def envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
     return envelope_from_events(read_table(spark, sf_dir, "events"))
 
 
-
-
 def source_id() -> Column:
     """The ``event_id`` an envelope row came from (its start offset / stride)."""
     return F.expr(f"XEventStartOffsetInBytes div {OFFSET_STRIDE}")
