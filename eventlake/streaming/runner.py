@@ -61,14 +61,40 @@ def idempotent_batch(root: str, write: BatchWriter = parquet_daily):
     return run
 
 
-def with_dead_letter(good_root: str, dead_root: str, write_good: BatchWriter = parquet_daily):
+def dedup_against_target(batch: DataFrame, good_root: str, batch_id: int,
+                         keys: tuple[str, ...] = ("Timestamp", "UUID")) -> DataFrame:
+    """T6, late rows kept: drop the batch's rows whose key is already stored.
+
+    Instead of a watermark (which drops late rows), each micro-batch is deduplicated
+    within itself and then anti-joined with the stored keys of the UTC days it touches
+    (a semi-join on the partition column, so only those day partitions are read).  The
+    batch's own earlier output is excluded, so a replay of batch N does not find itself."""
+    fresh = dedup_key(batch, keys)
+    spark = batch.sparkSession
+    try:
+        stored = spark.read.parquet(good_root)
+    except Exception:  # noqa: BLE001 - nothing stored yet
+        return fresh
+    if "event_date" not in stored.columns or "batch_id" not in stored.columns:
+        return fresh
+    days = fresh.select(F.to_date("Timestamp").alias("event_date")).distinct()
+    seen = (stored.filter(F.col("batch_id") != batch_id)
+            .join(days, "event_date", "left_semi").select(*keys))
+    return fresh.join(seen, list(keys), "left_anti")
+
+
+def with_dead_letter(good_root: str, dead_root: str, write_good: BatchWriter = parquet_daily,
+                     keep_late: bool = False):
     """Split each micro-batch by the row constraints; good rows to the sink, broken
     rows with their reason to the dead letter.  Both writes are keyed by batch id.
-    The batch is labelled once and persisted so the two writes share one computation."""
+    The batch is labelled once and persisted so the two writes share one computation.
+    ``keep_late`` deduplicates good rows against the stored target (late rows kept)."""
     def run(batch: DataFrame, batch_id: int) -> None:
         labelled = label_valid(batch).persist()
         try:
             good = labelled.filter(F.col("reject_reason").isNull()).drop("reject_reason")
+            if keep_late:
+                good = dedup_against_target(good, good_root, batch_id)
             dead = labelled.filter(F.col("reject_reason").isNotNull())
             write_good(good, f"{good_root}/batch_id={batch_id}")
             to_text = dead.select(*[F.to_json(c).alias(c) if c in ("Actions", "Fields") else F.col(c)
@@ -81,9 +107,17 @@ def with_dead_letter(good_root: str, dead_root: str, write_good: BatchWriter = p
 
 def run(source: DataFrame, specs: Sequence[CaptureSpec] | None, good_root: str, dead_root: str,
         checkpoint: str, watermark: str | None = DEFAULT_WATERMARK, available_now: bool = True,
-        processing_time: str | None = None, write_good: BatchWriter = parquet_daily) -> StreamingQuery:
+        processing_time: str | None = None, write_good: BatchWriter = parquet_daily,
+        keep_late: bool = False) -> StreamingQuery:
     """The continuous pipeline.  ``available_now`` drains what is there and stops
-    (T4); otherwise it runs on ``processing_time`` triggers until stopped."""
+    (T4); otherwise it runs on ``processing_time`` triggers until stopped.
+
+    Deduplication: with ``watermark`` set, replays within the watermark are dropped in
+    the stream's state and late rows are dropped; with ``keep_late=True`` (and no
+    watermark) every batch is deduplicated against the stored target instead, so late
+    rows are kept."""
+    if keep_late and watermark is not None:
+        raise ValueError("keep_late deduplicates against the target; pass watermark=None")
     df = capture(source, specs) if specs else source
     if watermark is not None:
         # rows without a UUID are dead letters; keep each of them (offset tells them apart)
@@ -91,7 +125,7 @@ def run(source: DataFrame, specs: Sequence[CaptureSpec] | None, good_root: str,
                                                  F.col("XEventStartOffsetInBytes").cast("string")))
         df = dedup_stream(df.withColumn("_dedup_key", key), watermark,
                           keys=("Timestamp", "_dedup_key")).drop("_dedup_key")
-    w = (df.writeStream.foreachBatch(with_dead_letter(good_root, dead_root, write_good))
+    w = (df.writeStream.foreachBatch(with_dead_letter(good_root, dead_root, write_good, keep_late))
          .option("checkpointLocation", checkpoint))
     if available_now:
         w = w.trigger(availableNow=True)

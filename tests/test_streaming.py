@@ -165,3 +165,33 @@ def test_update_log_across_batches_equals_batch(spark, tmp_dir):
     want = sorted(tuple(r) for r in batch.select(F.col("window.start").alias("ws"), "Name", "n_events",
                                                  "sum_duration", "max_duration").collect())
     assert got == want
+
+
+def test_keep_late_dedups_against_target(spark, tmp_dir):
+    """Late rows are kept and replays dropped when batches dedup against the stored target."""
+    landing = f"{tmp_dir}/landing"
+    ev = _events(spark)
+    days = [r[0] for r in ev.select(F.to_date("ts")).distinct().orderBy(1).collect()]
+    cut = days[15]
+    _land_parquet(X.envelope_from_events(ev.filter(F.to_date("ts") >= cut)), landing, "a1")
+    src = S.read_event_stream(spark, landing, options={"pathGlobFilter": "*.parquet", "maxFilesPerTrigger": "1"})
+    args = (src, None, f"{tmp_dir}/good", f"{tmp_dir}/dead", f"{tmp_dir}/ckpt")
+    T.drain(T.run(*args, watermark=None, keep_late=True))
+    n_new = ev.filter(F.to_date("ts") >= cut).count()
+    assert _good(spark, f"{tmp_dir}/good").count() == n_new
+    # late: the older half, plus a replay of 50 rows already stored
+    old = ev.filter(F.to_date("ts") < cut)
+    replay = ev.filter(F.to_date("ts") >= cut).orderBy("event_id").limit(50)
+    _land_parquet(X.envelope_from_events(old.unionByName(replay)), landing, "b1")
+    T.drain(T.run(*args, watermark=None, keep_late=True))
+    good = _good(spark, f"{tmp_dir}/good")
+    assert good.count() == 1000
+    assert good.select("UUID").distinct().count() == 1000
+    # replaying a stored batch id rewrites the same rows, it does not drop them
+    fn = T.with_dead_letter(f"{tmp_dir}/good", f"{tmp_dir}/dead", keep_late=True)
+    last = spark.read.parquet(f"{tmp_dir}/good").agg(F.max("batch_id")).first()[0]
+    spark.read.parquet(f"{tmp_dir}/good/batch_id={last}").drop("event_date") \
+        .write.parquet(f"{tmp_dir}/replay")
+    again = spark.read.parquet(f"{tmp_dir}/replay")
+    fn(again, last)
+    assert _good(spark, f"{tmp_dir}/good").count() == 1000
