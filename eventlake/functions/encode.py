@@ -113,7 +113,7 @@ def to_utc(text: str | Column, pattern: str = ISO_PATTERN) -> Column:
 def uuid_text(u: str | Column) -> Column:
     """Canonical lower-case 8-4-4-4-12 text from dashed, braced, bare or upper-case input."""
     bare = F.lower(F.regexp_replace(_c(u), r"[{}()\-\s]", ""))
-    return F.when(F.length(bare) == 32,
+    return F.when(bare.rlike("^[0-9a-f]{32}$"),
                   F.regexp_replace(bare, UUID_GROUPS, "$1-$2-$3-$4-$5"))
 
 
@@ -152,7 +152,7 @@ def parse_payload(text: str | Column) -> Column:
     t = _c(text)
     parsed = F.try_parse_json(t)
     empty = F.parse_json(F.lit("{}"))
-    is_object = F.ltrim(t).startswith("{")
+    is_object = t.rlike(r"^\s*\{")
     return (F.when(t.isNull(), empty)
             .when(parsed.isNull(), F.lit(None).cast("variant"))
             .when(F.is_variant_null(parsed), empty)

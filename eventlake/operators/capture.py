@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from eventlake.functions.envelope import ENVELOPE_COLUMNS, field_sql
 
 _PLACEHOLDER = re.compile(r"\[([A-Za-z_][A-Za-z0-9_]*)\]")
+_QUOTED = re.compile(r"('(?:[^'\\]|''|\\.)*')")
 _ATTR_PREFIX = "collect_"
 
 
@@ -38,9 +39,11 @@ class CaptureSpec:
         """``[x]`` placeholders become typed payload reads; blank means no filter."""
         if self.predicate is None or not self.predicate.strip():
             return None
-        text = _PLACEHOLDER.sub(
-            lambda m: field_sql("Fields", m.group(1), self.field_types.get(m.group(1), "string")),
-            self.predicate)
+        def typed(m: re.Match) -> str:
+            return field_sql("Fields", m.group(1), self.field_types.get(m.group(1), "string"))
+        # substitute outside string literals only ('[a]' inside quotes is text)
+        parts = _QUOTED.split(self.predicate)
+        text = "".join(p if i % 2 else _PLACEHOLDER.sub(typed, p) for i, p in enumerate(parts))
         return F.expr(text)
 
     def dropped_fields(self) -> list[str]:

@@ -120,3 +120,11 @@ def test_duplicate_definitions_rejected(spark):
 
 def test_drop_null(spark):
     assert C.drop_null(_workload(spark)).filter(F.col("UUID").isNull()).count() == 0
+
+
+def test_placeholder_inside_string_literal_is_text(spark):
+    env = env_rows(spark, [(uuid_of(1), "k", "2024-01-01T00:00:00.000000+00:00", 0, 0, 0, "{}",
+                            '{"t": "a [duration] b", "duration": 7}')])
+    spec = C.CaptureSpec(name="k", predicate="[t] = 'a [duration] b' AND [duration] = 7",
+                         field_types={"duration": "bigint"})
+    assert C.where(env, spec).count() == 1

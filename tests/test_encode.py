@@ -83,9 +83,10 @@ def test_to_utc(spark):
 
 def test_uuid_forms(spark):
     u = "9f0b6b1e-3c1a-4c55-9a43-0e6f8b5b2d10"
-    df = spark.createDataFrame([("{" + u.upper() + "}",), (u.replace("-", ""),), (u,), ("xyz",)], "u string")
+    df = spark.createDataFrame([("{" + u.upper() + "}",), (u.replace("-", ""),), (u,), ("xyz",),
+                                ("z" * 32,)], "u string")
     out = [r[0] for r in df.select(E.uuid_text("u")).collect()]
-    assert out == [u, u, u, None]
+    assert out == [u, u, u, None, None]
     hexed = df.select(F.hex(E.uuid_bytes("u"))).first()[0]
     assert hexed == u.replace("-", "").upper()
 
@@ -107,10 +108,10 @@ def test_base64(spark):
 
 def test_parse_payload(spark):
     df = spark.createDataFrame([('{"b":1,"a":[1,2]}',), ("null",), (None,), ("not json",),
-                                ('{"a":1,"a":2}',), ("[1,2]",), ("  {}",)], "t string")
+                                ('{"a":1,"a":2}',), ("[1,2]",), ("  {}",), ("\n\t{\"x\": 1}",)], "t string")
     out = df.select(F.to_json(E.parse_payload("t")).alias("j"), E.payload_error("t").alias("e")).collect()
-    assert [r.j for r in out] == ['{"a":[1,2],"b":1}', "{}", "{}", None, None, None, "{}"]
-    assert [r.e for r in out] == [False, False, False, True, True, True, False]
+    assert [r.j for r in out] == ['{"a":[1,2],"b":1}', "{}", "{}", None, None, None, "{}", '{"x":1}']
+    assert [r.e for r in out] == [False, False, False, True, True, True, False, False]
 
 
 def test_event_json_order_and_null_event(spark):
