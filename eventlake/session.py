@@ -70,12 +70,15 @@ def ensure_utc(spark: SparkSession) -> None:
 
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared checkpoint folder of the cluster; a local one only when none is configured."""
-    sc = spark.sparkContext
-    root = sc.getCheckpointDir() or spark.conf.get(_CHECKPOINT_CONF, None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - no classic context (Spark Connect): config only
+        sc = None
+    root = (sc.getCheckpointDir() if sc is not None else None) or spark.conf.get(_CHECKPOINT_CONF, None)
     if not root:
         # no shared folder configured (tests, a laptop): a local one, this process only
         root = tempfile.mkdtemp(prefix="eventlake-ckpt-")
-    if not sc.getCheckpointDir():
+    if sc is not None and not sc.getCheckpointDir():
         sc.setCheckpointDir(root)
     return root.rstrip("/")
 
