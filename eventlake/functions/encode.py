@@ -127,12 +127,20 @@ def utf8_len(s: str | Column) -> Column:
     return F.octet_length(_c(s))
 
 
+def variable_bytes(name: str | Column = "Name", actions: str | Column = "Actions",
+                   fields: str | Column = "Fields") -> Column:
+    """E11, the part that varies per event: name + both payloads as UTF-8 JSON bytes."""
+    return (F.octet_length(_c(name)).cast("bigint") + F.octet_length(payload_json(actions))
+            + F.octet_length(payload_json(fields)))
+
+
 def row_bytes(layout: str = "relational", name: str | Column = "Name",
-              actions: str | Column = "Actions", fields: str | Column = "Fields") -> Column:
-    """Encoded size of one event: constant part + name + both payloads as JSON bytes."""
-    overhead = ROW_OVERHEAD_BYTES[layout]
-    return (F.lit(overhead).cast("bigint") + F.octet_length(_c(name))
-            + F.octet_length(payload_json(actions)) + F.octet_length(payload_json(fields)))
+              actions: str | Column = "Actions", fields: str | Column = "Fields",
+              variable: Column | None = None) -> Column:
+    """Encoded size of one event: the layout's constant part + :func:`variable_bytes`
+    (pass ``variable`` when it is already computed for another layout)."""
+    v = variable if variable is not None else variable_bytes(name, actions, fields)
+    return F.lit(ROW_OVERHEAD_BYTES[layout]).cast("bigint") + v
 
 
 def b64(b: str | Column) -> Column:

@@ -194,10 +194,11 @@ def uuid_canonical(spark, sf_dir):
 def encoded_bytes(spark, sf_dir):
     """E10 + E11: encoded volume per event kind and hour."""
     env = _env(spark, sf_dir)
-    return (env.select("Name", F.date_trunc("hour", "Timestamp").alias("hour"),
-                       E.utf8_len("Name").alias("name_bytes"),
-                       E.row_bytes("relational").alias("rel_bytes"),
-                       E.row_bytes("sorted").alias("sorted_bytes"))
+    sized = env.select("Name", F.date_trunc("hour", "Timestamp").alias("hour"),
+                       E.utf8_len("Name").alias("name_bytes"), E.variable_bytes().alias("var_bytes"))
+    return (sized.select("Name", "hour", "name_bytes",
+                         E.row_bytes("relational", variable=F.col("var_bytes")).alias("rel_bytes"),
+                         E.row_bytes("sorted", variable=F.col("var_bytes")).alias("sorted_bytes"))
             .groupBy("Name", "hour")
             .agg(F.count(F.lit(1)).alias("n_events"), F.sum("name_bytes").alias("name_bytes"),
                  F.sum("rel_bytes").alias("relational_bytes"), F.sum("sorted_bytes").alias("sorted_bytes"))
