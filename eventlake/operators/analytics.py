@@ -160,13 +160,14 @@ def capacity_daily(env: DataFrame, exact: bool = True,
                 .select(*keys, "n_events", "sum_duration",
                         *[F.col("_p")[i].alias(n) for i, n in enumerate(names)], "total_bytes"))
     # one scan: counts by (group, duration) feed both the sums and the exact percentiles
-    pre = cut_lineage(base.groupBy(*keys, "duration")
-                      .agg(F.count(F.lit(1)).alias("c"), F.sum("row_bytes").alias("b")), "capacity")
+    pre, seen = cut_lineage(base.groupBy(*keys, "duration")
+                            .agg(F.count(F.lit(1)).alias("c"), F.sum("row_bytes").alias("b")),
+                            "capacity", metrics={"lo": F.min("duration"), "hi": F.max("duration")})
     sums = pre.groupBy(*keys).agg(F.sum("c").alias("n_events"),
                                   F.sum(F.col("duration") * F.col("c")).alias("sum_duration"),
                                   F.sum("b").alias("total_bytes"))
     pct = percentile_columns(pre, keys, "duration", CAPACITY_PERCENTILES, names,
-                             weight_col="c", materialize=False)
+                             weight_col="c", materialize=False, bounds=(seen["lo"], seen["hi"]))
     # both sides are per-group aggregates (one row per day x database)
     out = sums.join(pct, on=[sums[k].eqNullSafe(pct[k]) for k in keys], how="left")
     return out.select(*[sums[k] for k in keys], "n_events", "sum_duration", *names, "total_bytes")

@@ -11,7 +11,8 @@ found by radix selection on the bits of an order-preserving 64-bit key:
    prefix, histogram the next ``digit_bits`` bits per (group, p) and pick the digit
    where the running count reaches the remaining rank.  A histogram has at most
    2^digit_bits rows per target, so its window is bounded whatever the group size.
-3. Leading bits that every value shares are skipped (one small aggregate finds them).
+3. Leading bits that every value shares are skipped; the value range is observed
+   during the write of step 1 (no extra job).
 
 Every pass is a join of the counts with the (groups x percentiles) target table,
 which AQE broadcasts when it is small and otherwise shuffles with skew splitting.
@@ -33,17 +34,19 @@ DIGIT_BITS = 16
 
 def exact_percentiles(df: DataFrame, group_cols: Sequence[str], value_col: str,
                       percentiles: Sequence[float], weight_col: str | None = None,
-                      digit_bits: int = DIGIT_BITS, materialize: bool = True) -> DataFrame:
+                      digit_bits: int = DIGIT_BITS, materialize: bool = True,
+                      bounds: tuple[int | None, int | None] | None = None) -> DataFrame:
     """Rows ``(group..., percentile, value)``: exact nearest-rank percentiles of an
     integral column per group (NULL values ignored; groups with none are absent).
-    ``weight_col`` gives a multiplicity per row (input already counted by value)."""
+    ``weight_col`` gives a multiplicity per row (input already counted by value).
+    ``bounds`` = (min, max) of the values, when the caller already knows them."""
     if 64 % digit_bits:
         raise ValueError("digit_bits must divide 64")
     g = list(group_cols)
     spark = df.sparkSession
     if not g:                       # one global group: a constant key keeps every join an equi-join
         out = exact_percentiles(df.withColumn("_all", F.lit(0)), ["_all"], value_col, percentiles,
-                                weight_col, digit_bits, materialize)
+                                weight_col, digit_bits, materialize, bounds)
         return out.drop("_all")
     w = F.lit(1).cast("bigint") if weight_col is None else F.col(weight_col).cast("bigint")
     counts = (df.select(*g, F.col(value_col).cast("bigint").alias("_v"), w.alias("_w"))
@@ -51,16 +54,23 @@ def exact_percentiles(df: DataFrame, group_cols: Sequence[str], value_col: str,
               .groupBy(*g, "_v").agg(F.sum("_w").alias("_c"))
               .select(*g, F.col("_v").bitwiseXOR(F.lit(SIGN_BIT)).alias("_u"), "_c"))
     if materialize:
-        counts = cut_lineage(counts, "value-counts")
+        # the value range is observed while the counts are written: no extra job
+        counts, observed = cut_lineage(counts, "value-counts", metrics={
+            "lo": F.min(F.col("_u").bitwiseXOR(F.lit(SIGN_BIT))),
+            "hi": F.max(F.col("_u").bitwiseXOR(F.lit(SIGN_BIT)))})
+        bounds = (observed["lo"], observed["hi"])
+    elif bounds is None:
+        b = counts.agg(F.min(F.col("_u").bitwiseXOR(F.lit(SIGN_BIT))).alias("lo"),
+                       F.max(F.col("_u").bitwiseXOR(F.lit(SIGN_BIT))).alias("hi")).first()
+        bounds = (b.lo, b.hi)
 
     # leading bits shared by every value: skip the passes that would only confirm them
-    bounds = counts.agg(F.min(F.col("_u").bitwiseXOR(F.lit(SIGN_BIT))).alias("lo"),
-                        F.max(F.col("_u").bitwiseXOR(F.lit(SIGN_BIT))).alias("hi")).first()
-    if bounds.lo is None:
+    lo, hi = bounds
+    if lo is None:
         schema = ", ".join([f"`{c}` {t}" for c, t in counts.select(*g).dtypes]
                            + ["percentile double", "value bigint"])
         return spark.createDataFrame([], schema)
-    ulo, uhi = bounds.lo ^ SIGN_BIT, bounds.hi ^ SIGN_BIT          # as unsigned python ints
+    ulo, uhi = lo ^ SIGN_BIT, hi ^ SIGN_BIT                        # as unsigned python ints
     ulo &= (1 << 64) - 1
     uhi &= (1 << 64) - 1
     shared = 64 - (ulo ^ uhi).bit_length()

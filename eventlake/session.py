@@ -88,12 +88,20 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{checkpoint_root(spark)}/eventlake-scratch/{label}-{uuid.uuid4().hex}"
 
 
-def cut_lineage(df, label: str = "stage"):
+def cut_lineage(df, label: str = "stage", metrics: dict | None = None):
     """Materialise a frame as Parquet in the shared checkpoint folder and read it back.
 
     Columnar, compressed and readable by any executor after a loss; cheaper than an RDD
     ``checkpoint()`` (which Java-serialises rows).  Used where a frame is re-read by
-    several later passes."""
+    several later passes.  ``metrics`` (name -> aggregate Column) are observed during the
+    same write, with no extra job; their values are returned as a second result."""
+    from pyspark.sql import Observation
+
     path = scratch_path(df.sparkSession, label)
+    obs = None
+    if metrics:
+        obs = Observation(f"{label}-metrics")
+        df = df.observe(obs, *[c.alias(n) for n, c in metrics.items()])
     df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    back = df.sparkSession.read.parquet(path)
+    return (back, obs.get) if metrics else back
