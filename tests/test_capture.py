@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from eventlake.operators import capture as C
 from tests.helpers import env_rows, uuid_of
 
+# The reference workload's capture definitions and its acceptance pattern.
 ACTIONS = ("client_app_name", "client_hostname", "database_name", "query_hash", "username")
 SPECS = (
     C.CaptureSpec(name="sp_statement_completed", actions=ACTIONS,
