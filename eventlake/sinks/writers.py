@@ -178,6 +178,7 @@ def write_daily(df: DataFrame, path: str, compression: str | None = None,
 
 def ensure_table(spark: SparkSession, table: str, path: str, layout: str = "daily") -> None:
     """K4: idempotent DDL for the sink table (no-op when it exists)."""
+    path = path.replace("\\", "\\\\").replace("'", "\\'")
     cols = ("UUID STRING, Name STRING, Timestamp TIMESTAMP, XEventStartOffsetInBytes BIGINT, "
             "XEventEndOffsetInBytes BIGINT, XEventSizeInBytes BIGINT, Actions VARIANT, Fields VARIANT")
     if layout == "daily":

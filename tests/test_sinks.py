@@ -181,3 +181,16 @@ def test_stored_payload_reads_are_columnar(spark, tmp_dir):
     assert "ReadSchema: struct<Actions:struct<0:bigint>,Fields:struct<0:bigint>>" in plan
     want = sorted(tuple(r) for r in A.query_hash_stats(_env(spark)).collect())
     assert sorted(tuple(r) for r in q.collect()) == want
+
+
+def test_dedup_hot_key_third_of_rows(spark):
+    """A group of copies holding a third of all rows collapses to one row, and the
+    aggregate is partial before the exchange (copies are combined map-side)."""
+    ev = X.read_table(spark, SF001, "events")
+    copies = ev.filter("event_id = 0").withColumn("_i", F.explode(F.sequence(F.lit(1), F.lit(500)))).drop("_i")
+    many = X.envelope_from_events(ev.unionByName(copies))
+    assert many.count() == 1500
+    out = K.dedup_key(many)
+    assert out.count() == 1000
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "partial_min_by" in plan
