@@ -142,3 +142,34 @@ def capture(df: DataFrame, specs: Sequence[CaptureSpec]) -> DataFrame:
                   else fields.when(F.col("Name") == s.name, f))
     cols = [c for c in ENVELOPE_COLUMNS if c not in ("Actions", "Fields")]
     return kept.select(*cols, actions.alias("Actions"), fields.alias("Fields"))
+
+
+# Keys of the documented event-definition configuration.
+CONFIG_KEYS = {"package": "Package", "name": "Name", "actions": "Actions",
+               "attributes": "CustomizableAttributes", "predicate": "PredicateExpression"}
+DEFAULT_FIELD_TYPES = {"duration": "bigint"}
+
+
+def specs_from_config(events: Sequence[Mapping], field_types: Mapping[str, str] | None = None
+                      ) -> list[CaptureSpec]:
+    """Event definitions in the documented configuration shape -> capture specs.
+
+    Each entry has ``Package``, ``Name``, ``Actions`` (list), ``CustomizableAttributes``
+    (list of ``{Name, Value}``) and an optional ``PredicateExpression``.  ``field_types``
+    types the predicate's ``[field]`` reads (default: ``duration`` is bigint).  An entry
+    without ``Actions`` keeps no context columns, as a definition with an empty action list."""
+    types = dict(DEFAULT_FIELD_TYPES if field_types is None else field_types)
+    specs = []
+    for e in events:
+        if CONFIG_KEYS["name"] not in e:
+            raise ValueError(f"event definition without {CONFIG_KEYS['name']}: {dict(e)}")
+        attrs = {str(a["Name"]): str(a["Value"]) for a in e.get(CONFIG_KEYS["attributes"]) or []}
+        specs.append(CaptureSpec(
+            name=str(e[CONFIG_KEYS["name"]]),
+            package=str(e.get(CONFIG_KEYS["package"], "sqlserver")),
+            actions=tuple(str(a) for a in e.get(CONFIG_KEYS["actions"]) or ()),
+            attributes=attrs,
+            predicate=e.get(CONFIG_KEYS["predicate"]),
+            field_types=types))
+    _check(specs)
+    return specs

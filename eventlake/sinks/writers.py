@@ -226,3 +226,32 @@ def write_jdbc(df: DataFrame, url: str, table: str = DEFAULT_TABLE,
     (jdbc_frame(df).write.format("jdbc").mode("append")
         .option("url", url).option("dbtable", table)
         .options(**opts).options(**dict(properties or {})).save())
+
+
+# Documented sink sections -> our sink kinds.
+SECTION_KINDS = {"ClickHouse": "sorted", "Postgres": "daily", "Kafka": "kafka"}
+
+
+def sink_from_config(sections: Mapping[str, Mapping | None]) -> tuple[str, dict[str, str]]:
+    """Sink sections in the documented configuration shape -> (kind, writer options).
+
+    Exactly one of ``ClickHouse`` (UUID-sorted table), ``Postgres`` (day-partitioned
+    table) or ``Kafka`` must be present (K11).  Batch size, parallelism and compression
+    map to writer options (K9, K10, K12)."""
+    present = {k: v for k, v in sections.items() if v is not None}
+    unknown = [k for k in present if k not in SECTION_KINDS]
+    if unknown:
+        raise ValueError(f"unknown sink section(s): {unknown}")
+    kind = choose({SECTION_KINDS[k]: v for k, v in present.items()})
+    section = next(v for k, v in present.items() if SECTION_KINDS[k] == kind)
+    if kind == "kafka":
+        opts = kafka_options(section.get("BrokerAddress", ""), section.get("Topic", ""),
+                             section.get("CompressionType"),
+                             linger_ms=section.get("LingerMs", KAFKA_DEFAULTS["linger_ms"]),
+                             batch_size=section.get("BatchSize", KAFKA_DEFAULTS["batch_size"]),
+                             timeout_ms=section.get("ProduceTimeout", KAFKA_DEFAULTS["timeout_ms"]))
+        return kind, opts
+    opts = writer_options(section.get("Compression"), section.get("BatchSize", DEFAULT_BATCH_SIZE),
+                          kind=kind)
+    opts["table"] = str(section.get("Table", DEFAULT_TABLE))
+    return kind, opts

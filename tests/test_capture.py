@@ -129,3 +129,24 @@ def test_placeholder_inside_string_literal_is_text(spark):
     spec = C.CaptureSpec(name="k", predicate="[t] = 'a [duration] b' AND [duration] = 7",
                          field_types={"duration": "bigint"})
     assert C.where(env, spec).count() == 1
+
+
+def test_specs_from_documented_config(spark):
+    cfg = [
+        {"Package": "sqlserver", "Name": "sp_statement_completed",
+         "CustomizableAttributes": [{"Name": "collect_statement", "Value": 1}],
+         "Actions": list(ACTIONS), "PredicateExpression": "[duration]>= 5000000"},
+        {"Package": "sqlserver", "Name": "sql_batch_completed",
+         "CustomizableAttributes": [{"Name": "collect_batch_text", "Value": 1}],
+         "Actions": list(ACTIONS), "PredicateExpression": "[duration]>= 5000000"},
+    ]
+    specs = C.specs_from_config(cfg)
+    assert [s.name for s in specs] == ["sp_statement_completed", "sql_batch_completed"]
+    assert specs[0].attributes == {"collect_statement": "1"}
+    assert C.capture(_workload(spark), specs).count() == 10
+    with pytest.raises(ValueError):
+        C.specs_from_config([{"Package": "sqlserver"}])
+    with pytest.raises(ValueError):
+        C.specs_from_config(cfg + cfg[:1])
+    bare = C.specs_from_config([{"Name": "sql_batch_completed"}])[0]
+    assert bare.actions == () and bare.predicate is None

@@ -194,3 +194,19 @@ def test_dedup_hot_key_third_of_rows(spark):
     assert out.count() == 1000
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "partial_min_by" in plan
+
+
+def test_sink_from_documented_config():
+    kind, opts = K.sink_from_config({"ClickHouse": {"BatchSize": 10000, "Compression": "GZip"},
+                                     "Postgres": None, "Kafka": None})
+    assert kind == "sorted" and opts == {"compression": "gzip", "maxRecordsPerFile": "10000",
+                                         "table": "xe_data"}
+    kind, opts = K.sink_from_config({"Postgres": {"Table": "events_log", "BatchSize": 10000}})
+    assert kind == "daily" and opts["table"] == "events_log"
+    kind, opts = K.sink_from_config({"Kafka": {"BrokerAddress": "b:9092", "Topic": "t",
+                                               "CompressionType": "Zstd", "LingerMs": 5}})
+    assert kind == "kafka" and opts["kafka.compression.type"] == "zstd" and opts["kafka.linger.ms"] == "5"
+    with pytest.raises(ValueError):       # the shipped sample configures all three
+        K.sink_from_config({"ClickHouse": {}, "Postgres": {}, "Kafka": {"BrokerAddress": "b", "Topic": "t"}})
+    with pytest.raises(ValueError):
+        K.sink_from_config({})
