@@ -242,6 +242,20 @@ def sink_daily(spark, sf_dir):
                        _day_text("event_date").alias("event_date"))
 
 
+def sink_ingest(spark, sf_dir):
+    """K1-K7 in one job: capture, dedup and constraint check of the envelope with replays
+    and broken rows, written once (good and dead by partition); good rows read back."""
+    from eventlake.sinks.ingest import ingest, read_status
+    root = scratch_path(spark, "ingest")
+    dirty = X.env_dirty(_events(spark, sf_dir))
+    replays = dirty.filter(X.source_id() % 10 == 0)
+    ingest(dirty.unionByName(replays), None, root)
+    good = read_status(spark, root)
+    dead = read_status(spark, root, "dead")
+    return (good.select("UUID", "Name", _us().alias("Timestamp_us"), F.lit(None).cast("string").alias("reject_reason"))
+            .unionByName(dead.select("UUID", "Name", _us().alias("Timestamp_us"), "reject_reason")))
+
+
 def kafka_payload(spark, sf_dir):
     """K3: message key and value per event."""
     msgs = K.kafka_payload(_env(spark, sf_dir))
@@ -457,6 +471,7 @@ QUERIES: dict[str, Query] = {
     "parse_payload": parse_payload,
     "sink_sorted": sink_sorted,
     "sink_daily": sink_daily,
+    "sink_ingest": sink_ingest,
     "kafka_payload": kafka_payload,
     "kafka_roundtrip": kafka_roundtrip,
     "day_partition": day_partition,

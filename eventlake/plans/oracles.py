@@ -114,6 +114,11 @@ BODIES: dict[str, str] = {
                       "event_id % 19 = 0 AS dead_letter FROM envj"),
     "sink_sorted": CAPTURE_TEXT,
     "sink_daily": ("SELECT UUID, Name, ts_us AS Timestamp_us, strftime(ts, '%Y-%m-%d') AS event_date FROM env"),
+    "sink_ingest": ("SELECT CASE WHEN event_id % 97 = 0 THEN NULL ELSE UUID END AS UUID, "
+                    "CASE WHEN event_id % 97 <> 0 AND event_id % 101 = 0 THEN repeat('x', 256) ELSE Name END AS Name, "
+                    "ts_us AS Timestamp_us, "
+                    "CASE WHEN event_id % 97 = 0 THEN 'UUID is null' "
+                    "WHEN event_id % 101 = 0 THEN 'Name longer than 255' END AS reject_reason FROM env"),
     "kafka_payload": f"SELECT true AS key_is_null, {EVENT_JSON} AS value FROM envj",
     "kafka_roundtrip": TEXT_ENVELOPE,
     "day_partition": ("SELECT DISTINCT strftime(d, '%Y-%m-%d') AS event_date, "

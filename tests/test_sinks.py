@@ -210,3 +210,24 @@ def test_sink_from_documented_config():
         K.sink_from_config({"ClickHouse": {}, "Postgres": {}, "Kafka": {"BrokerAddress": "b", "Topic": "t"}})
     with pytest.raises(ValueError):
         K.sink_from_config({})
+
+
+def test_ingest_one_job_good_and_dead(spark, tmp_dir):
+    from eventlake.plans.catalog import STANDARD_SPECS
+    from eventlake.sinks.ingest import ingest, read_status
+    ev = X.read_table(spark, SF001, "events")
+    dirty = X.env_dirty(ev)
+    root = f"{tmp_dir}/ingest"
+    ingest(dirty.unionByName(dirty.filter(X.source_id() % 10 == 0)), None, root)
+    good, dead = read_status(spark, root), read_status(spark, root, "dead")
+    assert good.count() + dead.count() == 1000
+    assert good.select("UUID").distinct().count() == good.count()
+    assert "reject_reason" not in good.columns and "status" not in good.columns
+    plan = spark.read.parquet(root).filter(F.col("status") == "dead")._jdf.queryExecution() \
+        .executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(status" in plan
+    from eventlake.operators.capture import capture
+    root2 = f"{tmp_dir}/ingest2"
+    env = X.envelope_from_events(ev)
+    ingest(env, STANDARD_SPECS, root2)
+    assert read_status(spark, root2).count() == capture(env, STANDARD_SPECS).count() > 0
