@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from decimal import Decimal
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventlake.functions import encode as E
@@ -49,11 +49,11 @@ def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return X.read_table(spark, sf_dir, "events")
 
 
-def _us(col: str = "Timestamp") -> F.Column:
+def _us(col: str = "Timestamp") -> Column:
     return F.unix_micros(F.col(col))
 
 
-def _day_text(col: str) -> F.Column:
+def _day_text(col: str) -> Column:
     return F.date_format(F.col(col), "yyyy-MM-dd")
 
 
