@@ -25,7 +25,7 @@ def summarise(plan: str) -> dict[str, str]:
     kinds = {}
     for e in exch:
         kinds[e] = kinds.get(e, 0) + 1
-    pushed = sorted(set(re.findall(r"PushedFilters: \[(.*?)\], ReadSchema", plan)))
+    pushed = sorted(set(re.findall(r"PushedFilters: \[(.*?)(?:\]|\.\.\.), ReadSchema", plan)))
     schemas = sorted(set(re.findall(r"ReadSchema: (struct<[^\n]*?>)(?:,|\n|$)", plan)))
     return {
         "shuffles": ", ".join(f"{v}× {k.replace('partitioning', '').replace('Partitioning', '')}"
