@@ -103,8 +103,11 @@ def iso_ts(ts: str | Column, pattern: str = ISO_PATTERN) -> Column:
     return F.date_format(_c(ts), pattern)
 
 
-def to_utc(text: str | Column, pattern: str = ISO_PATTERN) -> Column:
-    """ISO text with any offset -> instant.  Bad text gives NULL (dead-letter it)."""
+def to_utc(text: str | Column, pattern: str | None = None) -> Column:
+    """ISO-8601 text with any offset (``+03:00``, ``Z``, any fraction length) -> instant.
+    Bad text gives NULL (dead-letter it).  ``pattern`` forces one exact format."""
+    if pattern is None:
+        return _c(text).try_cast("timestamp")
     return F.try_to_timestamp(_c(text), F.lit(pattern))
 
 

@@ -8,13 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from eventlake.functions.encode import ISO_PATTERN, parse_payload, to_utc
+from eventlake.functions.encode import parse_payload, to_utc
 from eventlake.functions.envelope import ENVELOPE, ENVELOPE_TEXT
 
 CORRUPT_COLUMN = "_corrupt_record"
 
 
-def from_text(df: DataFrame, pattern: str = ISO_PATTERN) -> DataFrame:
+def from_text(df: DataFrame, pattern: str | None = None) -> DataFrame:
     """Text-form envelope -> envelope: ISO timestamps to instants, JSON payloads to variants.
     Malformed values become NULL and are caught by the constraint split (K7).  Columns
     beyond the eight (e.g. ``_corrupt_record``) pass through."""

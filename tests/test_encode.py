@@ -74,11 +74,15 @@ def test_timestamps(spark):
 
 def test_to_utc(spark):
     df = spark.createDataFrame([("2024-01-02T06:04:05.123456+03:00",), ("2024-01-01T23:00:00.000000-05:00",),
-                                ("not a time",), (None,)], "t string")
+                                ("not a time",), (None,), ("2024-01-02T03:04:05Z",),
+                                ("2024-01-02T03:04:05.5+00:00",)], "t string")
     out = [r[0] for r in df.select(F.unix_micros(E.to_utc("t"))).collect()]
     assert out[0] == 1704164645123456
     assert out[1] == 1704168000000000
     assert out[2] is None and out[3] is None
+    assert out[4] == 1704164645000000 and out[5] == 1704164645500000
+    strict = [r[0] for r in df.select(E.to_utc("t", E.ISO_PATTERN)).collect()]
+    assert strict[0] is not None and strict[4] is None
 
 
 def test_uuid_forms(spark):
