@@ -256,6 +256,20 @@ def sink_ingest(spark, sf_dir):
             .unionByName(dead.select("UUID", "Name", _us().alias("Timestamp_us"), "reject_reason")))
 
 
+def sink_table(spark, sf_dir):
+    """K4: the target table created if absent (twice: the second call is a no-op), the
+    envelope inserted, and the catalog table read back."""
+    import uuid as _uuid
+    name = f"xe_data_{_uuid.uuid4().hex[:12]}"
+    path = scratch_path(spark, "table")
+    K.ensure_table(spark, name, path)
+    K.ensure_table(spark, name, path)
+    target = spark.table(name)
+    K.with_event_date(_env(spark, sf_dir)).select(*target.columns).write.insertInto(name)
+    back = spark.table(name)
+    return back.select("UUID", "Name", _us().alias("Timestamp_us"), _day_text("event_date").alias("event_date"))
+
+
 def kafka_payload(spark, sf_dir):
     """K3: message key and value per event."""
     msgs = K.kafka_payload(_env(spark, sf_dir))
@@ -317,6 +331,25 @@ def stream_ingest(spark, sf_dir):
     return to_text(spark.read.parquet(good).drop("batch_id", "event_date"))
 
 
+# The two deliveries of the restart query overlap by one day.
+RESTART_SPLIT = ("2024-01-16", "2024-01-15")
+
+
+def stream_restart(spark, sf_dir):
+    """T5: two deliveries (split in time, overlapping by a day) landed one after the other;
+    the stream stops after the first and restarts from its checkpoint for the second.
+    Nothing is lost and the replayed day is not stored twice."""
+    env = X.envelope(spark, sf_dir)
+    landing, good, dead, ckpt = (scratch_path(spark, n) for n in ("landing", "good", "dead", "ckpt"))
+    first_before, second_from = RESTART_SPLIT
+    env.filter(F.col("Timestamp") < F.lit(first_before).cast("timestamp")).write.parquet(landing + "/d1")
+    src = S.read_event_stream(spark, landing, options={"recursiveFileLookup": "true"})
+    T.drain(T.run(src, None, good, dead, ckpt, watermark="31 days"))
+    env.filter(F.col("Timestamp") >= F.lit(second_from).cast("timestamp")).write.parquet(landing + "/d2")
+    T.drain(T.run(src, None, good, dead, ckpt, watermark="31 days"))       # restart, same checkpoint
+    return to_text(spark.read.parquet(good).drop("batch_id", "event_date"))
+
+
 def stream_dedup(spark, sf_dir):
     """Replays removed by streaming dedup within the watermark (31 days: the data's
     span, so nothing is late here; a pytest covers late rows)."""
@@ -472,6 +505,7 @@ QUERIES: dict[str, Query] = {
     "sink_sorted": sink_sorted,
     "sink_daily": sink_daily,
     "sink_ingest": sink_ingest,
+    "sink_table": sink_table,
     "kafka_payload": kafka_payload,
     "kafka_roundtrip": kafka_roundtrip,
     "day_partition": day_partition,
@@ -480,6 +514,7 @@ QUERIES: dict[str, Query] = {
     "ordered_by_uuid": ordered_by_uuid,
     "stream_ingest": stream_ingest,
     "stream_dedup": stream_dedup,
+    "stream_restart": stream_restart,
     "hourly_stats_stream": hourly_stats_stream,
     "alert_windows_stream": alert_windows_stream,
     "failure_bursts_stream": failure_bursts_stream,

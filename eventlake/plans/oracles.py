@@ -196,6 +196,8 @@ BODIES: dict[str, str] = {
         FROM r GROUP BY day, database_name""",
 }
 
+BODIES["stream_restart"] = TEXT_ENVELOPE
+BODIES["sink_table"] = BODIES["sink_daily"]
 BODIES["hourly_stats_stream"] = BODIES["hourly_stats"]
 BODIES["alert_windows_stream"] = BODIES["alert_windows"]
 BODIES["failure_bursts_stream"] = BODIES["failure_bursts"]
