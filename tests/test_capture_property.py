@@ -40,7 +40,9 @@ def model_rows():
 
 @pytest.fixture(scope="module")
 def env(spark):
-    return X.envelope(spark, SF001).cache()
+    df = X.envelope(spark, SF001).cache()
+    yield df
+    df.unpersist(blocking=True)   # later plan tests must see the Parquet scan, not the cache
 
 
 spec_st = st.fixed_dictionaries({
