@@ -20,6 +20,8 @@ from pyspark.sql import functions as F
 from eventlake.functions.envelope import ENVELOPE_COLUMNS, field_sql
 
 _PLACEHOLDER = re.compile(r"\[([A-Za-z_][A-Za-z0-9_]*)\]")
+_QUALIFIED = re.compile(r"\[([A-Za-z_][A-Za-z0-9_]*)\]\.\[([A-Za-z_][A-Za-z0-9_]*)\]")
+_UNICODE_PREFIX = re.compile(r"(?<![A-Za-z0-9_])N$")
 _QUOTED = re.compile(r"('(?:[^'\\]|''|\\.)*')")
 _ATTR_PREFIX = "collect_"
 
@@ -36,14 +38,22 @@ class CaptureSpec:
     field_types: Mapping[str, str] = dc_field(default_factory=dict)  # field -> SQL type
 
     def predicate_column(self) -> Column | None:
-        """``[x]`` placeholders become typed payload reads; blank means no filter."""
+        """``[x]`` reads payload field x, ``[package].[x]`` reads context column x
+        (typed by ``field_types``, default string); ``N'...'`` literals are plain
+        literals; blank means no filter.  Substitution happens outside string literals."""
         if self.predicate is None or not self.predicate.strip():
             return None
-        def typed(m: re.Match) -> str:
-            return field_sql("Fields", m.group(1), self.field_types.get(m.group(1), "string"))
-        # substitute outside string literals only ('[a]' inside quotes is text)
-        parts = _QUOTED.split(self.predicate)
-        text = "".join(p if i % 2 else _PLACEHOLDER.sub(typed, p) for i, p in enumerate(parts))
+
+        def typed(payload: str, key: str) -> str:
+            return field_sql(payload, key, self.field_types.get(key, "string"))
+
+        def outside(part: str, followed_by_literal: bool) -> str:
+            part = _QUALIFIED.sub(lambda m: typed("Actions", m.group(2)), part)
+            part = _PLACEHOLDER.sub(lambda m: typed("Fields", m.group(1)), part)
+            return _UNICODE_PREFIX.sub("", part) if followed_by_literal else part
+
+        parts = _QUOTED.split(self.predicate)      # odd positions are string literals
+        text = "".join(p if i % 2 else outside(p, i + 1 < len(parts)) for i, p in enumerate(parts))
         return F.expr(text)
 
     def dropped_fields(self) -> list[str]:

@@ -150,3 +150,12 @@ def test_specs_from_documented_config(spark):
         C.specs_from_config(cfg + cfg[:1])
     bare = C.specs_from_config([{"Name": "sql_batch_completed"}])[0]
     assert bare.actions == () and bare.predicate is None
+
+
+def test_qualified_action_and_unicode_literal(spark):
+    env = _workload(spark)
+    spec = C.CaptureSpec(name="sql_batch_completed",
+                         predicate="[sqlserver].[database_name] = N'master' AND [duration]>= 5000000 "
+                                   "AND [sqlserver].[query_hash] < 1003",
+                         field_types={"duration": "bigint", "query_hash": "bigint"})
+    assert C.where(env, spec).count() == 3      # the slow batches with query_hash 1000-1002
