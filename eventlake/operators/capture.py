@@ -92,7 +92,7 @@ def keep_keys(payload: Column, keep: Sequence[str]) -> Column:
     """Payload restricted to the listed keys (values and nulls unchanged)."""
     if not keep:
         return F.parse_json(F.lit("{}"))
-    as_map = payload.cast("map<string,variant>")
+    as_map = payload.try_cast("map<string,variant>")   # a non-object payload gives NULL
     wanted = F.array(*[F.lit(k) for k in keep])
     return F.to_variant_object(F.map_filter(as_map, lambda k, v: F.array_contains(wanted, k)))
 
@@ -101,7 +101,7 @@ def drop_keys(payload: Column, drop: Sequence[str]) -> Column:
     """Payload without the listed keys; every other key passes."""
     if not drop:
         return payload
-    as_map = payload.cast("map<string,variant>")
+    as_map = payload.try_cast("map<string,variant>")   # a non-object payload gives NULL
     unwanted = F.array(*[F.lit(k) for k in drop])
     return F.to_variant_object(F.map_filter(as_map, lambda k, v: ~F.array_contains(unwanted, k)))
 

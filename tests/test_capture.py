@@ -159,3 +159,11 @@ def test_qualified_action_and_unicode_literal(spark):
                                    "AND [sqlserver].[query_hash] < 1003",
                          field_types={"duration": "bigint", "query_hash": "bigint"})
     assert C.where(env, spec).count() == 3      # the slow batches with query_hash 1000-1002
+
+
+def test_non_object_payload_gives_null_not_error(spark):
+    from pyspark.sql import functions as F2
+    df = spark.createDataFrame([("u", "k")], "UUID string, Name string").select(
+        "UUID", "Name", F2.parse_json(F2.lit("[1,2]")).alias("Actions"), F2.parse_json(F2.lit("{}")).alias("Fields"))
+    out = df.select(C.keep_keys(F2.col("Actions"), ["a"]).alias("a")).first()
+    assert out.a is None
