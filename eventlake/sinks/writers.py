@@ -7,6 +7,7 @@ that run before the write, so batch jobs and ``foreachBatch`` share them.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -178,6 +179,8 @@ def write_daily(df: DataFrame, path: str, compression: str | None = None,
 
 def ensure_table(spark: SparkSession, table: str, path: str, layout: str = "daily") -> None:
     """K4: idempotent DDL for the sink table (no-op when it exists)."""
+    if not re.fullmatch(r"[A-Za-z_][A-Za-z0-9_]*(\.[A-Za-z_][A-Za-z0-9_]*)?", table):
+        raise ValueError(f"not a table name: {table!r}")
     path = path.replace("\\", "\\\\").replace("'", "\\'")
     cols = ("UUID STRING, Name STRING, Timestamp TIMESTAMP, XEventStartOffsetInBytes BIGINT, "
             "XEventEndOffsetInBytes BIGINT, XEventSizeInBytes BIGINT, Actions VARIANT, Fields VARIANT")

@@ -143,6 +143,21 @@ def drain(query: StreamingQuery, timeout_s: float = 600.0) -> None:
         raise RuntimeError(f"streaming query failed: {query.exception()}")
 
 
+def compact_day(spark, good_root: str, table_root: str, day: str) -> None:
+    """Fold one UTC day from the per-batch folders into a day-partitioned table.
+
+    A long-running stream leaves one ``batch_id=N`` folder per micro-batch; once a day is
+    closed (past the watermark) its rows are rewritten here, deduplicated, as
+    ``table_root/event_date=day``.  Dynamic partition overwrite replaces only that day,
+    so a rerun after a failure is idempotent.  Reads prune to the day on every batch."""
+    rows = (spark.read.parquet(good_root)
+            .filter(F.col("event_date") == F.lit(day).cast("date"))
+            .drop("batch_id", "event_date"))
+    out = with_event_date(dedup_key(rows))
+    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        .partitionBy("event_date").parquet(table_root))
+
+
 def run_aggregate(agg: DataFrame, root: str, checkpoint: str, available_now: bool = True,
                   processing_time: str | None = None) -> StreamingQuery:
     """Streaming aggregate in update mode: each micro-batch writes the groups it changed

@@ -195,3 +195,22 @@ def test_keep_late_dedups_against_target(spark, tmp_dir):
     again = spark.read.parquet(f"{tmp_dir}/replay")
     fn(again, last)
     assert _good(spark, f"{tmp_dir}/good").count() == 1000
+
+
+def test_compact_day_is_idempotent(spark, tmp_dir):
+    env = X.envelope_from_events(_events(spark))
+    fn = T.idempotent_batch(f"{tmp_dir}/good")
+    fn(env.filter("XEventStartOffsetInBytes % 2048 = 0"), 0)       # even events in batch 0
+    fn(env.filter("XEventStartOffsetInBytes % 2048 <> 0"), 1)      # odd events in batch 1
+    fn(env.limit(10), 2)                                            # a replayed delivery
+    day = "2024-01-05"
+    T.compact_day(spark, f"{tmp_dir}/good", f"{tmp_dir}/table", day)
+    T.compact_day(spark, f"{tmp_dir}/good", f"{tmp_dir}/table", day)   # rerun: same result
+    T.compact_day(spark, f"{tmp_dir}/good", f"{tmp_dir}/table", "2024-01-06")
+    table = spark.read.parquet(f"{tmp_dir}/table")
+    want5 = env.filter(F.to_date("Timestamp") == day).count()
+    assert table.filter(F.col("event_date") == day).count() == want5
+    assert table.filter(F.col("event_date") == "2024-01-06").count() == \
+        env.filter(F.to_date("Timestamp") == "2024-01-06").count()
+    days = sorted(d for d in os.listdir(f"{tmp_dir}/table") if d.startswith("event_date="))
+    assert days == ["event_date=2024-01-05", "event_date=2024-01-06"]
