@@ -15,12 +15,15 @@ NULL_MARK = "\\N"
 
 def distinct_events(env: DataFrame) -> DataFrame:
     """V1: one row per distinct event value: the six scalars plus both payloads compared
-    by canonical JSON (key order ignored).  Variants cannot be grouped, so the
-    comparison goes through their sorted-key text; the map-side partial aggregate
-    collapses copies before the shuffle."""
-    keyed = (env.withColumn("_a", payload_json("Actions"))
-             .withColumn("_f", payload_json("Fields")))
-    return keyed.dropDuplicates([*_SCALARS, "_a", "_f"]).drop("_a", "_f")
+    by canonical JSON (key order ignored).
+
+    Variants cannot be grouped, so the rows are made distinct on their scalars and the
+    payloads' sorted-key text, a hash aggregate with a map-side partial (copies collapse
+    before the shuffle; no variant in an aggregation buffer, which would force a sort-based
+    aggregate).  The payloads are then rebuilt from that canonical text."""
+    keyed = env.select(*_SCALARS, payload_json("Actions").alias("_a"), payload_json("Fields").alias("_f"))
+    return keyed.distinct().select(*_SCALARS, F.parse_json("_a").alias("Actions"),
+                                   F.parse_json("_f").alias("Fields"))
 
 
 def event_hash() -> Column:
