@@ -17,7 +17,7 @@ from dataclasses import dataclass, field as dc_field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from eventlake.functions.envelope import ENVELOPE_COLUMNS, field_sql
+from eventlake.functions.envelope import ENVELOPE_COLUMNS, field_sql, json_path
 
 _PLACEHOLDER = re.compile(r"\[([A-Za-z_][A-Za-z0-9_]*)\]")
 _QUALIFIED = re.compile(r"\[([A-Za-z_][A-Za-z0-9_]*)\]\.\[([A-Za-z_][A-Za-z0-9_]*)\]")
@@ -89,12 +89,15 @@ def where(df: DataFrame, spec: CaptureSpec) -> DataFrame:
 
 
 def keep_keys(payload: Column, keep: Sequence[str]) -> Column:
-    """Payload restricted to the listed keys (values and nulls unchanged)."""
+    """Payload restricted to the listed keys (values and JSON nulls unchanged, absent keys
+    stay absent).  Only the listed keys are read, so on a stored, shredded table the scan
+    reads just those leaves.  A NULL payload stays NULL; a non-object gives ``{}``."""
     if not keep:
-        return F.parse_json(F.lit("{}"))
-    as_map = payload.try_cast("map<string,variant>")   # a non-object payload gives NULL
-    wanted = F.array(*[F.lit(k) for k in keep])
-    return F.to_variant_object(F.map_filter(as_map, lambda k, v: F.array_contains(wanted, k)))
+        return F.when(payload.isNotNull(), F.parse_json(F.lit("{}")))
+    values = [F.try_variant_get(payload, json_path(k), "variant") for k in keep]
+    pairs = F.map_from_arrays(F.array(*[F.lit(k) for k in keep]), F.array(*values))
+    present = F.map_filter(pairs, lambda k, v: v.isNotNull())   # JSON null is not SQL NULL
+    return F.when(payload.isNotNull(), F.to_variant_object(present))
 
 
 def drop_keys(payload: Column, drop: Sequence[str]) -> Column:

@@ -161,9 +161,20 @@ def test_qualified_action_and_unicode_literal(spark):
     assert C.where(env, spec).count() == 3      # the slow batches with query_hash 1000-1002
 
 
-def test_non_object_payload_gives_null_not_error(spark):
+def test_non_object_or_null_payload_never_errors(spark):
     from pyspark.sql import functions as F2
-    df = spark.createDataFrame([("u", "k")], "UUID string, Name string").select(
-        "UUID", "Name", F2.parse_json(F2.lit("[1,2]")).alias("Actions"), F2.parse_json(F2.lit("{}")).alias("Fields"))
-    out = df.select(C.keep_keys(F2.col("Actions"), ["a"]).alias("a")).first()
-    assert out.a is None
+    df = spark.createDataFrame([("[1,2]",), (None,)], "t string").select(F2.parse_json("t").alias("p"))
+    out = df.select(F2.to_json(C.keep_keys(F2.col("p"), ["a"])).alias("k"),
+                    F2.to_json(C.drop_keys(F2.col("p"), ["a"])).alias("d")).collect()
+    assert (out[0].k, out[0].d) == ("{}", None)      # an array has no keys to keep; no map to filter
+    assert (out[1].k, out[1].d) == (None, None)      # a NULL (malformed) payload stays NULL
+
+
+def test_keep_keys_reads_only_the_kept_leaves(spark, tmp_dir):
+    from eventlake.sinks import writers as K
+    from eventlake.sources import fixtures as X
+    from tests.conftest import SF001
+    K.write_daily(X.envelope(spark, SF001), f"{tmp_dir}/t")
+    out = spark.read.parquet(f"{tmp_dir}/t").select(C.keep_keys(F.col("Actions"), ["query_hash", "username"]))
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<Actions:struct<0:variant,1:variant>>" in plan
