@@ -23,8 +23,13 @@ DEFAULT_WATERMARK = "30 seconds"
 
 
 def rate_options(max_files: int | None = None, max_bytes: str | None = None,
-                 max_offsets: int | None = None) -> dict[str, str]:
-    """How much one micro-batch may take (backpressure by bounded batches)."""
+                 max_offsets: int | None = None, min_offsets: int | None = None,
+                 max_trigger_delay: str | None = None) -> dict[str, str]:
+    """How much one micro-batch may take (backpressure by bounded batches).
+
+    ``min_offsets`` (Kafka) holds a trigger until that many new records are there, i.e.
+    batches by count; ``max_trigger_delay`` flushes a partial batch after that long, so a
+    quiet stream never holds records back indefinitely."""
     opts = {}
     if max_files is not None:
         opts["maxFilesPerTrigger"] = str(max_files)
@@ -32,6 +37,10 @@ def rate_options(max_files: int | None = None, max_bytes: str | None = None,
         opts["maxBytesPerTrigger"] = str(max_bytes)
     if max_offsets is not None:
         opts["maxOffsetsPerTrigger"] = str(max_offsets)
+    if min_offsets is not None:
+        opts["minOffsetsPerTrigger"] = str(min_offsets)
+    if max_trigger_delay is not None:
+        opts["maxTriggerDelay"] = str(max_trigger_delay)
     return opts
 
 

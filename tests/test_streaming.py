@@ -124,6 +124,8 @@ def test_rate_options():
     assert T.rate_options(max_files=2, max_bytes="10m", max_offsets=100) == {
         "maxFilesPerTrigger": "2", "maxBytesPerTrigger": "10m", "maxOffsetsPerTrigger": "100"}
     assert T.rate_options() == {}
+    assert T.rate_options(max_offsets=100000, min_offsets=100000, max_trigger_delay="30s") == {
+        "maxOffsetsPerTrigger": "100000", "minOffsetsPerTrigger": "100000", "maxTriggerDelay": "30s"}
 
 
 def test_streaming_windowed_stats_append(spark, tmp_dir):
