@@ -37,6 +37,13 @@ CLUSTER_CONF = {
 }
 
 
+def apply_cluster_conf(spark: SparkSession, overrides: dict | None = None) -> None:
+    """Apply :data:`CLUSTER_CONF` (plus ``overrides``) to a running session.  All of these
+    are SQL settings, changeable at runtime; nothing outside the session is touched."""
+    for key, value in {**CLUSTER_CONF, **(overrides or {})}.items():
+        spark.conf.set(key, value)
+
+
 def build_session(master: str | None = None, app_name: str = "eventlake",
                   shuffle_partitions: int | None = None) -> SparkSession:
     """Session with the settings the library is tuned for (used by tests and bench)."""

@@ -43,3 +43,18 @@ def test_no_python_udf_in_any_query(spark):
             continue
         plan = _plan(q(spark, SF001))
         assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan, name
+
+
+def test_cluster_conf_applies_at_runtime(spark):
+    from eventlake.session import CLUSTER_CONF, apply_cluster_conf
+    before = {k: spark.conf.get(k, None) for k in CLUSTER_CONF}
+    try:
+        apply_cluster_conf(spark, {"spark.sql.shuffle.partitions": "16"})
+        assert spark.conf.get("spark.sql.adaptive.skewJoin.enabled") == "true"
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "16"
+    finally:
+        for k, v in before.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
