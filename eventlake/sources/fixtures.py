@@ -12,7 +12,7 @@ import weakref
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventlake.functions.encode import ISO_PATTERN, UUID_GROUPS, payload_json
+from eventlake.functions.encode import UUID_GROUPS, payload_json
 
 # How the synthetic context columns and payload are derived from `events`.
 APP_MOD, HOST_MOD, DB_MOD, HASH_MOD = 7, 11, 3, 20
@@ -133,5 +133,5 @@ def env_text(events: DataFrame) -> DataFrame:
         payload_json("Actions").alias("Actions"), payload_json("Fields").alias("Fields"))
 
 
-__all__ = ["ISO_PATTERN", "envelope", "envelope_from_events", "env_dup", "env_dirty",
+__all__ = ["envelope", "envelope_from_events", "env_dup", "env_dirty",
            "env_text", "read_table"]

@@ -1,7 +1,6 @@
 """Streaming (S1, T1-T7): stream equals batch, restart without loss or duplicates,
 late rows, dead letters and replay-safe batches."""
 
-import datetime as dt
 import os
 
 from pyspark.sql import functions as F
