@@ -350,6 +350,21 @@ def stream_restart(spark, sf_dir):
     return to_text(spark.read.parquet(good).drop("batch_id", "event_date"))
 
 
+def stream_keep_late(spark, sf_dir):
+    """T6, late rows kept: the newer half of the events lands first, then the older half
+    (late, overlapping by a day).  Each batch is deduplicated against the stored days it
+    touches instead of a watermark, so every event is stored exactly once."""
+    env = X.envelope(spark, sf_dir)
+    landing, good, dead, ckpt = (scratch_path(spark, n) for n in ("landing", "good", "dead", "ckpt"))
+    newer_from, older_before = RESTART_SPLIT[1], RESTART_SPLIT[0]
+    env.filter(F.col("Timestamp") >= F.lit(newer_from).cast("timestamp")).write.parquet(landing + "/d1")
+    src = S.read_event_stream(spark, landing, options={"recursiveFileLookup": "true"})
+    T.drain(T.run(src, None, good, dead, ckpt, watermark=None, keep_late=True))
+    env.filter(F.col("Timestamp") < F.lit(older_before).cast("timestamp")).write.parquet(landing + "/d2")
+    T.drain(T.run(src, None, good, dead, ckpt, watermark=None, keep_late=True))
+    return to_text(spark.read.parquet(good).drop("batch_id", "event_date"))
+
+
 def stream_dedup(spark, sf_dir):
     """Replays removed by streaming dedup within the watermark (31 days: the data's
     span, so nothing is late here; a pytest covers late rows)."""
@@ -515,6 +530,7 @@ QUERIES: dict[str, Query] = {
     "stream_ingest": stream_ingest,
     "stream_dedup": stream_dedup,
     "stream_restart": stream_restart,
+    "stream_keep_late": stream_keep_late,
     "hourly_stats_stream": hourly_stats_stream,
     "alert_windows_stream": alert_windows_stream,
     "failure_bursts_stream": failure_bursts_stream,
