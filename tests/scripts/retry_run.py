@@ -45,6 +45,7 @@ def runs(events):
         "dedup": sorted(tuple(r) for r in to_text(K.dedup_key(dup)).collect()),
         "capture": sorted(tuple(r) for r in to_text(C.capture(X.envelope_from_events(events), STANDARD_SPECS)).collect()),
         "stats": sorted(tuple(r) for r in A.query_hash_stats(X.envelope_from_events(events)).collect()),
+        "capacity": sorted(tuple(r) for r in A.capacity_daily(X.envelope_from_events(events)).collect()),
     }
 
 
