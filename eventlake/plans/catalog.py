@@ -322,7 +322,7 @@ def _event_stream(spark, sf_dir):
 
 
 def stream_ingest(spark, sf_dir):
-    """S1 + T1/T3/T4/T5/T7: the streaming pipeline drained with availableNow; the good
+    """S1 + T1/T3/T4/T5/T7: the streaming job drained with availableNow; the good
     rows read back.  Equal to ``capture_session``."""
     good, dead, ckpt = (scratch_path(spark, n) for n in ("good", "dead", "ckpt"))
     q = T.run(X.envelope_from_events(_event_stream(spark, sf_dir)), STANDARD_SPECS,

@@ -117,7 +117,7 @@ def run(source: DataFrame, specs: Sequence[CaptureSpec] | None, good_root: str,
         checkpoint: str, watermark: str | None = DEFAULT_WATERMARK, available_now: bool = True,
         processing_time: str | None = None, write_good: BatchWriter = parquet_daily,
         keep_late: bool = False) -> StreamingQuery:
-    """The continuous pipeline.  ``available_now`` drains what is there and stops
+    """The continuous ingest job.  ``available_now`` drains what is there and stops
     (T4); otherwise it runs on ``processing_time`` triggers until stopped.
 
     Deduplication: with ``watermark`` set, replays within the watermark are dropped in
