@@ -35,18 +35,22 @@ DIGIT_BITS = 16
 def exact_percentiles(df: DataFrame, group_cols: Sequence[str], value_col: str,
                       percentiles: Sequence[float], weight_col: str | None = None,
                       digit_bits: int = DIGIT_BITS, materialize: bool = True,
-                      bounds: tuple[int | None, int | None] | None = None) -> DataFrame:
+                      bounds: tuple[int | None, int | None] | None = None,
+                      salt_buckets: int = 0) -> DataFrame:
     """Rows ``(group..., percentile, value)``: exact nearest-rank percentiles of an
     integral column per group (NULL values ignored; groups with none are absent).
     ``weight_col`` gives a multiplicity per row (input already counted by value).
-    ``bounds`` = (min, max) of the values, when the caller already knows them."""
+    ``bounds`` = (min, max) of the values, when the caller already knows them.
+    ``salt_buckets`` > 0 salts the counts side of each pass's join (targets replicated that
+    many times), so a hot group's values spread over that many tasks even without AQE's
+    skew-join splitting."""
     if 64 % digit_bits:
         raise ValueError("digit_bits must divide 64")
     g = list(group_cols)
     spark = df.sparkSession
     if not g:                       # one global group: a constant key keeps every join an equi-join
         out = exact_percentiles(df.withColumn("_all", F.lit(0)), ["_all"], value_col, percentiles,
-                                weight_col, digit_bits, materialize, bounds)
+                                weight_col, digit_bits, materialize, bounds, salt_buckets)
         return out.drop("_all")
     w = F.lit(1).cast("bigint") if weight_col is None else F.col(weight_col).cast("bigint")
     counts = (df.select(*g, F.col(value_col).cast("bigint").alias("_v"), w.alias("_w"))
@@ -86,6 +90,8 @@ def exact_percentiles(df: DataFrame, group_cols: Sequence[str], value_col: str,
                      F.greatest(F.lit(1), F.ceil(F.col("percentile") * F.col("_n"))).cast("bigint").alias("_r"),
                      F.lit(known_prefix).cast("bigint").alias("_prefix")))
 
+    if salt_buckets > 0:
+        counts = counts.withColumn("_salt", F.pmod(F.xxhash64("_u"), F.lit(salt_buckets)))
     mask = (1 << digit_bits) - 1
     for level in range(start, 64 // digit_bits):
         fixed = level * digit_bits
@@ -93,7 +99,11 @@ def exact_percentiles(df: DataFrame, group_cols: Sequence[str], value_col: str,
         cond = [F.col(c).eqNullSafe(F.col(k)) for c, k in zip(g, sk)]
         if fixed:
             cond.append(F.shiftrightunsigned(F.col("_u"), 64 - fixed) == F.col("_prefix"))
-        cand = counts.join(state, on=cond, how="inner").select(*sk, "percentile", "_r", "_prefix", digit.alias("_d"), "_c")
+        targets = state
+        if salt_buckets > 0:
+            targets = state.withColumn("_tsalt", F.explode(F.sequence(F.lit(0), F.lit(salt_buckets - 1))))
+            cond.append(F.col("_salt") == F.col("_tsalt"))
+        cand = counts.join(targets, on=cond, how="inner").select(*sk, "percentile", "_r", "_prefix", digit.alias("_d"), "_c")
         hist = cand.groupBy(*sk, "percentile", "_r", "_prefix", "_d").agg(F.sum("_c").alias("_cnt"))
         w = (Window.partitionBy(*sk, "percentile").orderBy("_d")
              .rowsBetween(Window.unboundedPreceding, Window.currentRow))

@@ -36,6 +36,16 @@ def test_exact_percentiles_match_brute_force(spark):
     assert got == _brute(rows, ps)
 
 
+def test_salted_join_same_result(spark):
+    rnd = random.Random(3)
+    rows = [("hot", 5)] * 600 + [("hot", rnd.randint(0, 10 ** 9)) for _ in range(300)] + \
+        [(f"g{i % 7}", rnd.randint(-10 ** 6, 10 ** 6)) for i in range(400)]
+    ps = [0.5, 0.9, 0.999]
+    df = spark.createDataFrame(rows, "g string, v bigint")
+    got = {(r.g, r.percentile): r.value for r in exact_percentiles(df, ["g"], "v", ps, salt_buckets=8).collect()}
+    assert got == _brute(rows, ps)
+
+
 def test_weighted_and_global(spark):
     df = spark.createDataFrame([(1, 10, 3), (1, 20, 1), (1, 5, 1)], "g int, v bigint, c bigint")
     out = percentile_columns(df, ["g"], "v", [0.5, 0.99], ["p50", "p99"], weight_col="c").first()
