@@ -87,3 +87,27 @@ def to_text(df: DataFrame, iso_pattern: str = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx")
         "UUID", "Name", F.date_format("Timestamp", iso_pattern).alias("Timestamp"),
         "XEventStartOffsetInBytes", "XEventEndOffsetInBytes", "XEventSizeInBytes",
         F.to_json("Actions").alias("Actions"), F.to_json("Fields").alias("Fields"))
+
+
+def conform(df: DataFrame) -> DataFrame:
+    """An envelope-shaped frame from elsewhere, made to the envelope's types: a
+    ``timestamp_ntz`` or text Timestamp becomes an instant (UTC session; watermarks
+    reject NTZ), JSON-text payloads become variants (malformed text -> NULL, caught by
+    the constraint split), integral offsets become bigint.  Missing columns are an error."""
+    from eventlake.functions.encode import parse_payload   # encode imports this module
+
+    missing = [c for c in ENVELOPE_COLUMNS if c not in df.columns]
+    if missing:
+        raise ValueError(f"not an event envelope, missing {missing}")
+    types = dict(df.dtypes)
+    cols = []
+    for name, field_type in zip(ENVELOPE.fieldNames(), [f.dataType for f in ENVELOPE.fields]):
+        c = F.col(name)
+        if name == "Timestamp" and types[name] != "timestamp":
+            c = c.try_cast("timestamp")
+        elif name in ("Actions", "Fields") and types[name] != "variant":
+            c = parse_payload(c.cast("string"))
+        elif types[name] != field_type.simpleString():
+            c = c.cast(field_type)
+        cols.append(c.alias(name))
+    return df.select(*cols)

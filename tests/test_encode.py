@@ -134,3 +134,19 @@ def test_event_json_order_and_null_event(spark):
 def test_payload_json_of_map_keeps_nulls(spark):
     df = spark.createDataFrame([Row(m={"a": None, "b": "1"})], "m map<string,string>")
     assert json.loads(df.select(E.payload_json("m")).first()[0]) == {"a": None, "b": "1"}
+
+
+def test_conform_foreign_envelope(spark):
+    import pytest
+    from eventlake.functions.envelope import conform
+    df = spark.createDataFrame(
+        [("u1", "k", dt.datetime(2024, 1, 2, 3, 4, 5), 1, 2, 1, '{"a":1}', "not json")],
+        "UUID string, Name string, Timestamp timestamp_ntz, XEventStartOffsetInBytes int, "
+        "XEventEndOffsetInBytes int, XEventSizeInBytes int, Actions string, Fields string")
+    out = conform(df)
+    assert [t for _, t in out.dtypes] == ["string", "string", "timestamp", "bigint", "bigint", "bigint",
+                                          "variant", "variant"]
+    r = out.select(F.unix_micros("Timestamp"), F.to_json("Actions"), "Fields").first()
+    assert r[0] == 1704164645000000 and r[1] == '{"a":1}' and r[2] is None
+    with pytest.raises(ValueError):
+        conform(df.drop("Fields"))
