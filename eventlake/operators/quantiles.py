@@ -22,14 +22,56 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from eventlake.session import cut_lineage
 
 # The sign bit, flipped so that signed order equals unsigned bit order.
 SIGN_BIT = -(1 << 63)
 DIGIT_BITS = 16
+# IEEE-754 binary64 layout (52 mantissa bits, exponent bias 1023).
+MANTISSA_BITS = 52
+EXPONENT_BIAS = 1023
+MIN_NORMAL = 2.2250738585072014e-308          # 2^-1022
+MIN_SUBNORMAL_EXP = -1074
+
+
+def double_key(x: Column) -> Column:
+    """Order-preserving signed 64-bit key of a double: its IEEE-754 bits (computed with
+    exact power-of-two arithmetic), negated for negative values.  -0.0 maps to +0.0;
+    NaN maps above +infinity (Spark's ordering)."""
+    a = F.abs(x)
+    e0 = F.floor(F.log2(a))
+    e = (F.when(F.pow(F.lit(2.0), e0) > a, e0 - 1)
+         .when(F.pow(F.lit(2.0), e0 + 1) <= a, e0 + 1).otherwise(e0))
+    mant_scale = float(1 << MANTISSA_BITS)
+    normal_bits = (F.shiftleft((e + EXPONENT_BIAS).cast("bigint"), MANTISSA_BITS)
+                   .bitwiseOR(((a / F.pow(F.lit(2.0), e) - 1) * mant_scale).cast("bigint")))
+    subnormal_bits = (a / F.pow(F.lit(2.0), F.lit(MIN_SUBNORMAL_EXP))).cast("bigint")
+    inf_bits = F.lit(0x7FF << MANTISSA_BITS).cast("bigint")
+    nan_bits = F.lit((0x7FF << MANTISSA_BITS) | (1 << (MANTISSA_BITS - 1))).cast("bigint")
+    bits = (F.when(F.isnan(x), nan_bits)
+            .when(a == float("inf"), inf_bits)
+            .when(a >= MIN_NORMAL, normal_bits)
+            .otherwise(subnormal_bits))
+    return F.when(x.isNull(), F.lit(None).cast("bigint")).when(
+        F.isnan(x) | (x >= 0), bits).otherwise(-bits - 1)
+
+
+def key_double(k: Column) -> Column:
+    """Inverse of :func:`double_key`."""
+    bits = F.when(k >= 0, k).otherwise(-k - 1)
+    biased = F.shiftright(bits, MANTISSA_BITS)
+    mant = bits.bitwiseAND(F.lit((1 << MANTISSA_BITS) - 1))
+    mant_scale = float(1 << MANTISSA_BITS)
+    a = (F.when((biased == 0x7FF) & (mant != 0), F.lit(float("nan")))
+         .when(biased == 0x7FF, F.lit(float("inf")))
+         .when(biased == 0, mant.cast("double") * F.pow(F.lit(2.0), F.lit(MIN_SUBNORMAL_EXP)))
+         .otherwise((F.lit(1.0) + mant.cast("double") / mant_scale)
+                    * F.pow(F.lit(2.0), (biased - EXPONENT_BIAS).cast("double"))))
+    return F.when(k >= 0, a).otherwise(-a)
 
 
 def exact_percentiles(df: DataFrame, group_cols: Sequence[str], value_col: str,
@@ -38,7 +80,8 @@ def exact_percentiles(df: DataFrame, group_cols: Sequence[str], value_col: str,
                       bounds: tuple[int | None, int | None] | None = None,
                       salt_buckets: int = 0) -> DataFrame:
     """Rows ``(group..., percentile, value)``: exact nearest-rank percentiles of an
-    integral column per group (NULL values ignored; groups with none are absent).
+    integral or floating column per group (NULL values ignored; groups with none are
+    absent; floating values go through :func:`double_key`, NaN ranks last).
     ``weight_col`` gives a multiplicity per row (input already counted by value).
     ``bounds`` = (min, max) of the values, when the caller already knows them.
     ``salt_buckets`` > 0 salts the counts side of each pass's join (targets replicated that
@@ -48,6 +91,12 @@ def exact_percentiles(df: DataFrame, group_cols: Sequence[str], value_col: str,
         raise ValueError("digit_bits must divide 64")
     g = list(group_cols)
     spark = df.sparkSession
+    vtype = df.schema[value_col].dataType
+    if isinstance(vtype, (T.FloatType, T.DoubleType)):
+        keyed = df.withColumn("_dkey", double_key(F.col(value_col).cast("double")))
+        out = exact_percentiles(keyed, group_cols, "_dkey", percentiles, weight_col, digit_bits,
+                                materialize, None, salt_buckets)
+        return out.withColumn("value", key_double(F.col("value")))
     if not g:                       # one global group: a constant key keeps every join an equi-join
         out = exact_percentiles(df.withColumn("_all", F.lit(0)), ["_all"], value_col, percentiles,
                                 weight_col, digit_bits, materialize, bounds, salt_buckets)

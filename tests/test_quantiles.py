@@ -2,6 +2,8 @@
 negative and extreme values, NULL group keys and weighted input."""
 
 import math
+
+from pyspark.sql import functions as F
 import random
 from collections import defaultdict
 
@@ -63,3 +65,29 @@ def test_narrow_range_skips_leading_passes(spark):
 def test_all_null_gives_no_rows(spark):
     df = spark.createDataFrame([(1, None)], "g int, v bigint")
     assert exact_percentiles(df, ["g"], "v", [0.5]).count() == 0
+
+
+def test_double_keys_roundtrip_and_order(spark):
+    from eventlake.operators.quantiles import double_key, key_double
+    vals = [0.0, -0.0, 1.0, -1.0, 0.1, -0.1, 1e-310, -1e-310, 5e-324, 2.2250738585072014e-308,
+            1.7976931348623157e308, -1.7976931348623157e308, float("inf"), float("-inf"), 3.0, 4.0,
+            0.5, 1.5, 1e300, -1e-300, 123456.789]
+    df = spark.createDataFrame([(v,) for v in vals], "x double")
+    rows = df.select("x", double_key(F.col("x")).alias("k")).collect()
+    back = {r.k: r.x for r in rows}
+    rt = df.select(key_double(double_key(F.col("x"))).alias("y"), "x").collect()
+    assert all(r.y == r.x for r in rt)                       # exact round trip (-0.0 == 0.0)
+    ordered = sorted(rows, key=lambda r: r.k)
+    xs = [r.x for r in ordered]
+    assert xs == sorted(xs)
+    assert len(back) == len(vals) - 1                        # -0.0 and 0.0 share a key
+
+
+def test_exact_percentiles_doubles(spark):
+    rnd = random.Random(11)
+    rows = [("a", rnd.uniform(-1e6, 1e6)) for _ in range(300)] + \
+        [("b", rnd.choice([0.1, 0.2, -3.5, 1e-310, float("inf")])) for _ in range(200)] + [("b", None)]
+    ps = [0.01, 0.5, 0.99, 1.0]
+    df = spark.createDataFrame(rows, "g string, v double")
+    got = {(r.g, r.percentile): r.value for r in exact_percentiles(df, ["g"], "v", ps).collect()}
+    assert got == _brute(rows, ps)
