@@ -3,6 +3,9 @@
 Each query is forced with a ``noop`` write (full computation, nothing collected
 to the driver).  One warm-up query is run first and not counted.  Prints ONE
 JSON line: {"metric", "value", "unit", "queries", "sf", ...}.
+
+Environment: BENCH_SF_DIR, BENCH_CPUS, BENCH_REPEAT (best of N), BENCH_QUERIES (comma list),
+BENCH_EVENT_LOG (folder for Spark's event log, for stage and task times).
 """
 
 from __future__ import annotations
@@ -24,8 +27,11 @@ def main() -> None:
     cpus = os.environ.get("BENCH_CPUS", "8")
     repeat = int(os.environ.get("BENCH_REPEAT", "1"))
     only = [q for q in os.environ.get("BENCH_QUERIES", "").split(",") if q]
+    extra = {}
+    if os.environ.get("BENCH_EVENT_LOG"):      # stage/task times without any UI: Spark's event log
+        extra = {"spark.eventLog.enabled": "true", "spark.eventLog.dir": os.environ["BENCH_EVENT_LOG"]}
     spark = build_session(master=f"local[{cpus}]", app_name="eventlake-bench",
-                          shuffle_partitions=int(cpus))
+                          shuffle_partitions=int(cpus), extra_conf=extra)
     m = re.search(r"sf([0-9.]+)", sf_dir)
     sf = float(m.group(1)) if m else None
 

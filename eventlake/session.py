@@ -45,7 +45,8 @@ def apply_cluster_conf(spark: SparkSession, overrides: dict | None = None) -> No
 
 
 def build_session(master: str | None = None, app_name: str = "eventlake",
-                  shuffle_partitions: int | None = None) -> SparkSession:
+                  shuffle_partitions: int | None = None,
+                  extra_conf: dict | None = None) -> SparkSession:
     """Session with the settings the library is tuned for (used by tests and bench)."""
     cores = os.environ.get("BENCH_CPUS", "8")
     master = master or f"local[{cores}]"
@@ -63,6 +64,8 @@ def build_session(master: str | None = None, app_name: str = "eventlake",
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", os.environ.get("EVENTLAKE_DRIVER_MEMORY", "16g"))
     )
+    for key, value in (extra_conf or {}).items():
+        builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_utc(spark)
