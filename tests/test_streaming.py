@@ -215,3 +215,23 @@ def test_compact_day_is_idempotent(spark, tmp_dir):
         env.filter(F.to_date("Timestamp") == "2024-01-06").count()
     days = sorted(d for d in os.listdir(f"{tmp_dir}/table") if d.startswith("event_date="))
     assert days == ["event_date=2024-01-05", "event_date=2024-01-06"]
+
+
+def test_continuous_run_picks_up_new_files(spark, tmp_dir):
+    """A long-running query on a processing-time trigger takes files as they land."""
+    landing = f"{tmp_dir}/landing"
+    ev = _events(spark)
+    _land_parquet(X.envelope_from_events(ev.filter("event_id < 300")), landing, "a")
+    src = S.read_event_stream(spark, landing, options={"pathGlobFilter": "*.parquet"})
+    q = T.run(src, None, f"{tmp_dir}/good", f"{tmp_dir}/dead", f"{tmp_dir}/ckpt",
+              watermark="31 days", available_now=False, processing_time="1 second")
+    try:
+        q.processAllAvailable()
+        assert _good(spark, f"{tmp_dir}/good").count() == 300
+        _land_parquet(X.envelope_from_events(ev.filter("event_id >= 250")), landing, "b")
+        q.processAllAvailable()
+        good = _good(spark, f"{tmp_dir}/good")
+        assert good.count() == 1000 and good.select("UUID").distinct().count() == 1000
+    finally:
+        q.stop()
+    assert q.exception() is None
