@@ -80,8 +80,9 @@ def exact_percentiles(df: DataFrame, group_cols: Sequence[str], value_col: str,
                       bounds: tuple[int | None, int | None] | None = None,
                       salt_buckets: int = 0) -> DataFrame:
     """Rows ``(group..., percentile, value)``: exact nearest-rank percentiles of an
-    integral or floating column per group (NULL values ignored; groups with none are
-    absent; floating values go through :func:`double_key`, NaN ranks last).
+    integral, decimal (up to 18 digits) or floating column per group (NULL values ignored;
+    groups with none are absent; floating values go through :func:`double_key`, NaN ranks
+    last; decimals through their unscaled value).
     ``weight_col`` gives a multiplicity per row (input already counted by value).
     ``bounds`` = (min, max) of the values, when the caller already knows them.
     ``salt_buckets`` > 0 salts the counts side of each pass's join (targets replicated that
@@ -92,6 +93,15 @@ def exact_percentiles(df: DataFrame, group_cols: Sequence[str], value_col: str,
     g = list(group_cols)
     spark = df.sparkSession
     vtype = df.schema[value_col].dataType
+    if isinstance(vtype, T.DecimalType):
+        if vtype.precision > 18:
+            raise ValueError("exact percentiles take decimals of at most 18 digits")
+        scale = 10 ** vtype.scale                 # unscaled value: exact in 64 bits
+        keyed = df.withColumn("_dkey", (F.col(value_col) * F.lit(scale)).cast("bigint"))
+        out = exact_percentiles(keyed, group_cols, "_dkey", percentiles, weight_col, digit_bits,
+                                materialize, None, salt_buckets)
+        return out.withColumn("value", (F.col("value").cast(T.DecimalType(18, 0))
+                                        / F.lit(scale)).cast(vtype))
     if isinstance(vtype, (T.FloatType, T.DoubleType)):
         keyed = df.withColumn("_dkey", double_key(F.col(value_col).cast("double")))
         out = exact_percentiles(keyed, group_cols, "_dkey", percentiles, weight_col, digit_bits,

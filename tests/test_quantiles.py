@@ -91,3 +91,14 @@ def test_exact_percentiles_doubles(spark):
     df = spark.createDataFrame(rows, "g string, v double")
     got = {(r.g, r.percentile): r.value for r in exact_percentiles(df, ["g"], "v", ps).collect()}
     assert got == _brute(rows, ps)
+
+
+def test_exact_percentiles_decimals(spark):
+    from decimal import Decimal
+    rnd = random.Random(5)
+    rows = [("a", Decimal(rnd.randint(-10 ** 9, 10 ** 9)) / Decimal(1000)) for _ in range(200)]
+    ps = [0.25, 0.5, 0.99]
+    df = spark.createDataFrame(rows, "g string, v decimal(12,3)")
+    got = {(r.g, r.percentile): r.value for r in exact_percentiles(df, ["g"], "v", ps).collect()}
+    assert got == _brute(rows, ps)
+    assert dict(exact_percentiles(df, ["g"], "v", ps).dtypes)["value"] == "decimal(12,3)"
