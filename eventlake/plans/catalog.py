@@ -270,6 +270,21 @@ def sink_table(spark, sf_dir):
     return back.select("UUID", "Name", _us().alias("Timestamp_us"), _day_text("event_date").alias("event_date"))
 
 
+# The sink section of the options query (batch size and codec as documented).
+SINK_SECTIONS = {"ClickHouse": {"BatchSize": 1000, "Compression": "GZip"}, "Postgres": None, "Kafka": None}
+
+
+def sink_options(spark, sf_dir):
+    """The sink chosen from configuration sections (exactly one present), its
+    compression and batch size (rows per file) applied to a write of the whole envelope;
+    the table read back."""
+    kind, opts = K.sink_from_config(SINK_SECTIONS)
+    path = scratch_path(spark, f"sink-{kind}")
+    K.write_sorted(_env(spark, sf_dir), path, compression=opts["compression"],
+                   batch_size=int(opts["maxRecordsPerFile"]))
+    return spark.read.parquet(path).select("UUID", "Name", _us().alias("Timestamp_us"))
+
+
 def kafka_payload(spark, sf_dir):
     """K3: message key and value per event."""
     msgs = K.kafka_payload(_env(spark, sf_dir))
@@ -521,6 +536,7 @@ QUERIES: dict[str, Query] = {
     "sink_daily": sink_daily,
     "sink_ingest": sink_ingest,
     "sink_table": sink_table,
+    "sink_options": sink_options,
     "kafka_payload": kafka_payload,
     "kafka_roundtrip": kafka_roundtrip,
     "day_partition": day_partition,

@@ -199,6 +199,7 @@ BODIES: dict[str, str] = {
 BODIES["stream_restart"] = TEXT_ENVELOPE
 BODIES["stream_keep_late"] = TEXT_ENVELOPE
 BODIES["sink_table"] = BODIES["sink_daily"]
+BODIES["sink_options"] = "SELECT UUID, Name, ts_us AS Timestamp_us FROM env"
 BODIES["hourly_stats_stream"] = BODIES["hourly_stats"]
 BODIES["alert_windows_stream"] = BODIES["alert_windows"]
 BODIES["failure_bursts_stream"] = BODIES["failure_bursts"]

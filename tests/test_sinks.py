@@ -231,3 +231,16 @@ def test_ingest_one_job_good_and_dead(spark, tmp_dir):
     env = X.envelope_from_events(ev)
     ingest(env, STANDARD_SPECS, root2)
     assert read_status(spark, root2).count() == capture(env, STANDARD_SPECS).count() > 0
+
+
+def test_sink_options_applied_to_files(spark):
+    import pyarrow.parquet as pq
+    from eventlake.plans import catalog
+    df = catalog.sink_options(spark, SF001)
+    assert df.count() == 1000
+    files = [f for f in df.inputFiles()]
+    assert files and all(f.endswith(".gz.parquet") for f in files)
+    for f in files:
+        local = f.replace("file:", "", 1)
+        assert pq.ParquetFile(local).metadata.num_rows <= 1000
+        assert pq.ParquetFile(local).metadata.row_group(0).column(0).compression == "GZIP"
