@@ -140,10 +140,21 @@ def session_filter(specs: Sequence[CaptureSpec]) -> Column:
     return F.col("Name").isin([s.name for s in specs]) & cond
 
 
+CORRUPT_COLUMN = "_corrupt_record"
+
+
 def capture(df: DataFrame, specs: Sequence[CaptureSpec]) -> DataFrame:
-    """C5 (+C1-C4, C6): one pass over an envelope frame, batch or streaming."""
+    """C5 (+C1-C4, C6): one pass over an envelope frame, batch or streaming.
+
+    A source that keeps unparseable input in ``_corrupt_record`` (JSON landing files)
+    has those rows passed through, with the column, so the constraint split sends them
+    to the dead letter instead of the kind filter dropping them silently."""
     _check(specs)
-    kept = drop_null(df).filter(session_filter(specs))
+    keep = F.col("UUID").isNotNull() & session_filter(specs)
+    corrupt = CORRUPT_COLUMN in df.columns
+    if corrupt:
+        keep = keep | F.col(CORRUPT_COLUMN).isNotNull()
+    kept = df.filter(keep)
     actions = None
     fields = None
     for s in specs:
@@ -154,7 +165,8 @@ def capture(df: DataFrame, specs: Sequence[CaptureSpec]) -> DataFrame:
         fields = (F.when(F.col("Name") == s.name, f) if fields is None
                   else fields.when(F.col("Name") == s.name, f))
     cols = [c for c in ENVELOPE_COLUMNS if c not in ("Actions", "Fields")]
-    return kept.select(*cols, actions.alias("Actions"), fields.alias("Fields"))
+    extra = [CORRUPT_COLUMN] if corrupt else []
+    return kept.select(*cols, actions.alias("Actions"), fields.alias("Fields"), *extra)
 
 
 # Keys of the documented event-definition configuration.

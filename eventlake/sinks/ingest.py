@@ -26,11 +26,10 @@ def ingest(df: DataFrame, specs: Sequence[CaptureSpec] | None, root: str,
     captured = capture(df, specs) if specs else df
     labelled = captured.withColumn("reject_reason", reject_reason(tuple(captured.columns)))
     # good rows dedup on (Timestamp, UUID); a dead row only collapses with its exact copy
+    # (its key is a hash of the whole row, corrupt text included)
+    row_text = F.to_json(F.struct(*[F.col(c) for c in captured.columns]))
     key = F.when(F.col("reject_reason").isNull(), F.col("UUID")).otherwise(
-        F.concat_ws("\u0000", F.lit(DEAD), F.coalesce("UUID", F.lit("")),
-                    F.col("XEventStartOffsetInBytes").cast("string"),
-                    F.xxhash64(F.coalesce("Name", F.lit("")), F.to_json("Actions"), F.to_json("Fields"))
-                    .cast("string")))
+        F.concat(F.lit(DEAD + "\u0000"), F.sha2(row_text, 256)))
     deduped = dedup_key(labelled.withColumn("_key", key), keys=("Timestamp", "_key")).drop("_key")
     out = (deduped.withColumn("status", F.when(F.col("reject_reason").isNull(), F.lit(GOOD))
                               .otherwise(F.lit(DEAD)))

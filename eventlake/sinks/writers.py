@@ -117,8 +117,11 @@ def dedup_key(df: DataFrame, keys: tuple[str, ...] = ("Timestamp", "UUID"),
     others = [c for c in df.columns if c not in keys]
     if prefer not in df.columns or not others:
         return df.dropDuplicates(list(keys))
+    # min_by skips NULL orderings: order by (missing?, value) so a row without the
+    # preferred column still wins its group when it is the only one
+    order = F.struct(F.col(prefer).isNull(), F.col(prefer))
     picked = (df.groupBy(*keys)
-              .agg(F.min_by(F.struct(*others), F.col(prefer)).alias("_row")))
+              .agg(F.min_by(F.struct(*others), order).alias("_row")))
     return picked.select(*[F.col(c) if c in keys else F.col(f"_row.{c}") for c in df.columns])
 
 

@@ -128,9 +128,10 @@ def run(source: DataFrame, specs: Sequence[CaptureSpec] | None, good_root: str,
         raise ValueError("keep_late deduplicates against the target; pass watermark=None")
     df = capture(source, specs) if specs else source
     if watermark is not None:
-        # rows without a UUID are dead letters; keep each of them (offset tells them apart)
-        key = F.coalesce(F.col("UUID"), F.concat(F.lit("\u0000"),
-                                                 F.col("XEventStartOffsetInBytes").cast("string")))
+        # rows without a UUID (broken or corrupt input) are dead letters: each distinct one is
+        # kept, only exact copies collapse (the key is a hash of the whole row)
+        row_text = F.to_json(F.struct(*[F.col(c) for c in df.columns]))
+        key = F.coalesce(F.col("UUID"), F.concat(F.lit("\u0000"), F.sha2(row_text, 256)))
         df = dedup_stream(df.withColumn("_dedup_key", key), watermark,
                           keys=("Timestamp", "_dedup_key")).drop("_dedup_key")
     w = (df.writeStream.foreachBatch(with_dead_letter(good_root, dead_root, write_good, keep_late))

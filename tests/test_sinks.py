@@ -167,6 +167,10 @@ def test_dedup_key_keeps_earliest_delivery(spark):
     out = K.dedup_key(env).orderBy("Timestamp").select(F.to_json("Actions")).collect()
     assert [r[0] for r in out] == ['{"v":1}', '{"v":3}']
     assert K.dedup_key(env).columns == env.columns
+    # a group whose rows lack the preferred column keeps its row (min_by skips NULL orderings)
+    no_offset = env_rows(spark, [(uuid_of(2), "k", "2024-01-02T00:00:00.000000+00:00", None, 1, 1, '{"v":9}', "{}")])
+    kept = K.dedup_key(no_offset).first()
+    assert kept.UUID == uuid_of(2) and kept.XEventStartOffsetInBytes is None
 
 
 def test_stored_payload_reads_are_columnar(spark, tmp_dir):
@@ -244,3 +248,20 @@ def test_sink_options_applied_to_files(spark):
         local = f.replace("file:", "", 1)
         assert pq.ParquetFile(local).metadata.num_rows <= 1000
         assert pq.ParquetFile(local).metadata.row_group(0).column(0).compression == "GZIP"
+
+
+def test_ingest_keeps_each_corrupt_line(spark, tmp_dir):
+    from eventlake.plans.catalog import STANDARD_SPECS
+    from eventlake.sinks.ingest import ingest, read_status
+    txt = X.env_text(X.read_table(spark, SF001, "events"))
+    path = f"{tmp_dir}/land.json"
+    lines = [r[0] for r in txt.select(F.to_json(F.struct(*txt.columns))).collect()] + ["bad 1", "bad 2", "bad 1"]
+    with open(path, "w") as fh:
+        fh.write("\n".join(lines) + "\n")
+    from eventlake.functions.envelope import ENVELOPE_TEXT
+    from pyspark.sql import types as T
+    schema = T.StructType([*ENVELOPE_TEXT.fields, T.StructField("_corrupt_record", T.StringType())])
+    raw = spark.read.schema(schema).option("columnNameOfCorruptRecord", "_corrupt_record").json(path)
+    ingest(S.from_text(raw), STANDARD_SPECS, f"{tmp_dir}/out")
+    dead = read_status(spark, f"{tmp_dir}/out", "dead")
+    assert sorted(r._corrupt_record for r in dead.collect()) == ["bad 1", "bad 2"]   # exact copy collapses

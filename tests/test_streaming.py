@@ -3,6 +3,8 @@ late rows, dead letters and replay-safe batches."""
 
 import os
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from eventlake.functions.envelope import to_text
@@ -100,6 +102,24 @@ def test_dead_letters_from_corrupt_text(spark, tmp_dir):
     assert reasons == ["Actions malformed", "corrupt record"]
 
 
+@pytest.mark.parametrize("watermark", [None, "31 days"])
+def test_corrupt_lines_reach_dead_letter_with_specs(spark, tmp_dir, watermark):
+    landing = f"{tmp_dir}/landing"
+    os.makedirs(landing)
+    txt = X.env_text(_events(spark))
+    lines = [r[0] for r in txt.select(F.to_json(F.struct(*txt.columns))).collect()] + ["not json", "{broken"]
+    with open(f"{landing}/part-0.json", "w") as fh:
+        fh.write("\n".join(lines) + "\n")
+    src = S.read_event_stream(spark, landing, fmt="json")
+    T.drain(T.run(src, STANDARD_SPECS, f"{tmp_dir}/good", f"{tmp_dir}/dead", f"{tmp_dir}/ckpt",
+                  watermark=watermark))
+    good = _good(spark, f"{tmp_dir}/good")
+    want = C.capture(X.envelope_from_events(_events(spark)), STANDARD_SPECS).count()
+    assert good.count() == want
+    dead = spark.read.parquet(f"{tmp_dir}/dead")
+    assert sorted(r.reject_reason for r in dead.collect()) == ["corrupt record", "corrupt record"]
+
+
 def test_idempotent_batch_replay(spark, tmp_dir):
     env = X.envelope_from_events(_events(spark)).limit(30)
     fn = T.idempotent_batch(f"{tmp_dir}/out")
