@@ -50,22 +50,29 @@ def dedup_stream(df: DataFrame, watermark: str = DEFAULT_WATERMARK,
     return dedup_key(df.withWatermark("Timestamp", watermark), keys)
 
 
-BatchWriter = Callable[[DataFrame, str], None]
+BatchWriter = Callable[[DataFrame, str, int], None]
 
 
-def parquet_daily(batch: DataFrame, path: str) -> None:
-    with_event_date(batch).write.mode("overwrite").partitionBy("event_date").parquet(path)
+def daily_by_batch(batch: DataFrame, root: str, batch_id: int) -> None:
+    """Good rows of batch N under ``root/event_date=D/batch_id=N``.  Dynamic partition
+    overwrite replaces exactly the (day, batch) folders the batch writes, so a replay of
+    the same offsets replaces its own output; day-first folders keep every read of a day
+    (queries, keep-late dedup, compaction) pruned to that day."""
+    (with_event_date(batch).withColumn("batch_id", F.lit(batch_id))
+        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        .partitionBy("event_date", "batch_id").parquet(root))
 
 
-def parquet_plain(batch: DataFrame, path: str) -> None:
-    batch.write.mode("overwrite").parquet(path)
+def plain_by_batch(batch: DataFrame, root: str, batch_id: int) -> None:
+    """Rows of batch N under ``root/batch_id=N`` (dead letters, aggregate update logs)."""
+    batch.write.mode("overwrite").parquet(f"{root}/batch_id={batch_id}")
 
 
-def idempotent_batch(root: str, write: BatchWriter = parquet_daily):
-    """T5: a ``foreachBatch`` function that writes batch N to ``root/batch_id=N`` with
+def idempotent_batch(root: str, write: BatchWriter = daily_by_batch):
+    """T5: a ``foreachBatch`` function whose writes are keyed by the batch id with
     overwrite, so a replay after a failure replaces, never duplicates."""
     def run(batch: DataFrame, batch_id: int) -> None:
-        write(batch, f"{root}/batch_id={batch_id}")
+        write(batch, root, batch_id)
     return run
 
 
@@ -91,7 +98,7 @@ def dedup_against_target(batch: DataFrame, good_root: str, batch_id: int,
     return fresh.join(seen, list(keys), "left_anti")
 
 
-def with_dead_letter(good_root: str, dead_root: str, write_good: BatchWriter = parquet_daily,
+def with_dead_letter(good_root: str, dead_root: str, write_good: BatchWriter = daily_by_batch,
                      keep_late: bool = False):
     """Split each micro-batch by the row constraints; good rows to the sink, broken
     rows with their reason to the dead letter.  Both writes are keyed by batch id.
@@ -104,10 +111,10 @@ def with_dead_letter(good_root: str, dead_root: str, write_good: BatchWriter = p
             if keep_late:
                 good = dedup_against_target(good, good_root, batch_id)
             dead = labelled.filter(F.col("reject_reason").isNotNull())
-            write_good(good, f"{good_root}/batch_id={batch_id}")
+            write_good(good, good_root, batch_id)
             to_text = dead.select(*[F.to_json(c).alias(c) if c in ("Actions", "Fields") else F.col(c)
                                     for c in dead.columns])
-            parquet_plain(to_text, f"{dead_root}/batch_id={batch_id}")
+            plain_by_batch(to_text, dead_root, batch_id)
         finally:
             labelled.unpersist()
     return run
@@ -115,7 +122,7 @@ def with_dead_letter(good_root: str, dead_root: str, write_good: BatchWriter = p
 
 def run(source: DataFrame, specs: Sequence[CaptureSpec] | None, good_root: str, dead_root: str,
         checkpoint: str, watermark: str | None = DEFAULT_WATERMARK, available_now: bool = True,
-        processing_time: str | None = None, write_good: BatchWriter = parquet_daily,
+        processing_time: str | None = None, write_good: BatchWriter = daily_by_batch,
         keep_late: bool = False) -> StreamingQuery:
     """The continuous ingest job.  ``available_now`` drains what is there and stops
     (T4); otherwise it runs on ``processing_time`` triggers until stopped.
@@ -154,12 +161,13 @@ def drain(query: StreamingQuery, timeout_s: float = 600.0) -> None:
 
 
 def compact_day(spark, good_root: str, table_root: str, day: str) -> None:
-    """Fold one UTC day from the per-batch folders into a day-partitioned table.
+    """Fold one UTC day from its per-batch folders into a day-partitioned table.
 
-    A long-running stream leaves one ``batch_id=N`` folder per micro-batch; once a day is
-    closed (past the watermark) its rows are rewritten here, deduplicated, as
-    ``table_root/event_date=day``.  Dynamic partition overwrite replaces only that day,
-    so a rerun after a failure is idempotent.  Reads prune to the day on every batch."""
+    A long-running stream leaves one ``event_date=D/batch_id=N`` folder per micro-batch and
+    day; once a day is closed (past the watermark) its rows are rewritten here,
+    deduplicated, as ``table_root/event_date=day``.  Dynamic partition overwrite replaces
+    only that day, so a rerun after a failure is idempotent; the read prunes to the day's
+    folder, and that one folder is what a retention job removes afterwards."""
     rows = (spark.read.parquet(good_root)
             .filter(F.col("event_date") == F.lit(day).cast("date"))
             .drop("batch_id", "event_date"))
@@ -174,7 +182,7 @@ def run_aggregate(agg: DataFrame, root: str, checkpoint: str, available_now: boo
     to ``root/batch_id=N`` (replay-safe).  With a watermark on the input, state for
     closed windows is dropped, so state stays bounded on an endless stream."""
     w = (agg.writeStream.outputMode("update")
-         .foreachBatch(idempotent_batch(root, parquet_plain))
+         .foreachBatch(idempotent_batch(root, plain_by_batch))
          .option("checkpointLocation", checkpoint))
     if available_now:
         w = w.trigger(availableNow=True)

@@ -127,6 +127,9 @@ def test_idempotent_batch_replay(spark, tmp_dir):
     fn(env, 7)   # replay of the same batch after a failure
     fn(env.limit(10), 8)
     assert spark.read.parquet(f"{tmp_dir}/out").count() == 40
+    days = [d for d in os.listdir(f"{tmp_dir}/out") if d.startswith("event_date=")]
+    assert days and all(b.startswith("batch_id=") for d in days
+                        for b in os.listdir(f"{tmp_dir}/out/{d}") if not b.startswith((".", "_")))
 
 
 def test_dedup_stream_uses_watermark(spark, tmp_dir):
@@ -211,8 +214,8 @@ def test_keep_late_dedups_against_target(spark, tmp_dir):
     # replaying a stored batch id rewrites the same rows, it does not drop them
     fn = T.with_dead_letter(f"{tmp_dir}/good", f"{tmp_dir}/dead", keep_late=True)
     last = spark.read.parquet(f"{tmp_dir}/good").agg(F.max("batch_id")).first()[0]
-    spark.read.parquet(f"{tmp_dir}/good/batch_id={last}").drop("event_date") \
-        .write.parquet(f"{tmp_dir}/replay")
+    spark.read.parquet(f"{tmp_dir}/good").filter(F.col("batch_id") == last) \
+        .drop("event_date", "batch_id").write.parquet(f"{tmp_dir}/replay")
     again = spark.read.parquet(f"{tmp_dir}/replay")
     fn(again, last)
     assert _good(spark, f"{tmp_dir}/good").count() == 1000
