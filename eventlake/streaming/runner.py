@@ -176,6 +176,23 @@ def compact_day(spark, good_root: str, table_root: str, day: str) -> None:
         .partitionBy("event_date").parquet(table_root))
 
 
+def retire_day(spark, good_root: str, table_root: str, day: str) -> bool:
+    """Remove a compacted day's per-batch folder (``good_root/event_date=day``), but only
+    after checking that the table holds exactly that day's deduplicated rows (a V3-style
+    count gate).  Returns False, deleting nothing, when the check fails or nothing is there."""
+    pick = F.col("event_date") == F.lit(day).cast("date")
+    try:
+        staged = dedup_key(spark.read.parquet(good_root).filter(pick).drop("batch_id", "event_date")).count()
+        stored = spark.read.parquet(table_root).filter(pick).count()
+    except Exception:  # noqa: BLE001 - a side is missing: keep everything
+        return False
+    if staged == 0 or staged != stored:
+        return False
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(f"{good_root.rstrip('/')}/event_date={day}")
+    fs = jvm_path.getFileSystem(spark._jsc.hadoopConfiguration())
+    return bool(fs.delete(jvm_path, True))
+
+
 def run_aggregate(agg: DataFrame, root: str, checkpoint: str, available_now: bool = True,
                   processing_time: str | None = None) -> StreamingQuery:
     """Streaming aggregate in update mode: each micro-batch writes the groups it changed

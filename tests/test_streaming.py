@@ -238,6 +238,12 @@ def test_compact_day_is_idempotent(spark, tmp_dir):
         env.filter(F.to_date("Timestamp") == "2024-01-06").count()
     days = sorted(d for d in os.listdir(f"{tmp_dir}/table") if d.startswith("event_date="))
     assert days == ["event_date=2024-01-05", "event_date=2024-01-06"]
+    # retention: only a verified, compacted day is removed from the per-batch folders
+    assert not T.retire_day(spark, f"{tmp_dir}/good", f"{tmp_dir}/table", "2024-01-07")   # not compacted
+    assert T.retire_day(spark, f"{tmp_dir}/good", f"{tmp_dir}/table", day)
+    assert not os.path.exists(f"{tmp_dir}/good/event_date={day}")
+    assert os.path.exists(f"{tmp_dir}/good/event_date=2024-01-07")
+    assert spark.read.parquet(f"{tmp_dir}/table").filter(F.col("event_date") == day).count() == want5
 
 
 def test_continuous_run_picks_up_new_files(spark, tmp_dir):
