@@ -29,7 +29,7 @@ CLUSTER_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.shuffle.partitions": "8000",
+    "spark.sql.shuffle.partitions": "20000",
     "spark.sql.files.maxPartitionBytes": "256m",
     "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
     "spark.sql.variant.writeShredding.enabled": "true",
@@ -37,6 +37,19 @@ CLUSTER_CONF = {
 }
 
 
+# Target bytes per reduce partition for full-data shuffles (sort-based
+# shuffle spills beyond memory, so ~1 GB per task is safe and keeps the task count down).
+SHUFFLE_TARGET_BYTES = 1 << 30
+
+
+def shuffle_partitions_for(shuffle_bytes: int, target_bytes: int = SHUFFLE_TARGET_BYTES,
+                           floor: int = 200) -> int:
+    """Initial shuffle partitions for a shuffle of ``shuffle_bytes``.  AQE can merge small
+    partitions but not split big ones (skew aside), so the initial count must cover the
+    largest shuffle of a job: K6 dedup, V1 distinct and the S4 sort move whole rows."""
+    return max(floor, -(-int(shuffle_bytes) // int(target_bytes)))
+
+
 def apply_cluster_conf(spark: SparkSession, overrides: dict | None = None) -> None:
     """Apply :data:`CLUSTER_CONF` (plus ``overrides``) to a running session.  All of these
     are SQL settings, changeable at runtime; nothing outside the session is touched."""

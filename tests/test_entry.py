@@ -58,3 +58,9 @@ def test_cluster_conf_applies_at_runtime(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_shuffle_partition_sizing():
+    from eventlake.session import shuffle_partitions_for
+    assert shuffle_partitions_for(100 * 2 ** 40) == 102400          # 100 TiB at 1 GiB per task
+    assert shuffle_partitions_for(10 * 2 ** 20) == 200              # small shuffles: the floor
