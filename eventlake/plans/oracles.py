@@ -196,6 +196,7 @@ BODIES: dict[str, str] = {
         FROM r GROUP BY day, database_name""",
 }
 
+BODIES["capacity_daily_approx"] = BODIES["capacity_daily"]
 BODIES["stream_restart"] = TEXT_ENVELOPE
 BODIES["stream_keep_late"] = TEXT_ENVELOPE
 BODIES["sink_table"] = BODIES["sink_daily"]
@@ -205,7 +206,7 @@ BODIES["alert_windows_stream"] = BODIES["alert_windows"]
 BODIES["failure_bursts_stream"] = BODIES["failure_bursts"]
 
 # bodies that add CTEs of their own continue the WITH list
-_CONTINUES = {"query_hash_regression", "capacity_daily"}
+_CONTINUES = {"query_hash_regression", "capacity_daily", "capacity_daily_approx"}
 
 
 def oracle_sql() -> dict[str, str]:
