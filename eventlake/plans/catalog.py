@@ -19,7 +19,7 @@ from eventlake.functions.envelope import field, project, to_text
 from eventlake.operators import analytics as A
 from eventlake.operators import capture as C
 from eventlake.operators import verify as V
-from eventlake.session import ensure_utc, scratch_path
+from eventlake.session import ensure_utc, scratch_path, sql_conf
 from eventlake.sinks import writers as K
 from eventlake.sources import fixtures as X
 from eventlake.sources import readers as S
@@ -49,6 +49,15 @@ def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return X.read_table(spark, sf_dir, "events")
 
 
+def _slots(spark: SparkSession) -> int | None:
+    """State partitions for the registered streaming queries: the cluster's task slots
+    (the test inputs are small; Spark's default of 200 would mostly run empty tasks)."""
+    try:
+        return spark.sparkContext.defaultParallelism
+    except Exception:  # noqa: BLE001 - no classic context: keep the session setting
+        return None
+
+
 def _us(col: str = "Timestamp") -> Column:
     return F.unix_micros(F.col(col))
 
@@ -359,9 +368,10 @@ def stream_restart(spark, sf_dir):
     first_before, second_from = RESTART_SPLIT
     env.filter(F.col("Timestamp") < F.lit(first_before).cast("timestamp")).write.parquet(landing + "/d1")
     src = S.read_event_stream(spark, landing, options={"recursiveFileLookup": "true"})
-    T.drain(T.run(src, None, good, dead, ckpt, watermark="31 days"))
+    T.drain(T.run(src, None, good, dead, ckpt, watermark="31 days", state_partitions=_slots(spark)))
     env.filter(F.col("Timestamp") >= F.lit(second_from).cast("timestamp")).write.parquet(landing + "/d2")
-    T.drain(T.run(src, None, good, dead, ckpt, watermark="31 days"))       # restart, same checkpoint
+    T.drain(T.run(src, None, good, dead, ckpt, watermark="31 days",
+                  state_partitions=_slots(spark)))                      # restart, same checkpoint
     return to_text(spark.read.parquet(good).drop("batch_id", "event_date"))
 
 
@@ -374,9 +384,11 @@ def stream_keep_late(spark, sf_dir):
     newer_from, older_before = RESTART_SPLIT[1], RESTART_SPLIT[0]
     env.filter(F.col("Timestamp") >= F.lit(newer_from).cast("timestamp")).write.parquet(landing + "/d1")
     src = S.read_event_stream(spark, landing, options={"recursiveFileLookup": "true"})
-    T.drain(T.run(src, None, good, dead, ckpt, watermark=None, keep_late=True))
+    T.drain(T.run(src, None, good, dead, ckpt, watermark=None, keep_late=True,
+                  state_partitions=_slots(spark)))
     env.filter(F.col("Timestamp") < F.lit(older_before).cast("timestamp")).write.parquet(landing + "/d2")
-    T.drain(T.run(src, None, good, dead, ckpt, watermark=None, keep_late=True))
+    T.drain(T.run(src, None, good, dead, ckpt, watermark=None, keep_late=True,
+                  state_partitions=_slots(spark)))
     return to_text(spark.read.parquet(good).drop("batch_id", "event_date"))
 
 
@@ -388,8 +400,9 @@ def stream_dedup(spark, sf_dir):
         X.envelope_from_events(src.filter(F.col("event_id") % 10 == 0)))
     out = T.dedup_stream(dup, "31 days")
     path, ckpt = scratch_path(spark, "stream-dedup"), scratch_path(spark, "ckpt")
-    q = (out.writeStream.format("parquet").option("path", path)
-         .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
+    with sql_conf(spark, "spark.sql.shuffle.partitions", _slots(spark)):
+        q = (out.writeStream.format("parquet").option("path", path)
+             .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
     T.drain(q)
     back = spark.read.parquet(path)
     return back.select("UUID", _us().alias("Timestamp_us"), F.to_json("Fields").alias("Fields"))
@@ -403,7 +416,7 @@ def _stream_agg(spark, sf_dir, build, keys, label):
     flat = agg.select(F.col("window.start").alias("window_start"),
                       *[c for c in agg.columns if c != "window"])
     root, ckpt = scratch_path(spark, label), scratch_path(spark, "ckpt")
-    T.drain(T.run_aggregate(flat, root, ckpt))
+    T.drain(T.run_aggregate(flat, root, ckpt, state_partitions=_slots(spark)))
     out = T.latest_versions(spark, root, ["window_start", *keys])
     return out.select(F.unix_micros("window_start").alias("window_start_us"),
                       *[c for c in out.columns if c != "window_start"])

@@ -15,6 +15,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -91,6 +92,25 @@ def ensure_utc(spark: SparkSession) -> None:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
+@contextmanager
+def sql_conf(spark: SparkSession, key: str, value: str | None):
+    """Set a SQL setting for the duration of a block and restore it afterwards (used to
+    fix a streaming query's state partitions when it starts; the started query keeps
+    its own copy of the session settings, and its checkpoint records the count)."""
+    if value is None:
+        yield
+        return
+    old = spark.conf.get(key, None)
+    spark.conf.set(key, str(value))
+    try:
+        yield
+    finally:
+        if old is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, old)
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared checkpoint folder of the cluster; a local one only when none is configured."""
     try:

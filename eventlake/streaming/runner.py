@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from eventlake.operators.capture import CaptureSpec, capture
+from eventlake.session import sql_conf
 from eventlake.sinks.writers import dedup_key, label_valid, with_event_date
 
 # The source's maximum dispatch latency, used as the default watermark.
@@ -123,14 +124,15 @@ def with_dead_letter(good_root: str, dead_root: str, write_good: BatchWriter = d
 def run(source: DataFrame, specs: Sequence[CaptureSpec] | None, good_root: str, dead_root: str,
         checkpoint: str, watermark: str | None = DEFAULT_WATERMARK, available_now: bool = True,
         processing_time: str | None = None, write_good: BatchWriter = daily_by_batch,
-        keep_late: bool = False) -> StreamingQuery:
+        keep_late: bool = False, state_partitions: int | None = None) -> StreamingQuery:
     """The continuous ingest job.  ``available_now`` drains what is there and stops
     (T4); otherwise it runs on ``processing_time`` triggers until stopped.
 
     Deduplication: with ``watermark`` set, replays within the watermark are dropped in
     the stream's state and late rows are dropped; with ``keep_late=True`` (and no
     watermark) every batch is deduplicated against the stored target instead, so late
-    rows are kept."""
+    rows are kept.  ``state_partitions`` fixes the state store's partition count at the
+    first start (it is then kept in the checkpoint); default: the session setting."""
     if keep_late and watermark is not None:
         raise ValueError("keep_late deduplicates against the target; pass watermark=None")
     df = capture(source, specs) if specs else source
@@ -147,7 +149,8 @@ def run(source: DataFrame, specs: Sequence[CaptureSpec] | None, good_root: str,
         w = w.trigger(availableNow=True)
     elif processing_time:
         w = w.trigger(processingTime=processing_time)
-    return w.start()
+    with sql_conf(source.sparkSession, "spark.sql.shuffle.partitions", state_partitions):
+        return w.start()
 
 
 def drain(query: StreamingQuery, timeout_s: float = 600.0) -> None:
@@ -194,7 +197,8 @@ def retire_day(spark, good_root: str, table_root: str, day: str) -> bool:
 
 
 def run_aggregate(agg: DataFrame, root: str, checkpoint: str, available_now: bool = True,
-                  processing_time: str | None = None) -> StreamingQuery:
+                  processing_time: str | None = None,
+                  state_partitions: int | None = None) -> StreamingQuery:
     """Streaming aggregate in update mode: each micro-batch writes the groups it changed
     to ``root/batch_id=N`` (replay-safe).  With a watermark on the input, state for
     closed windows is dropped, so state stays bounded on an endless stream."""
@@ -205,7 +209,8 @@ def run_aggregate(agg: DataFrame, root: str, checkpoint: str, available_now: boo
         w = w.trigger(availableNow=True)
     elif processing_time:
         w = w.trigger(processingTime=processing_time)
-    return w.start()
+    with sql_conf(agg.sparkSession, "spark.sql.shuffle.partitions", state_partitions):
+        return w.start()
 
 
 def latest_versions(spark, root: str, keys: Sequence[str]) -> DataFrame:

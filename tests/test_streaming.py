@@ -264,3 +264,17 @@ def test_continuous_run_picks_up_new_files(spark, tmp_dir):
     finally:
         q.stop()
     assert q.exception() is None
+
+
+def test_state_partitions_fixed_and_session_restored(spark, tmp_dir):
+    landing = f"{tmp_dir}/landing"
+    _land_parquet(X.envelope_from_events(_events(spark)), landing, "f1")
+    src = S.read_event_stream(spark, landing, options={"pathGlobFilter": "*.parquet"})
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    q = T.run(src, None, f"{tmp_dir}/good", f"{tmp_dir}/dead", f"{tmp_dir}/ckpt",
+              watermark="31 days", state_partitions=3)
+    T.drain(q)
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+    operator_state = f"{tmp_dir}/ckpt/state/0"          # state/<operator>/<partition>
+    assert sorted(p for p in os.listdir(operator_state) if p.isdigit()) == ["0", "1", "2"]
+    assert _good(spark, f"{tmp_dir}/good").count() == 1000
