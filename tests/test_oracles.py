@@ -24,7 +24,7 @@ def con():
     return c
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
+@pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_matches_oracle(spark, con, name):
     df = QUERIES[name](spark, SF001)
     s_names = df.columns
