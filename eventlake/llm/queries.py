@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventlake.llm import bpe, packing, token_files
+from eventlake.llm import bpe, minhash, packing, token_files, vectors
 from eventlake.llm.common import materialise, table
 from eventlake.session import scratch_path
 
@@ -18,6 +18,10 @@ def tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_multi_index_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.near_vectors(table(spark, sf_dir, "embeddings"), cosine=0.9)
+
+
 def op4_bpe_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = bpe.encode_texts(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"))
     return out.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
@@ -41,8 +45,14 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.with_starts(rows).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
+def op10_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), words=3, num=85, den=100)
+
+
 QUERIES = {
+    "op1_multi_index_dedup": op1_multi_index_dedup,
     "op4_bpe_roundtrip": op4_bpe_roundtrip,
     "op6_best_fit_packing": op6_best_fit_packing,
     "op7_token_files": op7_token_files,
+    "op10_minhash_dedup": op10_minhash_dedup,
 }
