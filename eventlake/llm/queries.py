@@ -6,7 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventlake.llm import bpe, minhash, packing, token_files, vectors
+from eventlake.llm import (bpe, chat, lines, minhash, packing, pii, quality, token_files, toxicity,
+                            vectors)
 from eventlake.llm.common import materialise, table
 from eventlake.session import scratch_path
 
@@ -22,12 +23,40 @@ def op1_multi_index_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.near_vectors(table(spark, sf_dir, "embeddings"), cosine=0.9)
 
 
+def op2_chat_masks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    own = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    says = "</s>[INST] ok [/INST]"
+    extra = spark.createDataFrame([(-7, 0, "user", says), (-7, 1, "assistant", says)], own.schema)
+    segments = chat.format_conversations(own.unionByName(extra), tokenizer("byte_bpe_50k.json"))
+    return chat.read_back(segments)
+
+
+def op3_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.personal_data(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", *[F.size(F.filter("__base", _of(k))).cast("long").alias(f"n_{k}") for k in pii.KINDS],
+                        F.sha2(pii.joined("__base").cast("binary"), 256).alias("base_sha256"),
+                        pii.joined("__spans").alias("spans"))
+
+
+def _of(kind: str):
+    return lambda s: s["kind"] == kind
+
+
 def op4_bpe_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = bpe.encode_texts(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"))
     return out.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
                       F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 
+def op5_toxic_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    remainder = lambda i: F.crc32(i.cast("string").cast("binary")) % 3
+    model = toxicity.train(docs, labels, learn=lambda i: remainder(i) != 1)
+    out = toxicity.scored(docs, model)
+    return out.select("doc_id", (remainder(F.col("doc_id")) == 1).alias("held_out"), "score",
+                      (F.col("score") >= 0.7).cast("int").alias("predicted"), F.size("passages").alias("n_passages"))
+
+
 def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.cut_pieces(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"),
                                 size=1024, end_id=2)
@@ -45,14 +74,24 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.with_starts(rows).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
+def op8_adaptive_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    out = quality.judged(docs)
+    return out.select("doc_id", *[F.col(f"__{c}").alias(c) for c in (
+        "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")])
+
+
+def op9_line_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = lines.without_boilerplate(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+    return out.select("doc_id", F.col("__n_lines").alias("n_lines"), F.col("__n_removed").alias("n_removed"),
+                      F.length("text").cast("long").alias("chars_left"),
+                      F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256"))
+
+
 def op10_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), words=3, num=85, den=100)
 
 
-QUERIES = {
-    "op1_multi_index_dedup": op1_multi_index_dedup,
-    "op4_bpe_roundtrip": op4_bpe_roundtrip,
-    "op6_best_fit_packing": op6_best_fit_packing,
-    "op7_token_files": op7_token_files,
-    "op10_minhash_dedup": op10_minhash_dedup,
-}
+QUERIES = {f.__name__: f for f in (
+    op1_multi_index_dedup, op2_chat_masks, op3_personal_data, op4_bpe_roundtrip, op5_toxic_segments,
+    op6_best_fit_packing, op7_token_files, op8_adaptive_quality, op9_line_spread, op10_minhash_dedup)}
