@@ -1,7 +1,8 @@
 """Toxic passages by maximum-scoring segment search.
 
-Tokens score their log-odds of standing in toxic rather than clean documents, with a Dirichlet
-prior; tokens without significant odds cost a little.  A linear scan finds every maximal
+Words and their beginnings have log-odds of standing in toxic rather than clean documents,
+with a Dirichlet prior; a token scores the best odds among its own, and tokens without
+significant odds cost a little.  A linear scan finds every maximal
 scoring segment of a text; extreme-value statistics of clean text say how surprising the best
 one is for the text's length; a logistic fit turns that into a probability.
 """
@@ -20,14 +21,14 @@ TOKEN = re.compile(r"[^\W\d_]+")
 TRAIN_DOCS = 30_000        # at most so many labelled documents are learned from
 LEXICON = 20_000           # at most so many tokens have odds of their own
 PRIOR = 50.0               # documents that the Dirichlet prior is worth
-LEAST_Z = 3.0              # tokens whose log-odds are fewer standard deviations above 0 have none
+LEAST_Z = 4.0              # tokens whose log-odds are fewer standard deviations above 0 have none
 COST = 0.2                 # what a token without odds costs
 SIGNIFICANT = 0.01         # passages at most so likely in clean text of that length are reported
 
 
 @dataclass(frozen=True)
 class Model:
-    odds: dict[str, float]     # token -> score
+    odds: dict[str, float]     # word or beginning of one -> score
     rate: float                # extreme values: decay of the best score in clean text
     scale: float               # and segments per token
     weights: tuple[float, float, float]    # logistic: bias, surprise, number of passages
@@ -37,6 +38,27 @@ def tokens(text: str) -> list[str]:
     return [w.lower() for w in TOKEN.findall(text)]
 
 
+def features(word: str) -> list[str]:
+    """A word and its beginnings of three to eight letters (marked by a star)."""
+    return [word, *(word[:k] + "*" for k in range(3, min(8, len(word)) + 1))]
+
+
+class Odds(dict):
+    """Score of each word met: the best odds of its features, 0.0 without any; at most about
+    ``most`` words are remembered."""
+
+    def __init__(self, odds: dict[str, float], most: int = 300_000):
+        super().__init__()
+        self.odds, self.most = odds, most
+
+    def __missing__(self, word: str) -> float:
+        if len(self) >= self.most:
+            self.clear()
+        best = max((self.odds.get(f, 0.0) for f in features(word)), default=0.0)
+        self[word] = best
+        return best
+
+
 def maximal_segments(scores: list[float]) -> list[tuple[int, int, float]]:
     """All maximal scoring segments (start, end exclusive, score) of a list of scores, left to
     right, in linear time.  Candidates are kept with the totals before and after them; a new
@@ -62,14 +84,15 @@ def maximal_segments(scores: list[float]) -> list[tuple[int, int, float]]:
     return [(a, b, high - low) for a, b, low, high, _ in kept]
 
 
-def segments(words: list[str], odds: dict[str, float], cost: float = COST) -> list[tuple[int, int, float]]:
+def segments(words: list[str], odds: Odds, cost: float = COST) -> list[tuple[int, int, float]]:
     """Maximal segments of a text as (first word, last word exclusive, score)."""
-    hits = [k for k, w in enumerate(words) if w in odds]
+    values = list(map(odds.__getitem__, words))
+    hits = [k for k, v in enumerate(values) if v]
     if not hits:
         return []
     scores, last = [], hits[0]
     for k in hits:
-        scores += [-cost * (k - last), odds[words[k]]]
+        scores += [-cost * (k - last), values[k]]
         last = k + 1
     return [(hits[a // 2], hits[(b - 1) // 2] + 1, s) for a, b, s in maximal_segments(scores)]
 
@@ -107,7 +130,8 @@ def _doc_frequencies(batches):
     count = (Counter(), Counter())
     for pdf in batches:
         for text, toxic in zip(pdf["text"], pdf["toxic"], strict=True):
-            count[1 if toxic else 0].update(set(tokens(text or "")) | {""})     # "" counts documents
+            met = {f for w in set(tokens(text or "")) for f in features(w)}
+            count[1 if toxic else 0].update(met | {""})     # "" counts documents
     words = list(count[0].keys() | count[1].keys())
     for a in range(0, len(words), 50_000):
         own = words[a:a + 50_000]
@@ -119,7 +143,7 @@ def lexicon(sample: DataFrame, least_z: float = LEAST_Z, prior: float = PRIOR, m
     counts), at most ``most``, the most significant first."""
     freq = (sample.select("text", "toxic").mapInPandas(_doc_frequencies, "token string, clean long, toxic long")
             .groupBy("token").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")))
-    freq = freq.where("toxic > 1")
+    freq = freq.where("toxic > 2 or token = ''")
     docs = freq.where("token = ''").first()
     if docs is None or not docs["clean"]:
         return {}
@@ -136,25 +160,22 @@ def _measured(odds: dict[str, float]):
     def run(batches):
         import pandas as pd
 
+        own = Odds(odds)
         for pdf in batches:
             rows = []
             for text, toxic in zip(pdf["text"], pdf["toxic"], strict=True):
                 words = tokens(text or "")
-                found = segments(words, odds)
-                hits = {}
-                for w in words:
-                    if w in odds:
-                        hits[w] = hits.get(w, 0) + 1
-                rows.append((int(toxic), len(words), max((s for *_, s in found), default=0.0), len(found),
-                             sum(hits.values()), list(hits), list(hits.values())))
-            yield pd.DataFrame(rows, columns=["toxic", "n", "best", "found", "hits", "words", "times"])
+                found = segments(words, own)
+                values = [round(v, 2) for v in map(own.__getitem__, words) if v]
+                rows.append((int(toxic), len(words), max((s for *_, s in found), default=0.0), len(found), values))
+            yield pd.DataFrame(rows, columns=["toxic", "n", "best", "found", "values"])
     return run
 
 
-def decay(odds: dict[str, float], share: dict[str, float], cost: float = COST) -> float:
-    """The positive root of E[exp(rate * score)] = 1 over the tokens of clean text."""
-    s = np.array([odds[w] for w in odds])
-    p = np.array([share.get(w, 0.0) for w in odds])
+def decay(shares: dict[float, float], cost: float = COST) -> float:
+    """The positive root of E[exp(rate * score)] = 1, for the shares of the tokens of clean text
+    that have each score."""
+    s, p = np.array(list(shares)), np.array(list(shares.values()))
     rest = 1 - p.sum()
 
     def excess(x):
@@ -179,15 +200,15 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     lexicon and one small row per document of the second half."""
     sample = labelled(docs, labels, id_col, text_col, most, learn)
     odds = lexicon(sample.where("half = 0"))
-    schema = "toxic int, n long, best double, found long, hits long, words array<string>, times array<long>"
+    schema = "toxic int, n long, best double, found long, values array<double>"
     rows = sample.where("half = 1").select("text", "toxic").mapInPandas(_measured(odds), schema).collect()
     clean = [r for r in rows if not r["toxic"]]
     total = sum(r["n"] for r in clean) + 1
-    share = {w: 0.5 / total / max(1, len(odds)) for w in odds}
+    shares = {round(max(odds.values(), default=1.0), 2): 0.5 / total}       # never none
     for r in clean:
-        for w, k in zip(r["words"], r["times"], strict=True):
-            share[w] += k / total
-    rate = decay(odds, share) if odds else 1.0
+        for v in r["values"]:
+            shares[v] = shares.get(v, 0.0) + 1 / total
+    rate = decay(shares)
     # segments per token: those seen in clean text, against what the decay alone would give
     several = sorted(r["best"] for r in clean if r["best"] > 0)
     middle = several[len(several) // 2] if several else 0.0
@@ -233,12 +254,13 @@ def scored(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
         import pandas as pd
 
         bias, by_surprise, by_number = model.weights
+        odds = Odds(model.odds)
         for pdf in batches:
             scores, passages = [], []
             for text in pdf["text"]:
                 text = text or ""
                 words = tokens(text)
-                found = segments(words, model.odds)
+                found = segments(words, odds)
                 best = max((s for *_, s in found), default=0.0)
                 z = bias + by_surprise * surprise(best, len(words), model.rate, model.scale) + by_number * min(len(found), 5)
                 scores.append(1 / (1 + math.exp(-max(-40.0, min(40.0, z)))))
