@@ -78,26 +78,29 @@ def signature(own: np.ndarray, mul: np.ndarray, add: np.ndarray) -> np.ndarray:
     return low
 
 
-def signatures(docs: DataFrame, id_col: str, text_col: str, words: int, coordinates: int) -> DataFrame:
-    """``id``, ``n`` (shingles), ``key`` (128-bit fingerprint of the set, null if empty), ``sig``
-    (32-bit coordinates, little-endian)."""
+def signatures(docs: DataFrame, id_col: str, text_col: str, words: int, coordinates: int,
+               prefix: int) -> DataFrame:
+    """``id``, ``n`` (shingles), ``key`` (128-bit fingerprint of the set, null if empty), ``pre`` (the
+    first ``prefix`` coordinates, 32 bits each) and ``sig`` (the low byte of every coordinate)."""
     def run(batches):
         import pyarrow as pa
 
         mul, add = _permutations(coordinates)
         for batch in batches:
-            n, key, sig = [], [], []
+            n, key, pre, sig = [], [], [], []
             for text in batch.column(1):
                 own = shingles(text.as_py(), words)
+                low = signature(own, mul, add) if len(own) else None
                 n.append(len(own))
                 key.append(fingerprint(own))
-                sig.append(signature(own, mul, add).tobytes() if len(own) else None)
+                pre.append(None if low is None else low[:prefix].tobytes())
+                sig.append(None if low is None else low.astype(np.uint8).tobytes())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(n, pa.int64()), pa.array(key, pa.binary()), pa.array(sig, pa.binary())],
-                names=["id", "n", "key", "sig"])
+                [batch.column(0), pa.array(n, pa.int64()), *(pa.array(x, pa.binary()) for x in (key, pre, sig))],
+                names=["id", "n", "key", "pre", "sig"])
 
     return (docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-            .mapInArrow(run, "id long, n long, key binary, sig binary"))
+            .mapInArrow(run, "id long, n long, key binary, pre binary, sig binary"))
 
 
 def fingerprint(own: np.ndarray) -> bytes | None:
@@ -142,9 +145,38 @@ def similar(x: np.ndarray, y: np.ndarray, num: int, den: int) -> bool:
     return den * both >= num * (len(x) + len(y) - both)
 
 
-def linker(num: int, den: int, least: int):
-    """Group function for one block pair of a posting: confirmed links that connect different
-    components, as a forest (at most one edge per member, however dense the block).
+def _candidates(pdf, num: int, den: int, least: int):
+    """(agreeing coordinates, i, j) of the pairs of one block pair that are in different
+    components, near enough in size and agree in enough coordinates."""
+    m = len(pdf)
+    comp, n, side = pdf["comp"].to_numpy(), pdf["n"].to_numpy(), pdf["side"].to_numpy()
+    bi, bj = pdf["bi"].iat[0], pdf["bj"].iat[0]
+    if m < 2 or (comp == comp[0]).all():
+        return
+    sig = np.frombuffer(b"".join(pdf["sig"]), np.uint8).reshape(m, -1)
+    left = np.flatnonzero(side == bi)
+    right = left if bi == bj else np.flatnonzero(side == bj)
+    for i in left:
+        other = right[right > i] if bi == bj else right
+        low, high = np.minimum(n[i], n[other]), np.maximum(n[i], n[other])
+        other = other[(comp[other] != comp[i]) & (den * low >= num * high)]
+        hits = (sig[other] == sig[i]).sum(1)
+        ok = hits >= least
+        for h, j in zip(hits[ok].tolist(), other[ok].tolist(), strict=True):
+            yield h, int(i), j
+
+
+def suspects(num: int, den: int, least: int):
+    """Group function: the members that have a candidate (at most one row for each)."""
+    def run(pdf):
+        met = {k for _, i, j in _candidates(pdf, num, den, least) for k in (i, j)}
+        return pdf.iloc[sorted(met)][["rep", "key"]] if met else None
+    return run
+
+
+def linker(num: int, den: int, least: int, prefix: int):
+    """Group function: confirmed links that connect different components, as a forest (at most
+    one edge per member, however dense the block).
 
     Pairs are tried by falling number of agreeing coordinates, so copies attach to what they
     were copied from before they are compared with each other."""
@@ -152,46 +184,18 @@ def linker(num: int, den: int, least: int):
         import pandas as pd
 
         pdf = pdf.reset_index(drop=True)
-        m = len(pdf)
-        coord, same = int(pdf["coord"].iat[0]), pdf["bi"].iat[0] == pdf["bj"].iat[0]
-        comp, ids, n = pdf["comp"].to_numpy(), pdf["rep"].to_numpy(), pdf["n"].to_numpy()
-        if m < 2 or (comp == comp[0]).all():
-            return None
-        sig = np.frombuffer(b"".join(pdf["sig"]), "<u4").reshape(m, -1)
-        side = pdf["side"].to_numpy()
-        if same:
-            left = right = np.arange(m)
-        else:
-            left, right = np.flatnonzero(side == pdf["bi"].iat[0]), np.flatnonzero(side == pdf["bj"].iat[0])
-        small = (sig & np.uint32(0xFF)).astype(np.uint8)
-        found = []
-        for k, i in enumerate(left):
-            other = right[right > i] if same else right
-            a, b = np.minimum(n[i], n[other]), np.maximum(n[i], n[other])
-            other = other[(comp[other] != comp[i]) & (den * a >= num * b)]
-            if not len(other):
-                continue
-            rough = (small[other] == small[i]).sum(1)
-            other = other[rough >= least]
-            if not len(other):
-                continue
-            agree = sig[other] == sig[i]
-            hits = agree.sum(1)
-            ok = (hits >= least) & ~agree[:, :coord].any(1)      # earlier postings had this pair
-            found += [(int(h), int(i), int(j)) for h, j in zip(hits[ok], other[ok], strict=True)]
-        if not found:
-            return None
-        found.sort(key=lambda x: (-x[0], x[1], x[2]))
+        found = sorted(_candidates(pdf, num, den, least), key=lambda x: (-x[0], x[1], x[2]))
+        coord, comp, ids = int(pdf["coord"].iat[0]), pdf["comp"].to_numpy(), pdf["rep"].to_numpy()
+        pre = np.frombuffer(b"".join(pdf["pre"]), "<u4").reshape(len(pdf), -1)
         forest, edges, sets = Forest(), [], pdf["own"]
         for _, i, j in found:
             x, y = int(comp[i]), int(comp[j])
-            if forest.root(x) == forest.root(y):
-                continue
+            if forest.root(x) == forest.root(y) or (pre[i, :coord] == pre[j, :coord]).any():
+                continue                                     # connected, or met in an earlier posting
             if similar(np.frombuffer(sets.iat[i], np.uint64), np.frombuffer(sets.iat[j], np.uint64), num, den):
                 forest.join(x, y)
                 edges.append((ids[i], ids[j]))
         return pd.DataFrame(edges, columns=["a", "b"]) if edges else None
-
     return run
 
 
@@ -214,54 +218,63 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     round compares the members of each posting with its best-connected member only, which is
     linear and joins the large groups.  The second compares what is still apart, in block
     pairs of at most ``2 * block`` rows, whatever the posting's size.  Only confirmed links
-    that connect something leave a block.  Shingle sets are made again for classes that
-    share a posting, not stored for all."""
+    that connect something leave a block.  Shingle sets are not stored: they are made again for
+    the classes whose signatures ask for it."""
     least = match_threshold(num, den, coordinates)
-    signed = materialise(signatures(docs, id_col, text_col, words, coordinates), "signatures")
+    signed = materialise(signatures(docs, id_col, text_col, words, coordinates, prefix), "signatures")
     real = signed.where("key is not null and id is not null")
-    reps = materialise(real.groupBy("key").agg(F.min("id").alias("rep"), F.min("n").alias("n"),
-                                               F.min("sig").alias("sig")), "classes")
+    reps = materialise(real.groupBy("key").agg(*[F.min(c).alias("rep" if c == "id" else c)
+                                                 for c in ("id", "n", "pre", "sig")]), "classes")
+    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
+    light = reps.select("key", "n", "sig")
+
     # postings: (coordinate, value) -> class
-    value = [F.substring("sig", 4 * k + 1, 4) for k in range(prefix)]
-    posts = reps.select("rep", "key", "n", F.posexplode(F.array(*value)).alias("coord", "val"))
+    value = [F.substring("pre", 4 * k + 1, 4) for k in range(prefix)]
+    posts = reps.select("rep", "key", F.posexplode(F.array(*value)).alias("coord", "val"))
     shared = posts.groupBy("coord", "val").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
     posts = materialise(posts.join(shared, ["coord", "val"]), "postings")
 
-    # the sets of the classes that share a posting, made from their first documents' texts
-    wanted = materialise(posts.select(F.col("rep").alias("id")).distinct(), "wanted")
-    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    texts = texts.join(bound_for_broadcast(wanted, wanted.count(), MOST_BROADCAST), "id", "left_semi")
-    sets = materialise(shingle_sets(texts, words).where("key is not null").dropDuplicates(["key"]), "sets")
-
     # round 1: each member with the best-connected member of its posting
     weight = posts.groupBy("key").agg(F.sum("size").alias("w"))
     leads = (posts.join(weight, "key").groupBy("coord", "val")
              .agg(F.max(F.struct("w", F.negative("rep").alias("r"), F.col("key").alias("k"))).alias("m"))
              .select("coord", "val", F.negative("m.r").alias("b"), F.col("m.k").alias("kb")))
-    stars = (posts.join(leads, ["coord", "val"]).where("key <> kb")
-             .select(F.col("rep").alias("a"), F.col("key").alias("ka"), "b", "kb").distinct())
-    light = reps.select("key", "n", "sig")
+    stars = materialise(posts.join(leads, ["coord", "val"]).where("key <> kb")
+                        .select(F.col("rep").alias("a"), F.col("key").alias("ka"), "b", "kb").distinct(), "stars")
     stars = (stars.join(light.toDF("ka", "na", "sa"), "ka").join(light.toDF("kb", "nb", "sb"), "kb")
              .where(F.lit(den) * F.least("na", "nb") >= F.lit(num) * F.greatest("na", "nb")))
     stars = materialise(stars.select("a", "ka", "b", "kb", "sa", "sb")
                         .mapInPandas(_above(least), "a long, ka binary, b long, kb binary"), "candidates")
+    sets = _sets(texts, stars.select(F.col("a").alias("rep"), F.col("ka").alias("key"))
+                 .unionByName(stars.select(F.col("b").alias("rep"), F.col("kb").alias("key"))), words)
     linked = (stars.join(sets.toDF("ka", "xa"), "ka").join(sets.toDF("kb", "xb"), "kb")
               .mapInPandas(_confirm(num, den), "a long, b long"))
     links = materialise(linked, "links")
     comps = materialise(connected_components(links), "components")
 
-    # round 2: what is still apart within a posting, in blocks
+    # round 2: what is still apart within a posting, in blocks; first by signatures alone, then
+    # with the sets of the members that have a candidate
     label = posts.join(comps.toDF("rep", "comp"), "rep", "left").withColumn("comp", F.coalesce("comp", "rep"))
     label = materialise(label, "labelled")
-    mixed = (label.groupBy("coord", "val").agg(F.min("comp").alias("x"), F.max("comp").alias("y"))
-             .where("x < y").select("coord", "val"))
-    rows = block_pairs(label.join(mixed, ["coord", "val"], "left_semi"), ["coord", "val"], "size",
-                       F.col("key"), block)
-    rows = rows.join(reps.select("key", "sig"), "key").join(sets, "key")
     keys = ["coord", "val", "bi", "bj"]
-    rows = rows.select(*keys, "side", "rep", "comp", "n", "sig", "own")
-    rows = rows.repartition(*[F.col(k) for k in keys]).sortWithinPartitions(*keys, "rep")
-    more = rows.mapInPandas(by_group(keys, linker(num, den, least)), "a long, b long")
+
+    def blocks(rows: DataFrame, more: list[DataFrame], cols: list[str]) -> DataFrame:
+        apart = (rows.groupBy("coord", "val").agg(F.min("comp").alias("x"), F.max("comp").alias("y"),
+                                                  F.count(F.lit(1)).alias("members"))
+                 .where("x < y").select("coord", "val", "members"))
+        out = block_pairs(rows.join(apart, ["coord", "val"]), ["coord", "val"], "members", F.col("key"), block)
+        for m in more:
+            out = out.join(m, "key")
+        return (out.select(*keys, "side", "rep", "key", "comp", *cols)
+                .repartition(*[F.col(k) for k in keys]).sortWithinPartitions(*keys, "rep"))
+
+    some = blocks(label, [light], ["n", "sig"])
+    some = materialise(some.mapInPandas(by_group(keys, suspects(num, den, least)), "rep long, key binary")
+                       .distinct(), "suspects")
+    sets = _sets(texts, some, words)
+    rows = label.join(some.select("key"), "key", "left_semi")
+    rows = blocks(rows, [reps.select("key", "n", "pre", "sig"), sets], ["n", "pre", "sig", "own"])
+    more = rows.mapInPandas(by_group(keys, linker(num, den, least, prefix)), "a long, b long")
     links = links.unionByName(materialise(more, "links"))
     comps = materialise(connected_components(links), "components")
 
@@ -274,12 +287,25 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                     F.coalesce(F.col("id") == own, F.lit(True)).alias("kept")))
 
 
+def _sets(texts: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
+    """``key``, ``own``: the shingle sets of the classes in ``wanted`` (``rep``, ``key``), made from
+    the texts of their first documents."""
+    wanted = materialise(wanted.distinct(), "wanted")
+    few = wanted.count()
+    own = texts.join(bound_for_broadcast(wanted.select(F.col("rep").alias("id")).distinct(), few, MOST_BROADCAST),
+                     "id", "left_semi")
+    made = shingle_sets(own, words).where("key is not null")
+    made = materialise(made.join(bound_for_broadcast(wanted.select("key"), few, MOST_BROADCAST), "key", "left_semi"), "sets")
+    # only repeated rows give a set twice
+    return made if made.count() == few else materialise(made.dropDuplicates(["key"]), "sets")
+
+
 def _above(least: int):
     def run(batches):
         for pdf in batches:
             if len(pdf):
-                x = np.frombuffer(b"".join(pdf["sa"]), "<u4").reshape(len(pdf), -1)
-                y = np.frombuffer(b"".join(pdf["sb"]), "<u4").reshape(len(pdf), -1)
+                x = np.frombuffer(b"".join(pdf["sa"]), np.uint8).reshape(len(pdf), -1)
+                y = np.frombuffer(b"".join(pdf["sb"]), np.uint8).reshape(len(pdf), -1)
                 yield pdf.loc[(x == y).sum(1) >= least, ["a", "ka", "b", "kb"]]
     return run
 
