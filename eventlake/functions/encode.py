@@ -71,7 +71,7 @@ def render_value(col: str | Column, data_type: T.DataType) -> Column:
         return iso_ts(c)
     if isinstance(data_type, T.BinaryType):
         return b64(c)
-    if isinstance(data_type, T.DecimalType) and data_type.scale == 0 and data_type.precision <= 20:
+    if isinstance(data_type, T.DecimalType) and (data_type.precision, data_type.scale) == (20, 0):
         # unsigned 64-bit integers arrive as decimal(20,0) and stay numbers
         return c
     return c.cast("string")

@@ -120,8 +120,20 @@ def optional_fields(df: DataFrame, attributes: Mapping[str, str]) -> DataFrame:
     return df.withColumn("Fields", drop_keys(F.col("Fields"), spec.dropped_fields()))
 
 
+# The scalars of an event slot; a slot without any of them is empty.
+SLOT = ("UUID", "Name", "Timestamp", "XEventStartOffsetInBytes", "XEventEndOffsetInBytes", "XEventSizeInBytes")
+
+
+def empty_slot() -> Column:
+    """None of the six scalars is set (an event that only lacks its UUID is not empty)."""
+    cond = F.lit(True)
+    for c in SLOT:
+        cond = cond & F.col(c).isNull()
+    return cond
+
+
 def drop_null(df: DataFrame) -> DataFrame:
-    """Skip empty event slots (no UUID)."""
+    """Skip event slots without a UUID."""
     return df.filter(F.col("UUID").isNotNull())
 
 
@@ -143,15 +155,31 @@ def session_filter(specs: Sequence[CaptureSpec]) -> Column:
 CORRUPT_COLUMN = "_corrupt_record"
 
 
-def capture(df: DataFrame, specs: Sequence[CaptureSpec]) -> DataFrame:
+def broken() -> Column:
+    """Rows that no predicate can judge: a scalar or a payload that the constraints require is
+    missing (a payload is NULL after malformed text)."""
+    cond = F.lit(False)
+    for c in ("UUID", "Name", "Timestamp", "Actions", "Fields"):
+        cond = cond | F.col(c).isNull()
+    return cond
+
+
+def capture(df: DataFrame, specs: Sequence[CaptureSpec], keep_broken: bool = False) -> DataFrame:
     """C5 (+C1-C4, C6): one pass over an envelope frame, batch or streaming.
 
+    With ``keep_broken`` (the ingest jobs), rows of a declared kind, or without a kind, that
+    break a constraint pass whatever the predicate says, payloads as they are, so that the
+    constraint split sends them to the dead letter; only empty slots are skipped.
+
     A source that keeps unparseable input in ``_corrupt_record`` (JSON landing files)
     has those rows passed through, with the column, so the constraint split sends them
     to the dead letter instead of the kind filter dropping them silently."""
     _check(specs)
     keep = F.col("UUID").isNotNull() & session_filter(specs)
     corrupt = CORRUPT_COLUMN in df.columns
+    if keep_broken:
+        declared = F.col("Name").isNull() | F.col("Name").isin([s.name for s in specs])
+        keep = keep | (broken() & declared & ~empty_slot())
     if corrupt:
         keep = keep | F.col(CORRUPT_COLUMN).isNotNull()
     kept = df.filter(keep)
@@ -164,6 +192,8 @@ def capture(df: DataFrame, specs: Sequence[CaptureSpec]) -> DataFrame:
                    else actions.when(F.col("Name") == s.name, a))
         fields = (F.when(F.col("Name") == s.name, f) if fields is None
                   else fields.when(F.col("Name") == s.name, f))
+    if keep_broken:
+        actions, fields = actions.otherwise(F.col("Actions")), fields.otherwise(F.col("Fields"))
     cols = [c for c in ENVELOPE_COLUMNS if c not in ("Actions", "Fields")]
     extra = [CORRUPT_COLUMN] if corrupt else []
     return kept.select(*cols, actions.alias("Actions"), fields.alias("Fields"), *extra)

@@ -19,7 +19,7 @@ from eventlake.functions.envelope import field, project, to_text
 from eventlake.operators import analytics as A
 from eventlake.operators import capture as C
 from eventlake.operators import verify as V
-from eventlake.session import ensure_utc, scratch_path, sql_conf
+from eventlake.session import ensure_utc, scratch_path
 from eventlake.sinks import writers as K
 from eventlake.sources import fixtures as X
 from eventlake.sources import readers as S
@@ -341,8 +341,9 @@ def ordered_by_uuid(spark, sf_dir):
 def _event_stream(spark, sf_dir):
     ensure_utc(spark)
     schema = X.read_table(spark, sf_dir, "events", spread=False).schema
-    return (spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet")
-            .options(**T.rate_options(max_files=1)).parquet(sf_dir))
+    # a file or a folder of part files; batches are cut by bytes, not by files
+    return (spark.readStream.schema(schema).options(**T.rate_options(max_bytes="64g"))
+            .parquet(f"{sf_dir.rstrip('/')}/events.parquet*"))
 
 
 def stream_ingest(spark, sf_dir):
@@ -363,15 +364,15 @@ def stream_restart(spark, sf_dir):
     """T5: two deliveries (split in time, overlapping by a day) landed one after the other;
     the stream stops after the first and restarts from its checkpoint for the second.
     Nothing is lost and the replayed day is not stored twice."""
-    env = X.envelope(spark, sf_dir)
+    env = _env(spark, sf_dir)
     landing, good, dead, ckpt = (scratch_path(spark, n) for n in ("landing", "good", "dead", "ckpt"))
     first_before, second_from = RESTART_SPLIT
-    env.filter(F.col("Timestamp") < F.lit(first_before).cast("timestamp")).write.parquet(landing + "/d1")
+    early = F.col("Timestamp").isNull() | (F.col("Timestamp") < F.lit(first_before).cast("timestamp"))
+    env.filter(early).write.parquet(landing + "/d1")
     src = S.read_event_stream(spark, landing, options={"recursiveFileLookup": "true"})
-    T.drain(T.run(src, None, good, dead, ckpt, watermark="31 days", state_partitions=_slots(spark)))
+    T.drain(T.run(src, None, good, dead, ckpt))
     env.filter(F.col("Timestamp") >= F.lit(second_from).cast("timestamp")).write.parquet(landing + "/d2")
-    T.drain(T.run(src, None, good, dead, ckpt, watermark="31 days",
-                  state_partitions=_slots(spark)))                      # restart, same checkpoint
+    T.drain(T.run(src, None, good, dead, ckpt))                         # restart, same checkpoint
     return to_text(spark.read.parquet(good).drop("batch_id", "event_date"))
 
 
@@ -379,39 +380,37 @@ def stream_keep_late(spark, sf_dir):
     """T6, late rows kept: the newer half of the events lands first, then the older half
     (late, overlapping by a day).  Each batch is deduplicated against the stored days it
     touches instead of a watermark, so every event is stored exactly once."""
-    env = X.envelope(spark, sf_dir)
+    env = _env(spark, sf_dir)
     landing, good, dead, ckpt = (scratch_path(spark, n) for n in ("landing", "good", "dead", "ckpt"))
     newer_from, older_before = RESTART_SPLIT[1], RESTART_SPLIT[0]
     env.filter(F.col("Timestamp") >= F.lit(newer_from).cast("timestamp")).write.parquet(landing + "/d1")
     src = S.read_event_stream(spark, landing, options={"recursiveFileLookup": "true"})
     T.drain(T.run(src, None, good, dead, ckpt, watermark=None, keep_late=True,
                   state_partitions=_slots(spark)))
-    env.filter(F.col("Timestamp") < F.lit(older_before).cast("timestamp")).write.parquet(landing + "/d2")
+    early = F.col("Timestamp").isNull() | (F.col("Timestamp") < F.lit(older_before).cast("timestamp"))
+    env.filter(early).write.parquet(landing + "/d2")
     T.drain(T.run(src, None, good, dead, ckpt, watermark=None, keep_late=True,
                   state_partitions=_slots(spark)))
     return to_text(spark.read.parquet(good).drop("batch_id", "event_date"))
 
 
 def stream_dedup(spark, sf_dir):
-    """Replays removed by streaming dedup within the watermark (31 days: the data's
-    span, so nothing is late here; a pytest covers late rows)."""
+    """Replays removed by the streaming job, which deduplicates each batch against the stored
+    days: no watermark, so nothing is lost whatever the data's span and order."""
     src = _event_stream(spark, sf_dir)
     dup = X.envelope_from_events(src).unionByName(
         X.envelope_from_events(src.filter(F.col("event_id") % 10 == 0)))
-    out = T.dedup_stream(dup, "31 days")
-    path, ckpt = scratch_path(spark, "stream-dedup"), scratch_path(spark, "ckpt")
-    with sql_conf(spark, "spark.sql.shuffle.partitions", _slots(spark)):
-        q = (out.writeStream.format("parquet").option("path", path)
-             .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
-    T.drain(q)
+    path, dead, ckpt = (scratch_path(spark, n) for n in ("stream-dedup", "dead", "ckpt"))
+    T.drain(T.run(dup, None, path, dead, ckpt))
     back = spark.read.parquet(path)
     return back.select("UUID", _us().alias("Timestamp_us"), F.to_json("Fields").alias("Fields"))
 
 
 def _stream_agg(spark, sf_dir, build, keys, label):
     """Streaming A2/A3/A8: an update-mode aggregate drained with availableNow, then the
-    latest version of every group read back (equals the batch result)."""
-    env = X.envelope_from_events(_event_stream(spark, sf_dir)).withWatermark("Timestamp", "1 hour")
+    latest version of every group read back (equals the batch result, in whatever order the
+    files come: there is no watermark here; an endless stream sets one to bound its state)."""
+    env = X.envelope_from_events(_event_stream(spark, sf_dir))
     agg = build(env)
     flat = agg.select(F.col("window.start").alias("window_start"),
                       *[c for c in agg.columns if c != "window"])

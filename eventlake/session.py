@@ -120,6 +120,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     root = (sc.getCheckpointDir() if sc is not None else None) or spark.conf.get(_CHECKPOINT_CONF, None)
     if not root:
         # no shared folder configured (tests, a laptop): a local one, this process only
+        if sc is None or not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError(f"set {_CHECKPOINT_CONF} to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="eventlake-ckpt-")
     if sc is not None and not sc.getCheckpointDir():
         sc.setCheckpointDir(root)

@@ -22,8 +22,9 @@ def ingest(df: DataFrame, specs: Sequence[CaptureSpec] | None, root: str,
            compression: str | None = None, batch_size: int | None = None) -> None:
     """Append captured, deduplicated, checked events under ``root``:
     ``status=good/event_date=D`` for rows that pass, ``status=dead/...`` with a
-    ``reject_reason`` for rows that break a constraint (nothing is dropped silently)."""
-    captured = capture(df, specs) if specs else df
+    ``reject_reason`` for rows that break a constraint.  The constraints are judged before the
+    predicates, so a broken row of a declared kind is a dead letter, never dropped."""
+    captured = capture(df, specs, keep_broken=True) if specs else df
     labelled = captured.withColumn("reject_reason", reject_reason(tuple(captured.columns)))
     # good rows dedup on (Timestamp, UUID); a dead row only collapses with its exact copy
     # (its key is a hash of the whole row, corrupt text included)

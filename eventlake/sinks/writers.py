@@ -7,11 +7,13 @@ that run before the write, so batch jobs and ``foreachBatch`` share them.
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import VariantType
 
 from eventlake.functions.encode import event_json
 from eventlake.functions.envelope import ENVELOPE_COLUMNS
@@ -59,7 +61,8 @@ def writer_options(compression: str | None = None, batch_size: int | None = None
     """K9 + K10: file/JDBC writer options.  ``batch_size`` bounds rows per file (tables)
     or per round trip (JDBC); ``parallelism`` bounds concurrent loads (JDBC connections)."""
     allowed = SORTED_TABLE_CODECS if kind == "sorted" else FILE_CODECS
-    opts = {"compression": _codec(compression, allowed)}
+    # K9's codec of the wire says nothing about storage: files are zstd unless one is named
+    opts = {"compression": _codec(compression, allowed) if compression else "zstd"}
     if kind == "jdbc":
         opts.pop("compression")
         opts["batchsize"] = str(batch_size or DEFAULT_BATCH_SIZE)
@@ -80,9 +83,12 @@ def kafka_options(bootstrap: str, topic: str, compression: str | None = None,
         "kafka.bootstrap.servers": bootstrap,
         "topic": topic,
         "kafka.compression.type": _codec(compression, KAFKA_CODECS),
-        "kafka.linger.ms": str(linger_ms),
+        # the Java producer takes whole milliseconds, and a delivery timeout of at least linger
+        # plus request timeout
+        "kafka.linger.ms": str(math.ceil(linger_ms)),
         "kafka.batch.size": str(batch_size),
-        "kafka.delivery.timeout.ms": str(timeout_ms),
+        "kafka.request.timeout.ms": str(max(1, int(timeout_ms) - math.ceil(linger_ms))),
+        "kafka.delivery.timeout.ms": str(max(int(timeout_ms), math.ceil(linger_ms) + 1)),
     }
 
 
@@ -107,7 +113,8 @@ def dedup_key(df: DataFrame, keys: tuple[str, ...] = ("Timestamp", "UUID"),
 
     Batch: per key the row with the smallest ``prefer`` value (the earliest delivery,
     as a primary key keeps the first insert), chosen by ``min_by``.  That is
-    deterministic, so a retried task keeps the same row, and it is a partial aggregate:
+    deterministic (ties: a hash of the rest of the row), so a retried task keeps the same
+    row, and it is a partial aggregate:
     a key holding a third of all rows reaches the shuffle as one row per map task.
     Streaming: the first arrival within the watermark, so state stays bounded."""
     if df.isStreaming:
@@ -119,7 +126,9 @@ def dedup_key(df: DataFrame, keys: tuple[str, ...] = ("Timestamp", "UUID"),
         return df.dropDuplicates(list(keys))
     # min_by skips NULL orderings: order by (missing?, value) so a row without the
     # preferred column still wins its group when it is the only one
-    order = F.struct(F.col(prefer).isNull(), F.col(prefer))
+    # ties are broken by the rest of the row, so the winner does not depend on input order
+    rest = [F.to_json(c) if isinstance(df.schema[c].dataType, VariantType) else F.col(c) for c in others]
+    order = F.struct(F.col(prefer).isNull(), F.col(prefer), F.xxhash64(*rest))
     picked = (df.groupBy(*keys)
               .agg(F.min_by(F.struct(*others), order).alias("_row")))
     return picked.select(*[F.col(c) if c in keys else F.col(f"_row.{c}") for c in df.columns])
@@ -162,7 +171,8 @@ def write_sorted(df: DataFrame, path: str, compression: str | None = None,
     """K1: append a UUID-ordered part.  Each task sorts its own rows (no shuffle, no skew:
     a run of identical UUIDs stays where it is); ``num_files`` switches to a range
     exchange so the files are also ordered among each other."""
-    out = df.repartitionByRange(num_files, "UUID") if num_files else df
+    # the offset splits a run of one UUID, however long, over several ranges
+    out = df.repartitionByRange(num_files, "UUID", "XEventStartOffsetInBytes") if num_files else df
     (out.sortWithinPartitions("UUID").write.mode("append")
         .options(**writer_options(compression, batch_size, kind="sorted")).parquet(path))
 
@@ -174,9 +184,10 @@ def with_event_date(df: DataFrame) -> DataFrame:
 def write_daily(df: DataFrame, path: str, compression: str | None = None,
                 batch_size: int | None = None) -> None:
     """K2: append to UTC-day partitions (created on demand, so no event is ever outside
-    an existing partition).  No exchange on the date: a day with a third of all rows
-    is written by every task that holds some of it."""
-    (with_event_date(df).write.mode("append").partitionBy("event_date")
+    an existing partition).  A ``rebalance`` exchange on the day keeps the number of files in
+    proportion to the data; a day with a third of all rows is split over several tasks."""
+    # rebalanced by day: adaptive execution merges small days into few files and splits hot ones
+    (with_event_date(df).hint("rebalance", F.col("event_date")).write.mode("append").partitionBy("event_date")
         .options(**writer_options(compression, batch_size)).parquet(path))
 
 
@@ -229,7 +240,8 @@ def write_jdbc(df: DataFrame, url: str, table: str = DEFAULT_TABLE,
                properties: Mapping[str, str] | None = None) -> None:
     """K8: bulk append into a relational table, ``parallelism`` connections at most."""
     opts = writer_options(batch_size=batch_size, parallelism=parallelism, kind="jdbc")
-    (jdbc_frame(df).write.format("jdbc").mode("append")
+    # repartitioned here: Spark would coalesce instead, and with it run the whole job in so few tasks
+    (jdbc_frame(df).repartition(int(opts["numPartitions"])).write.format("jdbc").mode("append")
         .option("url", url).option("dbtable", table)
         .options(**opts).options(**dict(properties or {})).save())
 
@@ -257,7 +269,7 @@ def sink_from_config(sections: Mapping[str, Mapping | None]) -> tuple[str, dict[
                              batch_size=section.get("BatchSize", KAFKA_DEFAULTS["batch_size"]),
                              timeout_ms=section.get("ProduceTimeout", KAFKA_DEFAULTS["timeout_ms"]))
         return kind, opts
-    opts = writer_options(section.get("Compression"), section.get("BatchSize", DEFAULT_BATCH_SIZE),
+    opts = writer_options(section.get("Compression"), section.get("BatchSize"),
                           kind=kind)
     opts["table"] = str(section.get("Table", DEFAULT_TABLE))
     return kind, opts

@@ -7,8 +7,6 @@ shuffle, so it scales with the table and keeps the scan's pushed filters.
 
 from __future__ import annotations
 
-import weakref
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,27 +34,10 @@ def widen(df: DataFrame) -> DataFrame:
     return df.repartition(slots) if splits < slots else df
 
 
-# Definitions built once per session and path, like temp views: the plan is reused, the
-# data is scanned by every query that runs it.  (Building a definition lists files, reads
-# a footer and analyses the projection: ~0.1-0.3 s of driver time per query otherwise.)
-_DEFINITIONS: "weakref.WeakKeyDictionary[SparkSession, dict]" = weakref.WeakKeyDictionary()
-
-
-def _definition(spark: SparkSession, key: tuple, build):
-    per_session = _DEFINITIONS.setdefault(spark, {})
-    if key not in per_session:
-        per_session[key] = build()
-    return per_session[key]
-
-
 def read_table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> DataFrame:
-    """One of the given read-only tables (its definition is built once per session)."""
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-
-    def build():
-        df = spark.read.parquet(path)
-        return widen(df) if spread else df
-    return _definition(spark, ("table", path, spread), build)
+    """One of the given read-only tables, as its files are now."""
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return widen(df) if spread else df
 
 
 # The adapter as SQL expressions: one analysed projection (building it column by column
@@ -64,7 +45,8 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True)
 _ENVELOPE_EXPRS = (
     f"regexp_replace(md5(cast(event_id AS string)), '{UUID_GROUPS}', '$1-$2-$3-$4-$5') AS UUID",
     "event_type AS Name",
-    "cast(ts AS timestamp) AS Timestamp",
+    # the wall clock of the table is UTC, whatever the session's zone
+    "timestamp_micros(timestampdiff(MICROSECOND, timestamp_ntz'1970-01-01 00:00:00', ts)) AS Timestamp",
     f"event_id * {OFFSET_STRIDE} AS XEventStartOffsetInBytes",
     f"event_id * {OFFSET_STRIDE} + ({FIXED_ROW_BYTES}L + octet_length(event_type) + octet_length(props))"
     " AS XEventEndOffsetInBytes",
@@ -89,9 +71,8 @@ def envelope_from_events(events: DataFrame) -> DataFrame:
 
 
 def envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The envelope of the given ``events`` table (definition built once per session)."""
-    return _definition(spark, ("envelope", sf_dir.rstrip("/")),
-                       lambda: envelope_from_events(read_table(spark, sf_dir, "events")))
+    """The envelope of the given ``events`` table."""
+    return envelope_from_events(read_table(spark, sf_dir, "events"))
 
 
 def source_id() -> Column:

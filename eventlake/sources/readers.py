@@ -41,9 +41,15 @@ def read_event_stream(spark: SparkSession, path: str, fmt: str = "parquet",
 
 
 def decode_value(messages: DataFrame) -> DataFrame:
-    """Kafka ``value`` bytes (UTF-8 JSON of the envelope) -> envelope."""
-    doc = F.from_json(F.col("value").cast("string"), ENVELOPE_TEXT)
-    return from_text(messages.select(doc.alias("e")).select("e.*"))
+    """Kafka ``value`` bytes (UTF-8 JSON of the envelope) -> envelope, with the text of
+    messages that do not parse in ``_corrupt_record`` (for the dead letter)."""
+    schema = T.StructType([*ENVELOPE_TEXT.fields, T.StructField(CORRUPT_COLUMN, T.StringType())])
+    text = F.col("value").cast("string")
+    doc = F.from_json(text, schema, {"columnNameOfCorruptRecord": CORRUPT_COLUMN})
+    # a message that is no JSON object at all keeps its text, too
+    own = F.when(F.coalesce(text, F.lit("")).rlike(r"^\s*\{"), F.col(f"e.{CORRUPT_COLUMN}")).otherwise(F.coalesce(text, F.lit("")))
+    return from_text(messages.select("value", doc.alias("e"))
+                     .select(*[f"e.{f.name}" for f in ENVELOPE_TEXT.fields], own.alias(CORRUPT_COLUMN)))
 
 
 def read_kafka(spark: SparkSession, bootstrap: str, topic: str, streaming: bool = True,
@@ -57,12 +63,14 @@ def read_kafka(spark: SparkSession, bootstrap: str, topic: str, streaming: bool
 
 
 def read_jdbc(spark: SparkSession, url: str, table: str, partition_column: str | None = None,
-              lower: int | None = None, upper: int | None = None, num_partitions: int = 4,
+              lower: int | str | None = None, upper: int | str | None = None, num_partitions: int = 4,
               properties: Mapping[str, str] | None = None) -> DataFrame:
-    """S3: relational scan; payload text parsed back to variants.  With a numeric
-    ``partition_column`` the scan is split into ``num_partitions`` range queries."""
+    """S3: relational scan; payload text parsed back to variants.  With a numeric, date or
+    timestamp ``partition_column`` and its bounds the scan is split into ``num_partitions`` range queries."""
     r = spark.read.format("jdbc").option("url", url).option("dbtable", table)
     if partition_column is not None:
+        if lower is None or upper is None:
+            raise ValueError("a partition column needs lower and upper bounds")
         r = (r.option("partitionColumn", partition_column).option("lowerBound", str(lower))
              .option("upperBound", str(upper)).option("numPartitions", str(num_partitions)))
     raw = r.options(**dict(properties or {})).load()

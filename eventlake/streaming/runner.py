@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from eventlake.operators.capture import CaptureSpec, capture
-from eventlake.session import sql_conf
+from eventlake.session import cut_lineage, sql_conf
 from eventlake.sinks.writers import dedup_key, label_valid, with_event_date
 
 # The source's maximum dispatch latency, used as the default watermark.
@@ -51,20 +51,35 @@ def dedup_stream(df: DataFrame, watermark: str = DEFAULT_WATERMARK,
     return dedup_key(df.withWatermark("Timestamp", watermark), keys)
 
 
-BatchWriter = Callable[[DataFrame, str, int], None]
+BatchWriter = Callable[[DataFrame, str, int | str], None]
 
 
-def daily_by_batch(batch: DataFrame, root: str, batch_id: int) -> None:
+def batch_key(batch: DataFrame, batch_id: int) -> str:
+    """The batch's number together with its query's id: a second checkpoint, or a reset one, on
+    the same target is another query and never overwrites the first one's output."""
+    query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+    return f"{query}-{batch_id}" if query else str(batch_id)
+
+
+def path_exists(spark, path: str) -> bool:
+    """Whether a folder is there (any other failure to look is an error, not an absence)."""
+    own = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return bool(own.getFileSystem(spark._jsc.hadoopConfiguration()).exists(own))
+
+
+def daily_by_batch(batch: DataFrame, root: str, batch_id: int | str) -> None:
     """Good rows of batch N under ``root/event_date=D/batch_id=N``.  Dynamic partition
     overwrite replaces exactly the (day, batch) folders the batch writes, so a replay of
     the same offsets replaces its own output; day-first folders keep every read of a day
     (queries, keep-late dedup, compaction) pruned to that day."""
-    (with_event_date(batch).withColumn("batch_id", F.lit(batch_id))
+    # the key as text with a letter first, so that a reader never takes it for a number
+    (with_event_date(batch).withColumn("batch_id", F.lit(f"b{batch_id}"))
+        .hint("rebalance", F.col("event_date"))
         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .partitionBy("event_date", "batch_id").parquet(root))
 
 
-def plain_by_batch(batch: DataFrame, root: str, batch_id: int) -> None:
+def plain_by_batch(batch: DataFrame, root: str, batch_id: int | str) -> None:
     """Rows of batch N under ``root/batch_id=N`` (dead letters, aggregate update logs)."""
     batch.write.mode("overwrite").parquet(f"{root}/batch_id={batch_id}")
 
@@ -77,35 +92,47 @@ def idempotent_batch(root: str, write: BatchWriter = daily_by_batch):
     return run
 
 
-def dedup_against_target(batch: DataFrame, good_root: str, batch_id: int,
+def dedup_against_target(batch: DataFrame, good_root: str, batch_id: int | str,
                          keys: tuple[str, ...] = ("Timestamp", "UUID")) -> DataFrame:
     """T6, late rows kept: drop the batch's rows whose key is already stored.
 
     Instead of a watermark (which drops late rows), each micro-batch is deduplicated
     within itself and then anti-joined with the stored keys of the UTC days it touches
-    (a semi-join on the partition column, so only those day partitions are read).  The
+    (the batch's first and last day are literals in the filter, so the scan is pruned to
+    them when it is planned).  The
     batch's own earlier output is excluded, so a replay of batch N does not find itself."""
     fresh = dedup_key(batch, keys)
     spark = batch.sparkSession
-    try:
-        stored = spark.read.parquet(good_root)
-    except Exception:  # noqa: BLE001 - nothing stored yet
+    if not path_exists(spark, good_root):
+        return fresh
+    day = F.to_date("Timestamp")
+    first, last = batch.agg(F.min(day), F.max(day)).first()
+    if first is None:
         return fresh
-    if "event_date" not in stored.columns or "batch_id" not in stored.columns:
+    folders = [p for p in _day_folders(spark, good_root) if str(first) <= p <= str(last)]
+    if not folders:
         return fresh
-    days = fresh.select(F.to_date("Timestamp").alias("event_date")).distinct()
-    seen = (stored.filter(F.col("batch_id") != batch_id)
-            .join(days, "event_date", "left_semi").select(*keys))
+    stored = (spark.read.schema(batch.select(*keys).schema.add("event_date", "date").add("batch_id", "string"))
+              .option("basePath", good_root).parquet(*[f"{good_root}/event_date={p}" for p in folders]))
+    seen = stored.filter(F.col("batch_id") != f"b{batch_id}").select(*keys)
     return fresh.join(seen, list(keys), "left_anti")
 
 
+def _day_folders(spark, root: str) -> list[str]:
+    """The days stored under ``root`` (one listing of its top level)."""
+    own = spark._jvm.org.apache.hadoop.fs.Path(root)
+    names = [s.getPath().getName() for s in own.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(own)]
+    return sorted(n.removeprefix("event_date=") for n in names if n.startswith("event_date="))
+
+
 def with_dead_letter(good_root: str, dead_root: str, write_good: BatchWriter = daily_by_batch,
                      keep_late: bool = False):
     """Split each micro-batch by the row constraints; good rows to the sink, broken
     rows with their reason to the dead letter.  Both writes are keyed by batch id.
     The batch is labelled once and persisted so the two writes share one computation.
     ``keep_late`` deduplicates good rows against the stored target (late rows kept)."""
-    def run(batch: DataFrame, batch_id: int) -> None:
+    def run(batch: DataFrame, number: int) -> None:
+        batch_id = batch_key(batch, number)
         labelled = label_valid(batch).persist()
         try:
             good = labelled.filter(F.col("reject_reason").isNull()).drop("reject_reason")
@@ -122,20 +149,22 @@ def with_dead_letter(good_root: str, dead_root: str, write_good: BatchWriter = d
 
 
 def run(source: DataFrame, specs: Sequence[CaptureSpec] | None, good_root: str, dead_root: str,
-        checkpoint: str, watermark: str | None = DEFAULT_WATERMARK, available_now: bool = True,
+        checkpoint: str, watermark: str | None = None, available_now: bool = True,
         processing_time: str | None = None, write_good: BatchWriter = daily_by_batch,
-        keep_late: bool = False, state_partitions: int | None = None) -> StreamingQuery:
+        keep_late: bool | None = None, state_partitions: int | None = None) -> StreamingQuery:
     """The continuous ingest job.  ``available_now`` drains what is there and stops
     (T4); otherwise it runs on ``processing_time`` triggers until stopped.
 
-    Deduplication: with ``watermark`` set, replays within the watermark are dropped in
-    the stream's state and late rows are dropped; with ``keep_late=True`` (and no
-    watermark) every batch is deduplicated against the stored target instead, so late
-    rows are kept.  ``state_partitions`` fixes the state store's partition count at the
+    Deduplication: by default (``keep_late``) every batch is deduplicated against the stored
+    days it touches, so no row is lost for being late.  With ``watermark`` set instead,
+    replays within it are dropped in the stream's state, and rows later than it are dropped:
+    a caller chooses that.  ``keep_late=False`` without a watermark does not deduplicate.  ``state_partitions`` fixes the state store's partition count at the
     first start (it is then kept in the checkpoint); default: the session setting."""
     if keep_late and watermark is not None:
         raise ValueError("keep_late deduplicates against the target; pass watermark=None")
-    df = capture(source, specs) if specs else source
+    if keep_late is None:
+        keep_late = watermark is None and write_good is daily_by_batch
+    df = capture(source, specs, keep_broken=True) if specs else source
     if watermark is not None:
         # rows without a UUID (broken or corrupt input) are dead letters: each distinct one is
         # kept, only exact copies collapse (the key is a hash of the whole row)
@@ -153,12 +182,14 @@ def run(source: DataFrame, specs: Sequence[CaptureSpec] | None, good_root: str,
         return w.start()
 
 
-def drain(query: StreamingQuery, timeout_s: float = 600.0) -> None:
-    """T4: wait until everything available is processed; raise if the query failed."""
-    finished = query.awaitTermination(timeout_s)
-    if not finished:
+def drain(query: StreamingQuery, running: bool = False) -> None:
+    """T4: wait, however long, until everything available is processed; raise if the query
+    failed.  ``running``: the query runs on a trigger; finish what is there, then stop it."""
+    if running:
         query.processAllAvailable()
         query.stop()
+    else:
+        query.awaitTermination()
     if query.exception() is not None:
         raise RuntimeError(f"streaming query failed: {query.exception()}")
 
@@ -171,31 +202,40 @@ def compact_day(spark, good_root: str, table_root: str, day: str) -> None:
     deduplicated, as ``table_root/event_date=day``.  Dynamic partition overwrite replaces
     only that day, so a rerun after a failure is idempotent; the read prunes to the day's
     folder, and that one folder is what a retention job removes afterwards."""
-    rows = (spark.read.parquet(good_root)
-            .filter(F.col("event_date") == F.lit(day).cast("date"))
-            .drop("batch_id", "event_date"))
-    out = with_event_date(dedup_key(rows))
+    pick = F.col("event_date") == F.lit(day).cast("date")
+    rows = spark.read.parquet(good_root).filter(pick).drop("batch_id", "event_date")
+    # the table's own rows of the day stay: rows that arrived after an earlier compaction join them
+    if path_exists(spark, f"{table_root.rstrip('/')}/event_date={day}"):
+        rows = rows.unionByName(spark.read.parquet(table_root).filter(pick).drop("event_date"))
+    # written apart first: the day's partition is read here and replaced below
+    out = with_event_date(cut_lineage(dedup_key(rows), "compact"))
     (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .partitionBy("event_date").parquet(table_root))
 
 
 def retire_day(spark, good_root: str, table_root: str, day: str) -> bool:
     """Remove a compacted day's per-batch folder (``good_root/event_date=day``), but only
-    after checking that the table holds exactly that day's deduplicated rows (a V3-style
-    count gate).  Returns False, deleting nothing, when the check fails or nothing is there."""
+    after checking that the table holds every (Timestamp, UUID) staged for that day.  Returns False, deleting nothing, when the check fails or nothing is there."""
     pick = F.col("event_date") == F.lit(day).cast("date")
-    try:
-        staged = dedup_key(spark.read.parquet(good_root).filter(pick).drop("batch_id", "event_date")).count()
-        stored = spark.read.parquet(table_root).filter(pick).count()
-    except Exception:  # noqa: BLE001 - a side is missing: keep everything
-        return False
-    if staged == 0 or staged != stored:
-        return False
+    for root in (good_root, table_root):
+        if not path_exists(spark, f"{root.rstrip('/')}/event_date={day}"):
+            return False
+    keys = ["Timestamp", "UUID"]
+    before = _batches(spark, good_root, day)
+    staged = spark.read.parquet(good_root).filter(pick).select(*keys)
+    stored = spark.read.parquet(table_root).filter(pick).select(*keys)
+    if staged.join(stored, keys, "left_anti").limit(1).collect() or _batches(spark, good_root, day) != before:
+        return False                        # something is not in the table, or arrived meanwhile
     jvm_path = spark._jvm.org.apache.hadoop.fs.Path(f"{good_root.rstrip('/')}/event_date={day}")
     fs = jvm_path.getFileSystem(spark._jsc.hadoopConfiguration())
     return bool(fs.delete(jvm_path, True))
 
 
+def _batches(spark, root: str, day: str) -> list[str]:
+    own = spark._jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/event_date={day}")
+    return sorted(s.getPath().getName() for s in own.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(own))
+
+
 def run_aggregate(agg: DataFrame, root: str, checkpoint: str, available_now: bool = True,
                   processing_time: str | None = None,
                   state_partitions: int | None = None) -> StreamingQuery:
