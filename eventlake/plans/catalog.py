@@ -342,7 +342,7 @@ def _event_stream(spark, sf_dir):
     ensure_utc(spark)
     schema = X.read_table(spark, sf_dir, "events", spread=False).schema
     # a file or a folder of part files; batches are cut by bytes, not by files
-    return (spark.readStream.schema(schema).options(**T.rate_options(max_bytes="64g"))
+    return (spark.readStream.schema(schema).options(**T.rate_options(max_bytes=str(64 << 30)))
             .parquet(f"{sf_dir.rstrip('/')}/events.parquet*"))
 
 
