@@ -160,7 +160,8 @@ def judged(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", sour
         stats = materialise(stats, "quality-statistics")
     narrow = stats if store else with_statistics(
         docs.select(F.col(text_col), F.col(lang_col), F.col(source_col)), text_col)
-    fences = materialise(thresholds(sketches(narrow, lang_col, source_col), reach, least_docs), "quality-fences")
+    sketch = materialise(sketches(narrow, lang_col, source_col), "quality-sketches")     # read several times
+    fences = materialise(thresholds(sketch, reach, least_docs), "quality-fences")
     fences = fences.select(*[F.col(c).alias(f"__{c}") for c in fences.columns])
     inside = F.lit(True)
     for name, value in _features().items():
