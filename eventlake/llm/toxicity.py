@@ -20,8 +20,8 @@ from pyspark.sql import functions as F
 TOKEN = re.compile(r"[^\W\d_]+")
 TRAIN_DOCS = 30_000        # at most so many labelled documents are learned from
 LEXICON = 20_000           # at most so many tokens have odds of their own
-PRIOR = 50.0               # documents that the Dirichlet prior is worth
-LEAST_Z = 4.0              # tokens whose log-odds are fewer standard deviations above 0 have none
+PRIOR = 10.0               # documents that the Dirichlet prior is worth
+LEAST_Z = 3.0              # tokens whose log-odds are fewer standard deviations above 0 have none
 COST = 0.2                 # what a token without odds costs
 SIGNIFICANT = 0.01         # passages at most so likely in clean text of that length are reported
 
