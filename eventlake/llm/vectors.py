@@ -115,17 +115,27 @@ def _posted(books, slack: float):
                 rows = []
                 for k, (node, mult) in enumerate(zip(part["node"], part["mult"], strict=True)):
                     cells = multi_sequence(d1[k], d2[k], d1[k].min() + d2[k].min() + slack)
-                    raw, visits = y[k].tobytes(), np.array(sorted(cells), "<i8").tobytes()
-                    rows += [(c, c == home[k], int(home[k]), node, mult, raw, visits)
+                    visits = np.array(sorted(cells), "<i8").tobytes()      # needed at home only
+                    rows += [(c, c == home[k], int(home[k]), node, mult, visits if c == home[k] else None)
                              for c in dict.fromkeys([int(home[k]), *cells])]
-                yield pd.DataFrame(rows, columns=["cell", "resident", "home", "node", "mult", "unit", "visits"])
+                yield pd.DataFrame(rows, columns=["cell", "resident", "home", "node", "mult", "visits"])
     return run
 
 
-POSTED = "cell long, resident boolean, home long, node long, mult long, unit binary, visits binary"
+POSTED = "cell long, resident boolean, home long, node long, mult long, visits binary"
 
 
-def _verify(cosine: float):
+def _raw(kind: str):
+    """mapInPandas: the components of each vector as bytes, in the precision they came in."""
+    def run(batches):
+        import pandas as pd
+
+        for pdf in batches:
+            yield pd.DataFrame({"node": pdf["node"], "raw": [np.array(v, kind).tobytes() for v in pdf["vec"]]})
+    return run
+
+
+def _verify(cosine: float, kind: str):
     """Group function for one block pair of a cell: per vector the copies it is linked with here,
     and links that connect different vectors, as a forest.
 
@@ -136,7 +146,7 @@ def _verify(cosine: float):
 
         pdf = pdf.reset_index(drop=True)
         same = pdf["bi"].iat[0] == pdf["bj"].iat[0]
-        x = np.frombuffer(b"".join(pdf["unit"]), np.float64).reshape(len(pdf), -1)
+        _, x = _unit(np.frombuffer(b"".join(pdf["raw"]), kind).reshape(len(pdf), -1))
         side, res = pdf["side"].to_numpy(), pdf["resident"].to_numpy()
         cell, home = int(pdf["cell"].iat[0]), pdf["home"].to_numpy()
         node, mult = pdf["node"].to_numpy(), pdf["mult"].to_numpy()
@@ -186,13 +196,15 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
     Vectors that are null, empty or zero, or hold null or non-finite components, link with
     nothing (no links, own component, kept); so do rows with a null id (null component).
     Vectors of different lengths are compared only with their like.  Repeated rows are vectors
-    of their own that link with each other.  Other columns are not read; an empty table gives
+    of their own that link with each other; one id must not stand for different vectors.  Other
+    columns are not read; an empty table gives
     an empty result.
 
     The codebooks are fitted on at most ``sample`` vectors (by hash of the vector); every vector
     is posted.  Equal vectors are one node with a multiplicity.  Cells are compared in block
     pairs of at most ``2 * block`` rows; counts and at most one edge per vector leave a block."""
     rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).alias("vec"))
+    kind = "<f4" if vectors.schema[vector_col].dataType.elementType.simpleString() == "float" else "<f8"
     num = F.transform("vec", lambda v: v.cast("double"))
     good = (F.col("vec").isNotNull() & (F.size("vec") > 0)
             & F.forall(num, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < F.lit(float("inf"))))
@@ -215,11 +227,13 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
         slack = calibrate(unit, books, cosine, recall)
         posted = materialise(own.select("node", "mult", "vec").mapInPandas(_posted(books, slack), POSTED), "cells")
         size = posted.groupBy("cell").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
-        cells = block_pairs(posted.join(size, "cell"), ["cell"], "size", F.col("node"), block)
+        # postings stay narrow until they are dealt out; the vectors join them just before
+        cells = block_pairs(posted.join(materialise(size, "cell-sizes"), "cell"), ["cell"], "size", F.col("node"), block)
+        raw = materialise(own.select("node", "vec").mapInPandas(_raw(kind), "node long, raw binary"), "raw-vectors")
         keys = ["cell", "bi", "bj"]
+        cells = cells.join(raw, "node").select(*keys, "side", "resident", "home", "node", "mult", "raw", "visits")
         cells = cells.repartition(*[F.col(k) for k in keys]).sortWithinPartitions(*keys, "node")
-        cells = cells.select(*keys, "side", "resident", "home", "node", "mult", "unit", "visits")
-        found.append(materialise(cells.mapInPandas(by_group(keys, _verify(cosine)), "a long, b long, n long"),
+        found.append(materialise(cells.mapInPandas(by_group(keys, _verify(cosine, kind)), "a long, b long, n long"),
                                  "vector-links"))
     if not found:
         none = F.lit(None).cast("long")
