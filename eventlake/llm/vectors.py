@@ -8,15 +8,12 @@ at the threshold; the vectors met there are verified by cosine in double precisi
 
 from __future__ import annotations
 
-import heapq
-
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from eventlake.llm.common import block_pairs, by_group, materialise
 from eventlake.llm.components import connected_components
-from eventlake.llm.minhash import Forest
 
 SAMPLE = 8192
 CODEWORDS = 64
@@ -47,22 +44,36 @@ def _squares(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
     return np.maximum(d, 0)
 
 
+def multi_sequences(d1: np.ndarray, d2: np.ndarray, most: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each vector (a row of the distances to both books) the cells (first codeword times the
+    second book's size plus second codeword) by rising ``d1 + d2`` while that is at most ``most``:
+    ``(row, cell)``, the nearest cell of every row first, then the second nearest, and so on.
+
+    The two sorted lists of a vector are merged as one queue per first codeword; all vectors of
+    the batch take a step at a time, each to the least head of its queues."""
+    wide = d2.shape[1]
+    o1, o2 = np.argsort(d1, axis=1, kind="stable"), np.argsort(d2, axis=1, kind="stable")
+    s1, s2 = np.take_along_axis(d1, o1, 1), np.take_along_axis(d2, o2, 1)
+    s2 = np.hstack([s2, np.full((len(s2), 1), np.inf)])                # the end of each queue
+    open_ = max(1, int((s1 + s2[:, :1] <= most[:, None]).sum(1).max(initial=0)))
+    s1, o1 = s1[:, :open_], o1[:, :open_]
+    heads, at = s1 + s2[:, :1], np.zeros(s1.shape, np.int64)
+    live, rows, cells = np.arange(len(d1)), [], []
+    while len(live):
+        q = heads[live].argmin(1)
+        near = heads[live, q] <= most[live]
+        live, q = live[near], q[near]
+        k = at[live, q]
+        rows.append(live)
+        cells.append(o1[live, q] * wide + o2[live, k])
+        at[live, q] = k + 1
+        heads[live, q] = s1[live, q] + s2[live, k + 1]
+    return np.concatenate(rows or [live]), np.concatenate(cells or [live])
+
+
 def multi_sequence(d1: np.ndarray, d2: np.ndarray, most: float) -> list[int]:
-    """Cells (first codeword times the second book's size plus second codeword) by rising
-    ``d1 + d2`` while that is at most ``most``: a heap walks the two sorted distance lists."""
-    o1, o2 = np.argsort(d1, kind="stable"), np.argsort(d2, kind="stable")
-    s1, s2 = d1[o1], d2[o2]
-    heap, seen, cells = [(s1[0] + s2[0], 0, 0)], {(0, 0)}, []
-    while heap:
-        d, i, j = heapq.heappop(heap)
-        if d > most:
-            break
-        cells.append(int(o1[i]) * len(d2) + int(o2[j]))
-        for x, y in ((i + 1, j), (i, j + 1)):
-            if x < len(s1) and y < len(s2) and (x, y) not in seen:
-                seen.add((x, y))
-                heapq.heappush(heap, (s1[x] + s2[y], x, y))
-    return cells
+    """The traversal of :func:`multi_sequences` for one vector."""
+    return multi_sequences(d1[None], d2[None], np.array([most]))[1].tolist()
 
 
 def calibrate(sample: np.ndarray, books, cosine: float, recall: float) -> float:
@@ -111,14 +122,15 @@ def _posted(books, slack: float):
                 part = pdf.iloc[a:a + 1024]
                 _, y = _unit(part["vec"].tolist())
                 d1, d2 = _squares(y[:, :half], books[0]), _squares(y[:, half:], books[1])
-                home = d1.argmin(1) * wide + d2.argmin(1)
-                rows = []
-                for k, (node, mult) in enumerate(zip(part["node"], part["mult"], strict=True)):
-                    cells = multi_sequence(d1[k], d2[k], d1[k].min() + d2[k].min() + slack)
-                    visits = np.array(sorted(cells), "<i8").tobytes()      # needed at home only
-                    rows += [(c, c == home[k], int(home[k]), node, mult, visits if c == home[k] else None)
-                             for c in dict.fromkeys([int(home[k]), *cells])]
-                yield pd.DataFrame(rows, columns=["cell", "resident", "home", "node", "mult", "visits"])
+                row, cell = multi_sequences(d1, d2, d1.min(1) + d2.min(1) + slack)
+                home = cell[:len(part)]                                # the first step is the own cell
+                by_row = np.lexsort((cell, row))
+                visits = np.split(cell[by_row].astype("<i8"), np.cumsum(np.bincount(row))[:-1])
+                told = np.full(len(row), None, object)                 # needed at home only
+                told[:len(part)] = [v.tobytes() for v in visits]
+                yield pd.DataFrame({"cell": cell, "resident": np.arange(len(row)) < len(part), "home": home[row],
+                                    "node": part["node"].to_numpy()[row], "mult": part["mult"].to_numpy()[row],
+                                    "visits": told})
     return run
 
 
@@ -157,7 +169,7 @@ def _verify(cosine: float, kind: str):
         if not len(left) or not len(right) or not res.any():
             return None
         links = np.zeros(len(pdf), np.int64)
-        forest, edges, visits = Forest(), [], {}
+        label, edges = np.arange(len(pdf)), []
         for a in range(0, len(left), 256):
             own = left[a:a + 256]
             hit = x[own] @ x[right].T >= cosine
@@ -166,19 +178,25 @@ def _verify(cosine: float, kind: str):
                 hit &= right[None, :] > own[:, None]
             i, j = np.nonzero(hit)
             i, j = own[i], right[j]
-            keep = np.ones(len(i), bool)
-            for k in np.flatnonzero(home[i] != home[j]):
-                r, v = (i[k], j[k]) if home[i[k]] == cell else (j[k], i[k])     # resident, visitor
-                if r not in visits:
-                    visits[r] = set(np.frombuffer(pdf["visits"].iat[r], "<i8").tolist())
-                keep[k] = not (int(home[v]) in visits[r] and home[v] < cell)
+            # where both visit each other's cells, the resident is met in the smaller one as well
+            at_home = home[i] == cell
+            r, v = np.where(at_home, i, j), np.where(at_home, j, i)    # resident, visitor
+            again, keep = np.flatnonzero(home[v] < cell), np.ones(len(i), bool)
+            again = again[np.argsort(r[again], kind="stable")]
+            cuts = np.flatnonzero(np.diff(r[again])) + 1
+            for part in np.split(again, cuts) if len(again) else []:
+                visits = np.frombuffer(pdf["visits"].iat[r[part[0]]], "<i8")
+                keep[part] = ~np.isin(home[v[part]], visits)
             i, j = i[keep], j[keep]
             np.add.at(links, i, mult[j])
             np.add.at(links, j, mult[i])
-            for p, q in zip(i.tolist(), j.tolist(), strict=True):
-                if forest.root(p) != forest.root(q):
-                    forest.join(p, q)
-                    edges.append((node[p], node[q], 0))
+            starts = np.flatnonzero(np.diff(i, prepend=-1))
+            for p, q in zip(i[starts], np.split(j, starts[1:]), strict=True) if len(i) else []:
+                trees, first = np.unique(label[q], return_index=True)
+                new = trees != label[p]
+                if new.any():
+                    edges += [(node[p], node[k], 0) for k in q[first[new]]]
+                    label[np.isin(label, trees[new])] = label[p]
         some = np.flatnonzero(links)
         counts = [(node[k], None, links[k]) for k in some]
         out = pd.DataFrame(counts + edges, columns=["a", "b", "n"])
