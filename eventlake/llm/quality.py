@@ -2,7 +2,8 @@
 
 Each document's statistics are computed in its row; per language and source a mergeable
 quantile sketch of each statistic is kept as counts of logarithmic buckets; fences made from
-its quartiles are joined back and decide.  DataFrame functions only.
+its quartiles, and from its tails where these coincide, are joined back and decide.  DataFrame
+functions only.
 """
 
 from __future__ import annotations
@@ -19,15 +20,17 @@ LEAST_WORDS = 20
 MOST_REPEATED_PERCENT = 30
 
 # The statistics that the sketches hold, as whole numbers, with the side(s) on which a value is
-# bad and the least spread that a fence assumes (so that a group without any spread does not
-# reject the first value that differs).
+# bad and the spread that a fence assumes where the group, its language and the whole table have
+# none (so that the first value that differs is not rejected).
 FEATURES = {
     "symbols": ("high", 100),        # symbols per 1000 words
     "dup_lines": ("high", 20),       # repeated lines per 1000 words
     "repeated": ("high", 90),        # words in repeated windows per 1000 words
     "word_length": ("both", 60),     # hundredths of a character per word
 }
-REACH = 3.0            # fences lie this many spreads outside the quartiles
+REACH = 3.0            # fences lie this many spreads outside the quartiles,
+TAIL_REACH = 1.0       # or this many tails outside the tail where the quartiles coincide
+TAILS = (90, 95, 99)   # the percentiles that may be the tail's end, and 100 less these
 LEAST_DOCS = 50        # smaller groups use their language's sketch, then everyone's
 BUCKETS = 32           # buckets per power of two: quartiles are exact to about 3 percent
 
@@ -83,6 +86,12 @@ def _bucket(v: Column) -> Column:
     return F.when(v < 2 * BUCKETS, v).otherwise(F.floor(v / unit).cast("long") * unit)
 
 
+def _last(bucket: Column) -> Column:
+    """Last whole number of the bucket with this lower edge."""
+    shift = F.greatest(F.length(F.bin(bucket)) - (BUCKETS.bit_length()), F.lit(0))
+    return F.when(bucket < 2 * BUCKETS, bucket).otherwise(bucket + F.pow(F.lit(2), shift).cast("long") - 1)
+
+
 # --- thresholds --------------------------------------------------------------------------------
 
 def sketches(stats: DataFrame, lang_col: str, source_col: str) -> DataFrame:
@@ -98,40 +107,66 @@ def sketches(stats: DataFrame, lang_col: str, source_col: str) -> DataFrame:
 def thresholds(sketch: DataFrame, reach: float = REACH, least_docs: int = LEAST_DOCS) -> DataFrame:
     """``lang``, ``source`` and ``lo_<feature>``, ``hi_<feature>``: one row per group met.
 
-    The quartiles of a group are those of its merged sketch; groups with fewer than
-    ``least_docs`` documents use the sketch merged over their language, and languages with
-    fewer the one merged over everything."""
+    A fence lies ``reach`` quartile spreads outside the group's quartile.  Where the quartiles
+    coincide (most documents have no symbols at all), the group's tail takes their place: the
+    outermost of ``TAILS`` that is still within ``reach`` assumed spreads of the quartile (what
+    lies further is another population, such as junk, and must not widen its own fence), and
+    ``TAIL_REACH`` times its distance beyond.  A group without such a tail has its language's
+    distance from quartile to fence, or the whole table's; the assumed spread of ``FEATURES``
+    acts only where none of them has any spread.
+
+    Groups with fewer than ``least_docs`` documents use the sketch merged over their language,
+    and languages with fewer the one merged over everything."""
     groups = sketch.select("lang", "source").distinct()
-    own = _quartiles(sketch, ["lang", "source"])
-    lang = _quartiles(sketch.groupBy("lang", "feature", "bucket").agg(F.sum("n").alias("n")), ["lang"])
-    every = _quartiles(sketch.groupBy("feature", "bucket").agg(F.sum("n").alias("n")), [])
+    own = _reaches(sketch, ["lang", "source"], reach)
+    lang = _reaches(sketch.groupBy("lang", "feature", "bucket").agg(F.sum("n").alias("n")), ["lang"], reach)
+    every = _reaches(sketch.groupBy("feature", "bucket").agg(F.sum("n").alias("n")), [], reach)
     named = F.explode(F.array(*[F.lit(k) for k in FEATURES])).alias("feature")
     at = groups.select("lang", "source", named)
     at = _null_safe(at, own, ["lang", "source", "feature"], "o")
     at = _null_safe(at, lang, ["lang", "feature"], "l")
     at = _null_safe(at, every, ["feature"], "e")
-    use = (F.when(F.col("o.docs") >= least_docs, F.col("o"))
-           .when(F.col("l.docs") >= least_docs, F.col("l")).otherwise(F.col("e")))
-    at = at.withColumn("q", use).select("lang", "source", "feature", "q.*")
+    mine, theirs = F.col("o.docs") >= least_docs, F.col("l.docs") >= least_docs
+    use = F.when(mine, F.col("o")).when(theirs, F.col("l")).otherwise(F.col("e"))
+    far = {side: F.coalesce(F.when(mine, F.col(f"o.{side}")), F.when(theirs, F.col(f"l.{side}")), F.col(f"e.{side}"))
+           for side in ("below", "above")}
+    at = at.select("lang", "source", "feature", use.alias("q"), *[v.alias(k) for k, v in far.items()])
     out = []
     for name, (bad, least) in FEATURES.items():
-        mine = F.col("feature") == name
-        spread = F.greatest(F.col("q3") - F.col("q1"), F.lit(least))
-        reachable = F.floor(F.lit(reach) * spread).cast("long")
-        lo = F.col("q1") - reachable if bad == "both" else F.lit(-1).cast("long")
-        out += [F.max(F.when(mine, lo)).alias(f"lo_{name}"), F.max(F.when(mine, F.col("q3") + reachable)).alias(f"hi_{name}")]
+        mine, none = F.col("feature") == name, F.lit(int(reach * least)).cast("long")
+        hi = F.col("q.q75") + F.coalesce("above", none)
+        lo = F.col("q.q25") - F.coalesce("below", none) if bad == "both" else F.lit(-1).cast("long")
+        out += [F.max(F.when(mine, lo)).alias(f"lo_{name}"), F.max(F.when(mine, hi)).alias(f"hi_{name}")]
     return at.groupBy("lang", "source").agg(*out)
 
 
-def _quartiles(sketch: DataFrame, keys: list[str]) -> DataFrame:
-    """``keys``, ``feature``, ``v`` (struct docs, q1, q3): the lower edges of the buckets that hold
-    the quartiles.  A window sees the buckets of one sketch, a few hundred rows."""
+def _reaches(sketch: DataFrame, keys: list[str], reach: float) -> DataFrame:
+    """``keys``, ``feature``, ``v`` (struct docs, q25, q75, below, above): the quartiles, and how far
+    outside them the fences lie; null where neither quartiles nor tail show any spread.
+
+    Quartiles and tails are those of the buckets that hold them: lower edges below, last whole
+    numbers above.  A window sees the buckets of one sketch, a few hundred rows."""
     w = Window.partitionBy(*keys, "feature")
     run = (sketch.withColumn("docs", F.sum("n").over(w))
            .withColumn("upto", F.sum("n").over(w.orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0))))
-    q = [F.min(F.when(F.col("upto") * 4 >= F.col("docs") * k, F.col("bucket"))).alias(f"q{k}") for k in (1, 3)]
-    return (run.groupBy(*keys, "feature").agg(F.max("docs").alias("docs"), *q)
-            .select(*keys, "feature", F.struct("docs", "q1", "q3").alias("v")))
+    q = [F.min(F.when(F.col("upto") * 100 >= F.col("docs") * k, F.col("bucket"))).alias(f"p{k}")
+         for k in (25, 75, *TAILS, *[100 - k for k in TAILS])]
+    at = run.groupBy(*keys, "feature").agg(F.max("docs").alias("docs"), *q)
+    at = at.withColumn("low", F.col("p25")).withColumn("high", _last(F.col("p75")))
+    assumed = F.create_map(*[F.lit(x) for k, (_, least) in FEATURES.items() for x in (k, int(reach * least))])
+    most = assumed[F.col("feature")]
+    apart = F.col("p75") > F.col("p25")
+    between = F.floor(F.lit(reach) * (F.col("high") - F.col("low"))).cast("long")
+    above, below = F.lit(0).cast("long"), F.lit(0).cast("long")
+    for k in TAILS:
+        up, down = _last(F.col(f"p{k}")) - F.col("high"), F.col("low") - F.col(f"p{100 - k}")
+        above = F.greatest(above, F.when(up <= most, up))
+        below = F.greatest(below, F.when(down <= most, down))
+    tail = lambda x: F.when(x > 0, x + F.floor(F.lit(TAIL_REACH) * x).cast("long"))
+    return at.select(*keys, "feature", F.struct(
+        "docs", F.col("low").alias("q25"), F.col("high").alias("q75"),
+        F.when(apart, between).otherwise(tail(below)).alias("below"),
+        F.when(apart, between).otherwise(tail(above)).alias("above")).alias("v"))
 
 
 def _null_safe(left: DataFrame, right: DataFrame, keys: list[str], name: str) -> DataFrame:

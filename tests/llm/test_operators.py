@@ -305,6 +305,26 @@ def test_quality_fences_adapt_and_keep_clean_documents(spark):
     assert good >= 0.9 * (good + c.get((1, False), 0))
 
 
+def test_quality_fences_follow_each_sources_own_spread(spark):
+    """Word lengths spread little in one source and much in the other, repeated lines differ in the
+    tail alone: the fences differ, junk in a tail does not widen its fence, and a source without
+    any spread takes the assumed one."""
+    rows = []
+    for source, step, tail in (("narrow", 1, 4), ("wide", 6, 30)):
+        rows += [("en", source, "word_length", 500 + step * (k % 41 - 20), 10) for k in range(41)]
+        rows += [("en", source, "dup_lines", 0, 360), ("en", source, "dup_lines", tail, 50)]
+        rows += [("en", source, "symbols", 0, 350), ("en", source, "symbols", 2900, 60)]
+        rows += [("en", source, "repeated", 0, 410)]
+    sketch = spark.createDataFrame(rows, "lang string, source string, feature string, bucket long, n long")
+    sketch = (sketch.withColumn("bucket", quality._bucket(F.col("bucket")))
+              .groupBy("lang", "source", "feature", "bucket").agg(F.sum("n").alias("n")))
+    got = {r["source"]: r for r in quality.thresholds(sketch).collect()}
+    slim, wide = got["narrow"], got["wide"]
+    assert slim["lo_word_length"] > wide["lo_word_length"] + 200 and slim["hi_word_length"] < wide["hi_word_length"] - 200
+    assert (slim["hi_dup_lines"], wide["hi_dup_lines"]) == (8, 60)
+    assert slim["hi_symbols"] == wide["hi_symbols"] == 300 and slim["hi_repeated"] == 270
+
+
 def test_lines(spark):
     rng = random.Random(11)
     pool = [f"boiler {k}" for k in range(6)] + ["  padded\t", "", "   "]
