@@ -343,6 +343,31 @@ def test_lines(spark):
     assert lines.without_boilerplate(df.limit(0)).count() == 0
 
 
+def test_line_spread_is_judged_by_what_chance_explains(spark):
+    """Ordinary short lines stay as the corpus grows, although they reach every site; a long line on
+    two to four sites goes, and so does a short one that its words do not explain."""
+    rng = random.Random(13)
+    common = [f"c{k}" for k in range(12)]
+    long_line = " ".join(f"terms{k}" for k in range(30))
+
+    def removed(size):
+        rows = []
+        for i in range(size):
+            text = [f"{rng.choice(common)}.", f"{rng.choice(common)} and {rng.choice(common)}."]
+            text += [" ".join([f"own{i}", *rng.choices(common, k=5)]), " ".join(f"body{i}x{k}" for k in range(40))]
+            text += [long_line] if i in (3, 24, 45) else []
+            text += ["Alle Rechte vorbehalten."] if i % 9 == 0 else []
+            rows.append((i, "\n".join(text), f"s{i % 20}"))
+        df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(4)
+        left = {r["doc_id"]: r["text"] for r in lines.without_boilerplate(df).collect()}
+        return [sorted(set(t.split("\n")) - set(left[i].split("\n"))) for i, t, _ in rows]
+
+    for size in (200, 2000):
+        gone = removed(size)
+        assert {x for g in gone for x in g} == {long_line, "Alle Rechte vorbehalten."}, size
+        assert long_line not in gone[3] and long_line in gone[24] and long_line in gone[45]
+
+
 # --- toxicity ------------------------------------------------------------------------------------
 
 def test_maximal_segments_against_brute_force():
