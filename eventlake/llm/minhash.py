@@ -13,7 +13,7 @@ from __future__ import annotations
 import math
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -80,7 +80,7 @@ def signature(own: np.ndarray, mul: np.ndarray, add: np.ndarray) -> np.ndarray:
 
 def signatures(docs: DataFrame, id_col: str, text_col: str, words: int, coordinates: int,
                prefix: int) -> DataFrame:
-    """``id``, ``n`` (shingles), ``key`` (128-bit fingerprint of the set, null if empty), ``pre`` (the
+    """``id``, ``mark`` (hash of the text), ``n`` (shingles), ``key`` (128-bit fingerprint of the set, null if empty), ``pre`` (the
     first ``prefix`` coordinates, 32 bits each) and ``sig`` (the low byte of every coordinate)."""
     def run(batches):
         import pyarrow as pa
@@ -96,11 +96,17 @@ def signatures(docs: DataFrame, id_col: str, text_col: str, words: int, coordina
                 pre.append(None if low is None else low[:prefix].tobytes())
                 sig.append(None if low is None else low.astype(np.uint8).tobytes())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(n, pa.int64()), *(pa.array(x, pa.binary()) for x in (key, pre, sig))],
-                names=["id", "n", "key", "pre", "sig"])
+                [batch.column(0), batch.column(2), pa.array(n, pa.int64()), *(pa.array(x, pa.binary()) for x in (key, pre, sig))],
+                names=["id", "mark", "n", "key", "pre", "sig"])
 
-    return (docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-            .mapInArrow(run, "id long, n long, key binary, pre binary, sig binary"))
+    text = F.col(text_col).cast("string")
+    return (docs.select(F.col(id_col).cast("long").alias("id"), text.alias("text"), text_mark(text).alias("mark"))
+            .mapInArrow(run, "id long, mark long, n long, key binary, pre binary, sig binary"))
+
+
+def text_mark(text: Column) -> Column:
+    """What tells the texts of one id apart."""
+    return F.xxhash64(text)
 
 
 def fingerprint(own: np.ndarray) -> bytes | None:
@@ -201,9 +207,9 @@ def linker(num: int, den: int, least: int, prefix: int):
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5,
                     num: int = 80, den: int = 100, coordinates: int = COORDINATES, prefix: int = PREFIX,
-                    block: int = BLOCK) -> DataFrame:
+                    block: int = BLOCK, marks: bool = False) -> DataFrame:
     """``id_col``, ``n_shingles`` (long), ``component_id`` (long), ``kept`` (boolean), one row per
-    row of ``docs``.
+    row of ``docs``; with ``marks`` also ``mark`` (:func:`text_mark` of the row's text).
 
     Two documents are linked if ``den * |A & B| >= num * |A | B|`` for their sets of distinct
     ``words``-word shingles; ``component_id`` is the smallest id reachable by links, itself
@@ -212,7 +218,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     Defined results: null or empty text and text without words has no shingle, links with
     nothing and is its own component; rows with a null id have a null component, kept, and
     link with nothing; repeated rows are copies of each other; equal ids with different texts
-    are documents of their own.  Other columns are not read.  An empty table gives an empty result.
+    are documents of their own (if they link with each other, one of them is kept).  Other columns are not read.  An empty table gives an empty result.
 
     At scale: copies are collapsed first (a partial aggregate on the set's fingerprint).  A first
     round compares the members of each posting with its best-connected member only, which is
@@ -223,8 +229,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     least = match_threshold(num, den, coordinates)
     signed = materialise(signatures(docs, id_col, text_col, words, coordinates, prefix), "signatures")
     real = signed.where("key is not null and id is not null")
-    reps = materialise(real.groupBy("key").agg(*[F.min(c).alias("rep" if c == "id" else c)
-                                                 for c in ("id", "n", "pre", "sig")]), "classes")
+    # a class is a node by its fingerprint: one id may stand on several texts
+    reps = real.groupBy("key").agg(*[F.min(c).alias("doc" if c == "id" else c) for c in ("id", "n", "pre", "sig")])
+    reps = materialise(reps.withColumn("rep", F.shiftrightunsigned(F.xxhash64("key"), 1)), "classes")
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     light = reps.select("key", "n", "sig")
 
@@ -245,8 +252,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
              .where(F.lit(den) * F.least("na", "nb") >= F.lit(num) * F.greatest("na", "nb")))
     stars = materialise(stars.select("a", "ka", "b", "kb", "sa", "sb")
                         .mapInPandas(_above(least), "a long, ka binary, b long, kb binary"), "candidates")
-    sets = _sets(texts, stars.select(F.col("a").alias("rep"), F.col("ka").alias("key"))
-                 .unionByName(stars.select(F.col("b").alias("rep"), F.col("kb").alias("key"))), words)
+    sets = _sets(texts, reps, stars.select(F.col("ka").alias("key"))
+                 .unionByName(stars.select(F.col("kb").alias("key"))), words)
     linked = (stars.join(sets.toDF("ka", "xa"), "ka").join(sets.toDF("kb", "xb"), "kb")
               .mapInPandas(_confirm(num, den), "a long, b long"))
     links = materialise(linked, "links")
@@ -271,7 +278,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     some = blocks(label, [light], ["n", "sig"])
     some = materialise(some.mapInPandas(by_group(keys, suspects(num, den, least)), "rep long, key binary")
                        .distinct(), "suspects")
-    sets = _sets(texts, some, words)
+    sets = _sets(texts, reps, some.select("key"), words)
     rows = label.join(some.select("key"), "key", "left_semi")
     rows = blocks(rows, [reps.select("key", "n", "pre", "sig"), sets], ["n", "pre", "sig", "own"])
     more = rows.mapInPandas(by_group(keys, linker(num, den, least, prefix)), "a long, b long")
@@ -279,20 +286,24 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     comps = materialise(connected_components(links), "components")
 
     # back to the documents
-    known = (reps.join(comps.toDF("rep", "comp"), "rep", "left")
-             .select("key", F.coalesce("comp", "rep").alias("comp")))
+    labelled = comps.toDF("rep", "comp").join(reps.select("rep", "doc"), "rep")
+    least = labelled.groupBy("comp").agg(F.min(F.struct("doc", "rep")).alias("least"))
+    known = (reps.select("key", "rep", "doc").join(labelled.select("rep", "comp").join(least, "comp"), "rep", "left")
+             .select("key", F.coalesce("least.doc", "doc").alias("comp"),
+                     F.coalesce(F.col("least.rep") == F.col("rep"), F.lit(True)).alias("leads")))
     own = F.when(F.col("id").isNotNull(), F.coalesce("comp", "id"))
-    return (signed.select("id", "n", "key").join(known, "key", "left")
+    kept = F.coalesce((F.col("id") == own) & F.coalesce("leads", F.lit(True)), F.lit(True))
+    return (signed.select("id", "mark", "n", "key").join(known, "key", "left")
             .select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), own.alias("component_id"),
-                    F.coalesce(F.col("id") == own, F.lit(True)).alias("kept")))
+                    kept.alias("kept"), *(["mark"] if marks else [])))
 
 
-def _sets(texts: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
-    """``key``, ``own``: the shingle sets of the classes in ``wanted`` (``rep``, ``key``), made from
-    the texts of their first documents."""
-    wanted = materialise(wanted.distinct(), "wanted")
+def _sets(texts: DataFrame, reps: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
+    """``key``, ``own``: the shingle sets of the classes in ``wanted`` (``key``), made from the texts
+    of their first documents (``doc`` in ``reps``)."""
+    wanted = materialise(reps.select("key", "doc").join(wanted.distinct(), "key"), "wanted")
     few = wanted.count()
-    own = texts.join(bound_for_broadcast(wanted.select(F.col("rep").alias("id")).distinct(), few, MOST_BROADCAST),
+    own = texts.join(bound_for_broadcast(wanted.select(F.col("doc").alias("id")).distinct(), few, MOST_BROADCAST),
                      "id", "left_semi")
     made = shingle_sets(own, words).where("key is not null")
     made = materialise(made.join(bound_for_broadcast(wanted.select("key"), few, MOST_BROADCAST), "key", "left_semi"), "sets")

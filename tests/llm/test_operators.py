@@ -11,6 +11,7 @@ import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from eventlake.llm import (bpe, chat, components, lines, minhash, packing, pii, quality, token_files,
                            tokens, toxicity, vectors)
 from tests.conftest import SF001
@@ -194,6 +195,24 @@ def test_near_duplicates_edge_rows(spark):
     assert minhash.near_duplicates(docs_of(spark, [])).count() == 0
 
 
+def test_one_id_on_two_texts_is_two_documents(spark):
+    """(5, A), (5, B), (2, near copy of B): A has no duplicate and stays, in the pipeline as well; of
+    two near copies under one id, one stays."""
+    words = [f"b{k}" for k in range(100)]
+    near = " ".join([*words[:-1], "other"])
+    a, b = " ".join(f"a{k}" for k in range(60)), " ".join(words)
+    c = [f"c{k}" for k in range(100)]
+    rows = [(5, a), (5, b), (2, near), (9, " ".join(c)), (9, " ".join([*c[:-1], "other"]))]
+    got = minhash.near_duplicates(docs_of(spark, rows), marks=True)
+    by_text = {r["text"]: r for r in docs_of(spark, rows).select("doc_id", "text", minhash.text_mark(F.col("text")).alias("mark"))
+               .join(got, ["doc_id", "mark"]).collect()}
+    assert (by_text[a]["component_id"], by_text[a]["kept"]) == (5, True)
+    assert (by_text[b]["component_id"], by_text[b]["kept"]) == (2, False)
+    assert (by_text[near]["component_id"], by_text[near]["kept"]) == (2, True)
+    left = [(r["doc_id"], r["text"]) for r in corpus_pipeline.near_dedup(spark, docs_of(spark, rows), "").collect()]
+    assert sorted(x for x in left if x[0] != 9) == [(2, near), (5, a)] and len(left) == 3
+
+
 def test_near_vectors(spark):
     rng = np.random.default_rng(3)
     base = rng.standard_normal((12, 16))
