@@ -204,6 +204,11 @@ def _verify(cosine: float, kind: str):
     return run
 
 
+def _lengths(classes: DataFrame) -> list[int]:
+    """All lengths of vectors met: each is indexed on its own."""
+    return sorted(r["dim"] for r in classes.select("dim").distinct().collect())
+
+
 def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding",
                  cosine: float = 0.9, sample: int = SAMPLE, codewords: int = CODEWORDS,
                  recall: float = RECALL, block: int = BLOCK) -> DataFrame:
@@ -233,7 +238,7 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
                .withColumn("dim", F.size("vec")))
     classes = materialise(classes, "vector-classes")
     found = []
-    for dim in sorted(r["dim"] for r in classes.select("dim").distinct().limit(1000).collect()):
+    for dim in _lengths(classes):
         own = classes.where(F.col("dim") == dim)
         some = own.select("vec").orderBy(F.xxhash64("vec")).limit(sample).collect()
         _, unit = _unit([r["vec"] for r in some])

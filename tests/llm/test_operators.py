@@ -235,6 +235,10 @@ def test_near_vectors(spark):
     assert vectors.near_vectors(df.limit(0)).count() == 0
 
 
+def test_every_length_of_vectors_is_indexed(spark):
+    assert vectors._lengths(spark.range(1, 1501).select(F.col("id").cast("int").alias("dim"))) == list(range(1, 1501))
+
+
 def test_multi_sequence_visits_in_order():
     d1, d2 = np.array([3.0, 1.0, 2.0]), np.array([0.5, 4.0])
     cells = vectors.multi_sequence(d1, d2, 5.0)
