@@ -49,8 +49,8 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES = [("quality_rules", quality_rules), ("line_dedup", line_dedup), ("near_dedup", near_dedup),
           ("personal_data", personal_data), ("pack", pack)]
 
-#: The tokenizer and the trained span classifier have no SQL form: the tests hold the stages
-#: against brute force instead.
+#: The tokenizer and the trained span classifier have no SQL form.  The tests hold the operators
+#: against brute force; of the stages here they call near_dedup alone.
 ORACLE_SQL = None
 
 
