@@ -6,8 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventlake.llm import (bpe, chat, lines, minhash, packing, pii, quality, token_files, toxicity,
-                            vectors)
+from eventlake.llm import (audit, bpe, chat, credentials, lines, minhash, packing, pii, quality, spelling,
+                            token_files, toxicity, vectors)
 from eventlake.llm.common import materialise, table
 from eventlake.session import scratch_path
 
@@ -92,6 +92,27 @@ def op10_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), words=3, num=85, den=100)
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = audit.audit_documents(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return audit.order_report(found, {"good_lost": "good", "toxic_lost": "toxic"})
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = spelling.word_counts(table(spark, sf_dir, "documents"), drop_every=31)
+    return spelling.variants(counts, least=7, least_n=2, times=10)
+
+
+def op13_secret_ownership(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A document's source stands for the owner, the document for the repository."""
+    found, _ = credentials.scanned(table(spark, sf_dir, "documents"), F.col("source"), F.col("doc_id"))
+    base = F.filter("spans", lambda s: s["base"])
+    return found.select("doc_id", *[F.size(F.filter("spans", _of(k))).cast("long").alias(f"n_{k}")
+                                    for k in credentials.BASE_KINDS],
+                        F.sha2(credentials.joined(base).cast("binary"), 256).alias("base_sha256"),
+                        credentials.joined(F.col("spans")).alias("spans"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_multi_index_dedup, op2_chat_masks, op3_personal_data, op4_bpe_roundtrip, op5_toxic_segments,
-    op6_best_fit_packing, op7_token_files, op8_adaptive_quality, op9_line_spread, op10_minhash_dedup)}
+    op6_best_fit_packing, op7_token_files, op8_adaptive_quality, op9_line_spread, op10_minhash_dedup,
+    op11_filter_audit, op12_spelling_variants, op13_secret_ownership)}
