@@ -165,7 +165,8 @@ def scanned(docs: DataFrame, owner: Column, repository: Column, id_col: str = "d
     each = found.select("row", F.inline("spans")).withColumn("salt", salt)
     salted = values.select("value", "verdict", "n_repositories", "n_owners",
                            F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))).alias("salt"))
-    judged = each.join(salted, ["value", "salt"]).where("base or verdict = 'live'")
+    # merged, never broadcast: the values grow with the corpus, and the planner does not see the salts
+    judged = each.join(salted.hint("merge"), ["value", "salt"]).where("base or verdict = 'live'")
     order = F.array_position(F.array(*[F.lit(k) for k in KINDS]), F.col("kind"))
     own = F.struct("start", order.alias("order"), "kind", "end", "base", "verdict", "n_repositories", "n_owners")
     spans = (judged.groupBy("row").agg(F.sort_array(F.collect_list(own)).alias("s"))
