@@ -1,8 +1,9 @@
-"""Batch ingest in one job: capture -> dedup -> constraint check -> one write.
+"""Batch ingest: capture -> constraint check -> dedup, also against what is stored -> one write.
 
-Good rows and dead letters go to the same root, partitioned by ``status`` and
-``event_date``, so a 100 TB input is read once (writing the two outputs separately
-would read it twice or cache it).  Readers prune on ``status``.
+Good rows and dead letters go to the same root, partitioned by ``status`` and ``event_date``, so
+readers prune on ``status``.  A narrow pass over the keys comes first: it finds the keys that
+stand more than once in the delivery and those that the table's key index holds.  Rows of all other
+keys, in a first delivery nearly all, are then written without being shuffled for it.
 """
 
 from __future__ import annotations
@@ -12,35 +13,85 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from eventlake import folders
 from eventlake.operators.capture import CaptureSpec, capture
+from eventlake.session import cut_lineage
+from eventlake.sinks.keyindex import KEY, KeyIndex, key_columns
 from eventlake.sinks.writers import dedup_key, reject_reason, writer_options
 
 GOOD, DEAD = "good", "dead"
+INDEX = "_keys"                     # under the table's root; readers skip names with an underscore
+
+
+def labelled(captured: DataFrame) -> DataFrame:
+    """Rows with ``reject_reason`` and ``row_key``: NULL for a good row, whose key is its UUID, else a
+    hash of the whole row, corrupt text included, so that a dead row only meets its exact copy."""
+    text = F.to_json(F.struct(*[F.col(c) for c in captured.columns]))
+    out = captured.withColumn("reject_reason", reject_reason(tuple(captured.columns)))
+    return out.withColumn("row_key", F.when(F.col("reject_reason").isNotNull(), F.concat(F.lit("dead:"), F.sha2(text, 256))))
+
+
+def with_key(rows: DataFrame) -> DataFrame:
+    """``rows`` (with ``row_key``) and their index key."""
+    return rows.select("*", *key_columns(F.coalesce("row_key", "UUID")))
+
+
+def stored_keys(spark: SparkSession, root: str) -> DataFrame:
+    """The index keys of every row under ``root``."""
+    return with_key(spark.read.parquet(root).select("UUID", "row_key", "Timestamp")).select(*KEY)
 
 
 def ingest(df: DataFrame, specs: Sequence[CaptureSpec] | None, root: str,
-           compression: str | None = None, batch_size: int | None = None) -> None:
+           compression: str | None = None, batch_size: int | None = None, unique: bool = True) -> None:
     """Append captured, deduplicated, checked events under ``root``:
     ``status=good/event_date=D`` for rows that pass, ``status=dead/...`` with a
     ``reject_reason`` for rows that break a constraint.  The constraints are judged before the
-    predicates, so a broken row of a declared kind is a dead letter, never dropped."""
+    predicates, so a broken row of a declared kind is a dead letter, never dropped.
+
+    ``unique``: a key that is stored already is not stored again, so a delivery may be ingested any
+    number of times, after a failure or by mistake (one run at a time).  Of rows with one key in
+    a delivery, the earliest stays."""
     captured = capture(df, specs, keep_broken=True) if specs else df
-    labelled = captured.withColumn("reject_reason", reject_reason(tuple(captured.columns)))
-    # good rows dedup on (Timestamp, UUID); a dead row only collapses with its exact copy
-    # (its key is a hash of the whole row, corrupt text included)
-    row_text = F.to_json(F.struct(*[F.col(c) for c in captured.columns]))
-    key = F.when(F.col("reject_reason").isNull(), F.col("UUID")).otherwise(
-        F.concat(F.lit(DEAD + "\u0000"), F.sha2(row_text, 256)))
-    deduped = dedup_key(labelled.withColumn("_key", key), keys=("Timestamp", "_key")).drop("_key")
-    out = (deduped.withColumn("status", F.when(F.col("reject_reason").isNull(), F.lit(GOOD))
-                              .otherwise(F.lit(DEAD)))
+    append(labelled(captured), root, compression, batch_size, unique)
+
+
+def append(rows: DataFrame, root: str, compression: str | None = None, batch_size: int | None = None,
+           unique: bool = True) -> None:
+    """:func:`ingest` for rows that are :func:`labelled`; further columns are stored with them."""
+    spark, root = rows.sparkSession, root.rstrip("/")
+    index = KeyIndex(spark, f"{root}/{INDEX}")
+    keyed = with_key(rows)
+    batch = cut_lineage(keyed.groupBy(*KEY).agg(F.count(F.lit(1)).alias("n")), "ingest-keys")
+    if unique and folders.exists(spark, root):
+        index.heal(stored_keys(spark, root), batch)
+        seen = index.known(batch).withColumn("known", F.lit(True))
+        batch = cut_lineage(batch.join(seen, KEY, "left"), "ingest-known")
+    else:
+        batch = batch.withColumn("known", F.lit(None).cast("boolean"))
+    fresh = batch.where("known is null")
+    found = batch.agg(F.count_if(F.expr("known is null")).alias("fresh"), F.count("known").alias("known"),
+                      F.count_if(F.expr("n > 1 and known is null")).alias("repeated")).first()
+    if not found["fresh"]:
+        return
+    out = keyed
+    if found["known"] or found["repeated"]:
+        out = keyed.join(batch.where("known or n > 1").select(*KEY), KEY, "left_anti")
+    if found["repeated"]:
+        # only rows whose keys stand more than once meet in an aggregate
+        again = keyed.join(fresh.where("n > 1").select(*KEY), KEY, "left_semi")
+        out = out.select(*keyed.columns).unionByName(dedup_key(again, keys=tuple(KEY)))
+    out = (out.select(*rows.columns)
+           .withColumn("status", F.when(F.col("reject_reason").isNull(), F.lit(GOOD)).otherwise(F.lit(DEAD)))
            .withColumn("event_date", F.to_date("Timestamp")))
-    (out.write.mode("append").partitionBy("status", "event_date")
+    (out.hint("rebalance", F.col("status"), F.col("event_date"))
+        .write.mode("append").partitionBy("status", "event_date")
         .options(**writer_options(compression, batch_size)).parquet(root))
+    if unique:
+        index.add(fresh.select(*KEY))
 
 
 def read_status(spark: SparkSession, root: str, status: str = GOOD) -> DataFrame:
     """Rows of one status (partition-pruned), without the bookkeeping columns."""
     df = spark.read.parquet(root).filter(F.col("status") == status)
-    drop = ["status"] + (["reject_reason"] if status == GOOD else [])
+    drop = ["status", "row_key"] + (["reject_reason"] if status == GOOD else [])
     return df.drop(*drop)
