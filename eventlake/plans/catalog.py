@@ -242,6 +242,17 @@ def sink_sorted(spark, sf_dir):
     return to_text(spark.read.parquet(path))
 
 
+def sorted_merge(spark, sf_dir):
+    """K1 with merges: the captured events in seven appends to a UUID-sorted table (a tier of three
+    runs is merged); the live runs read back."""
+    from eventlake.sinks.sorted_table import SortedTable
+    table = SortedTable(spark, scratch_path(spark, "sorted-table"), fanout=3)
+    captured = C.capture(_env(spark, sf_dir), STANDARD_SPECS)
+    for delivery in range(7):
+        table.append(captured.filter(X.source_id() % 7 == delivery))
+    return to_text(table.read())
+
+
 def sink_daily(spark, sf_dir):
     """K2: the whole envelope appended to UTC-day partitions and read back."""
     path = scratch_path(spark, "sink-daily")
@@ -573,6 +584,7 @@ QUERIES: dict[str, Query] = {
     "bytes_base64": bytes_base64,
     "parse_payload": parse_payload,
     "sink_sorted": sink_sorted,
+    "sorted_merge": sorted_merge,
     "sink_daily": sink_daily,
     "sink_ingest": sink_ingest,
     "ingest_twice": ingest_twice,

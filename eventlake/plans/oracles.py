@@ -197,6 +197,7 @@ BODIES: dict[str, str] = {
 }
 
 BODIES["capacity_daily_approx"] = BODIES["capacity_daily"]
+BODIES["sorted_merge"] = CAPTURE_TEXT
 BODIES["ingest_twice"] = BODIES["sink_ingest"]
 BODIES["stream_restart"] = TEXT_ENVELOPE
 BODIES["stream_keep_late"] = TEXT_ENVELOPE

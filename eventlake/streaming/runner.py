@@ -84,6 +84,15 @@ def plain_by_batch(batch: DataFrame, root: str, batch_id: int | str) -> None:
     batch.write.mode("overwrite").parquet(f"{root}/batch_id={batch_id}")
 
 
+def sorted_by_batch(table) -> BatchWriter:
+    """Good rows of each batch as a run of a :class:`~eventlake.sinks.sorted_table.SortedTable`, whose
+    merges follow; the batch number is committed with the run, so a replay stores nothing twice."""
+    def write(batch: DataFrame, root: str, batch_id: int | str) -> None:
+        query, _, number = str(batch_id).rpartition("-")
+        table.append(batch, batch=(query, int(number)))
+    return write
+
+
 def idempotent_batch(root: str, write: BatchWriter = daily_by_batch):
     """T5: a ``foreachBatch`` function whose writes are keyed by the batch id with
     overwrite, so a replay after a failure replaces, never duplicates."""
