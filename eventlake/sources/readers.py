@@ -80,6 +80,91 @@ def read_jdbc(spark: SparkSession, url: str, table: str, partition_column: str |
         parse_payload("Actions").alias("Actions"), parse_payload("Fields").alias("Fields"))
 
 
+def _sql_literal(v) -> str:
+    """A bound as SQL text; dates and timestamps as JDBC escapes, which every driver knows."""
+    import datetime as dt
+    if isinstance(v, dt.datetime):
+        return f"{{ts '{v:%Y-%m-%d %H:%M:%S.%f}'}}"
+    if isinstance(v, dt.date):
+        return f"{{d '{v:%Y-%m-%d}'}}"
+    return repr(v)
+
+
+# Quantiles taken for each partition wanted: a partition is off by one part in so many.
+QUANTILES_EACH = 4
+
+
+def balanced_predicates(values: DataFrame, column: str, num_partitions: int, tie: str | None = None) -> list[str]:
+    """WHERE clauses that cut a table into about ``num_partitions`` parts of like size, each row in one.
+
+    ``values`` has the table's ``column`` (a number, date or timestamp without zone), whole or a
+    sample.  Bounds are its quantiles, from one mergeable aggregate.  A value (or the NULLs) that
+    alone outweighs a part is dealt out by the remainder of ``tie``, a whole-number column; without
+    one it stays in one part."""
+    if num_partitions < 1:
+        raise ValueError("at least one partition")
+    grid = QUANTILES_EACH * num_partitions
+    at = [k / grid for k in range(1, grid)]
+    found = values.agg(F.percentile_approx(column, at, 100 * grid).alias("q") if len(at) else F.lit(None).alias("q"),
+                       F.count(F.lit(1)).alias("n"), F.count(column).alias("m")).first()
+    name = f'"{column}"'
+    bounds = list(found["q"]) if found["m"] and at else []
+    nulls = round(grid * (found["n"] - found["m"]) / found["n"]) if found["n"] else 0
+
+    def parts(clause: str, weight: int) -> list[str]:
+        """``clause`` in as many parts as its weight, in quantiles, calls for."""
+        k = -(-weight // QUANTILES_EACH) if tie else 1
+        return [clause] if k < 2 else [f'({clause}) AND ABS(MOD(COALESCE("{tie}", 0), {k})) = {i}' for i in range(k)]
+
+    alone = parts(f"{name} IS NULL", nulls) if nulls > QUANTILES_EACH else []
+    ranges, low, begins, gathered = [], None, ">=", 0
+    for value in dict.fromkeys(bounds):
+        n = bounds.count(value)
+        gathered += n
+        if n > QUANTILES_EACH:
+            ranges.append((low, begins, value))
+            alone += parts(f"{name} = {_sql_literal(value)}", n)
+            low, begins, gathered = value, ">", 0
+        elif gathered >= QUANTILES_EACH:
+            ranges.append((low, begins, value))
+            low, begins, gathered = value, ">=", 0
+    clauses = []
+    for low, begins, high in [*ranges, (low, begins, None)]:
+        ends = [f"{name} {begins} {_sql_literal(low)}"] * (low is not None) + [f"{name} < {_sql_literal(high)}"] * (high is not None)
+        clauses.append(" AND ".join(ends) or f"{name} IS NOT NULL")
+    if nulls <= QUANTILES_EACH:
+        clauses[0] = f"({clauses[0]}) OR {name} IS NULL"
+    return clauses + alone
+
+
+def read_jdbc_balanced(spark: SparkSession, url: str, table: str, column: str, num_partitions: int,
+                       tie: str | None = None, fraction: float | None = None, fetch_size: int = 10_000,
+                       properties: Mapping[str, str] | None = None) -> DataFrame:
+    """S3 by equi-depth ranges: like :func:`read_jdbc`, but the ranges hold like numbers of rows however
+    skewed ``column`` is.  Its values are read alone first, in equally wide ranges (``fraction``: a
+    sample of them)."""
+    props = {**dict(properties or {}), "fetchsize": str(fetch_size)}
+
+    def asked(sql: str):
+        # timestamps as the wall clock that the database compares with
+        return (spark.read.format("jdbc").option("url", url).option("preferTimestampNTZ", "true").options(**props)
+                .option("dbtable", f"({sql}) asked"))
+
+    ends = asked(f'SELECT MIN("{column}") AS lo, MAX("{column}") AS hi FROM {table}').load().first()
+    narrow = asked(f'SELECT "{column}" FROM {table}')
+    if ends[0] is not None and ends[0] != ends[1]:
+        narrow = (narrow.option("partitionColumn", column).option("lowerBound", str(ends[0]))
+                  .option("upperBound", str(ends[1])).option("numPartitions", str(num_partitions)))
+    values = narrow.load()
+    if fraction is not None:
+        values = values.sample(fraction=fraction, seed=1)
+    raw = spark.read.jdbc(url, table, predicates=balanced_predicates(values, column, num_partitions, tie), properties=props)
+    return raw.select(
+        "UUID", "Name", F.col("Timestamp").cast("timestamp").alias("Timestamp"),
+        "XEventStartOffsetInBytes", "XEventEndOffsetInBytes", "XEventSizeInBytes",
+        parse_payload("Actions").alias("Actions"), parse_payload("Fields").alias("Fields"))
+
+
 def read_ordered(spark: SparkSession, path: str, key: str = "UUID") -> DataFrame:
     """A stored table in key order (range-partitioned global sort).
 

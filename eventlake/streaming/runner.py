@@ -93,6 +93,15 @@ def sorted_by_batch(table) -> BatchWriter:
     return write
 
 
+def jdbc_by_batch(sink) -> BatchWriter:
+    """Good rows of each batch into a relational table, once, with its ledger in the same transaction
+    (:class:`~eventlake.sinks.jdbc_ledger.JdbcLedgerSink`)."""
+    def write(batch: DataFrame, root: str, batch_id: int | str) -> None:
+        query, _, number = str(batch_id).rpartition("-")
+        sink.store(batch, query, int(number))
+    return write
+
+
 def idempotent_batch(root: str, write: BatchWriter = daily_by_batch):
     """T5: a ``foreachBatch`` function whose writes are keyed by the batch id with
     overwrite, so a replay after a failure replaces, never duplicates."""
