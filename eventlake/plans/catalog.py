@@ -438,6 +438,30 @@ def stream_dedup(spark, sf_dir):
     return back.select("UUID", _us().alias("Timestamp_us"), F.to_json("Fields").alias("Fields"))
 
 
+def stream_state_dedup(spark, sf_dir):
+    """T6 in keyed state: the envelope lands in files that are in no order of time, a tenth of it twice; each
+    first arrival is stored, and no batch reads the target."""
+    env = X.env_dup(_events(spark, sf_dir))
+    landing, good, dead, ckpt = (scratch_path(spark, n) for n in ("landing", "good", "dead", "ckpt"))
+    env.repartition(6).write.parquet(landing)
+    src = S.read_event_stream(spark, landing, options=T.rate_options(max_files=2))
+    from eventlake.streaming import state
+    T.drain(state.run_state_dedup(src, None, good, dead, ckpt, horizon="60 days", buckets=1,
+                                  state_partitions=_slots(spark)))
+    return spark.read.parquet(good).select("UUID", _us().alias("Timestamp_us"), F.to_json("Fields").alias("Fields"))
+
+
+def alert_transitions(spark, sf_dir):
+    """A3, alerts that fire once: where each kind's slow events an hour cross the threshold and where they
+    recover, judged when the watermark passes an hour's end."""
+    from eventlake.streaming import state
+    changes = state.alert_transitions(X.envelope_from_events(_event_stream(spark, sf_dir)), min_slow=3)
+    root, ckpt = scratch_path(spark, "alert-changes"), scratch_path(spark, "ckpt")
+    T.drain(state.run_alerts(changes, root, ckpt, state_partitions=_slots(spark)))
+    return spark.read.schema(changes.schema).parquet(root).select(
+        "Name", (F.col("window_ms") * 1000).alias("window_start_us"), "state", "n_slow")
+
+
 def _stream_agg(spark, sf_dir, build, keys, label):
     """Streaming A2/A3/A8: an update-mode aggregate drained with availableNow, then the
     latest version of every group read back (equals the batch result, in whatever order the
@@ -600,6 +624,8 @@ QUERIES: dict[str, Query] = {
     "stream_dedup": stream_dedup,
     "stream_restart": stream_restart,
     "stream_keep_late": stream_keep_late,
+    "stream_state_dedup": stream_state_dedup,
+    "alert_transitions": alert_transitions,
     "hourly_stats_stream": hourly_stats_stream,
     "alert_windows_stream": alert_windows_stream,
     "failure_bursts_stream": failure_bursts_stream,

@@ -197,6 +197,20 @@ BODIES: dict[str, str] = {
 }
 
 BODIES["capacity_daily_approx"] = BODIES["capacity_daily"]
+BODIES["stream_state_dedup"] = DEDUP
+# windows are judged once the watermark, 30 seconds behind the newest event in milliseconds, passes their end
+BODIES["alert_transitions"] = """
+        w AS (SELECT Name, epoch_us(date_trunc('hour', ts)) AS h, count(*) FILTER (WHERE duration >= 5000000) AS n
+              FROM env GROUP BY Name, date_trunc('hour', ts)),
+        mark AS (SELECT max(ts_us) // 1000 * 1000 - 30000000 AS wm FROM env),
+        high AS (SELECT Name, h, n, lag(h) OVER k AS prev, lead(h) OVER k AS next FROM w, mark
+                 WHERE n >= 3 AND h + 3600000000 <= wm WINDOW k AS (PARTITION BY Name ORDER BY h))
+        SELECT Name, h AS window_start_us, 'raised' AS state, n AS n_slow FROM high
+        WHERE prev IS NULL OR h - prev > 3600000000
+        UNION ALL
+        SELECT high.Name, high.h + 3600000000, 'cleared', coalesce(w.n, 0) FROM high
+        JOIN mark ON high.h + 7200000000 <= wm LEFT JOIN w ON w.Name = high.Name AND w.h = high.h + 3600000000
+        WHERE next IS NULL OR next - high.h > 3600000000"""
 BODIES["sorted_merge"] = CAPTURE_TEXT
 BODIES["ingest_twice"] = BODIES["sink_ingest"]
 BODIES["stream_restart"] = TEXT_ENVELOPE
@@ -208,7 +222,7 @@ BODIES["alert_windows_stream"] = BODIES["alert_windows"]
 BODIES["failure_bursts_stream"] = BODIES["failure_bursts"]
 
 # bodies that add CTEs of their own continue the WITH list
-_CONTINUES = {"query_hash_regression", "capacity_daily", "capacity_daily_approx"}
+_CONTINUES = {"alert_transitions", "query_hash_regression", "capacity_daily", "capacity_daily_approx"}
 
 
 def oracle_sql() -> dict[str, str]:
