@@ -515,6 +515,18 @@ def count_events(spark, sf_dir):
     return V.count_gate(captured, expected)
 
 
+def reconcile_missing(spark, sf_dir):
+    """V3 that names the rows: a sink that lost some events, holds some that the source never sent and some
+    twice is compared with the source through lookup tables per kind and hour."""
+    from eventlake.operators.reconcile import reconcile
+    source = _env(spark, sf_dir)
+    eid = X.source_id()
+    sink = source.filter(eid % 97 != 5)
+    strange = source.filter(eid % 211 == 7).withColumn("UUID", E.uuid_text(F.md5(F.concat(F.lit("x"), "UUID"))))
+    found = reconcile(source, sink.unionByName(strange).unionByName(sink.filter(eid % 307 == 9)))
+    return found.select("Name", "UUID", _us().alias("Timestamp_us"), "side", "copies")
+
+
 def all_match_regex(spark, sf_dir):
     """V4: every statement text matches the pattern."""
     env = _env(spark, sf_dir)
@@ -587,6 +599,19 @@ def capacity_daily_approx(spark, sf_dir):
     return out.withColumn("day", _day_text("day"))
 
 
+def capacity_rollup(spark, sf_dir):
+    """A9 by stored sketches: each day's are stored, merged to the whole span per database, and their percentiles
+    held against their exact ranks: within the stated error or not."""
+    from eventlake.operators import sketches as Q
+    env = _env(spark, sf_dir)
+    path = scratch_path(spark, "capacity-sketches")
+    Q.capacity_sketches(env).write.partitionBy("day").parquet(path)
+    merged = Q.with_percentiles(Q.rollup(spark.read.parquet(path), ["database_name"]))
+    checked = Q.rank_errors(env, merged, ["database_name"])
+    return checked.select("database_name", "n_events", "sum_duration", "total_bytes",
+                          *[(F.col(f"{p}_error") <= Q.rank_error()).alias(f"{p}_within") for p in ("p50", "p95", "p99")])
+
+
 QUERIES: dict[str, Query] = {
     "envelope_project": envelope_project,
     "field_get": field_get,
@@ -632,6 +657,7 @@ QUERIES: dict[str, Query] = {
     "distinct_events": distinct_events,
     "event_hash": event_hash,
     "count_events": count_events,
+    "reconcile_missing": reconcile_missing,
     "all_match_regex": all_match_regex,
     "slow_queries": slow_queries,
     "hourly_stats": hourly_stats,
@@ -643,4 +669,5 @@ QUERIES: dict[str, Query] = {
     "failure_bursts": failure_bursts,
     "capacity_daily": capacity_daily,
     "capacity_daily_approx": capacity_daily_approx,
+    "capacity_rollup": capacity_rollup,
 }

