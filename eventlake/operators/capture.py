@@ -24,6 +24,22 @@ _QUALIFIED = re.compile(r"\[([A-Za-z_][A-Za-z0-9_]*)\]\.\[([A-Za-z_][A-Za-z0-9_]
 _UNICODE_PREFIX = re.compile(r"(?<![A-Za-z0-9_])N$")
 _QUOTED = re.compile(r"('(?:[^'\\]|''|\\.)*')")
 _ATTR_PREFIX = "collect_"
+# a field beside a comparison or an arithmetic sign, and the literal on its other side
+_FIELD = r"\[(?:[A-Za-z_]\w*\]\.\[)?([A-Za-z_]\w*)\]"
+_NUMBER = r"[-+]?(?:\d+\.?\d*|\.\d+)(?:[eE][-+]?\d+)?"
+_COMPARED = r"\s*(?:[<>]=?|=|==|<=>|<>|!=|(?:NOT\s+)?IN\s*\(|(?:NOT\s+)?BETWEEN\b)\s*"
+_NUMERIC = (re.compile(_FIELD + _COMPARED + _NUMBER + r"(?![\w'])", re.IGNORECASE),
+            re.compile(r"(?<![\w'.])" + _NUMBER + r"\s*(?:[<>]=?|=|==|<=>|<>|!=)\s*" + _FIELD, re.IGNORECASE),
+            re.compile(_FIELD + r"\s*[-+*/%]"), re.compile(r"[-+*/%]\s*" + _FIELD))
+#: Type of a field that is compared with a number and has no declared type: whole numbers of 64 bits and
+#: fractions compare exactly, and text that is no number is NULL, so it never matches and never fails.
+NUMBER_TYPE = "decimal(38,9)"
+
+
+def inferred_types(predicate: str) -> dict[str, str]:
+    """Types of the fields that ``predicate`` compares or reckons with numbers, outside its string literals."""
+    plain = "".join(p if i % 2 == 0 else " '' " for i, p in enumerate(_QUOTED.split(predicate)))
+    return {name: NUMBER_TYPE for pattern in _NUMERIC for name in pattern.findall(plain)}
 
 
 @dataclass(frozen=True)
@@ -39,13 +55,15 @@ class CaptureSpec:
 
     def predicate_column(self) -> Column | None:
         """``[x]`` reads payload field x, ``[package].[x]`` reads context column x
-        (typed by ``field_types``, default string); ``N'...'`` literals are plain
-        literals; blank means no filter.  Substitution happens outside string literals."""
+        (typed by ``field_types``, else by a number that it is compared with, else a string);
+        ``N'...'`` literals are plain literals; blank means no filter.  Substitution happens outside
+        string literals."""
         if self.predicate is None or not self.predicate.strip():
             return None
+        types = {**inferred_types(self.predicate), **self.field_types}
 
         def typed(payload: str, key: str) -> str:
-            return field_sql(payload, key, self.field_types.get(key, "string"))
+            return field_sql(payload, key, types.get(key, "string"))
 
         def outside(part: str, followed_by_literal: bool) -> str:
             part = _QUALIFIED.sub(lambda m: typed("Actions", m.group(2)), part)

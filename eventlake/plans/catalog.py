@@ -103,6 +103,20 @@ def filter_predicate(spark, sf_dir):
         "UUID", "Name", field("Fields", "duration", "bigint").alias("duration"))
 
 
+def filter_predicate_dirty(spark, sf_dir):
+    """C2 without declared types over payloads in which some durations are text, some fractions and some not
+    there: the numbers that fields are compared with give the types, and what is no number does not match."""
+    env = _env(spark, sf_dir)
+    eid = X.source_id()
+    text = (F.when(eid % 89 == 0, F.lit('{"duration": "n/a"}'))
+            .when(eid % 83 == 0, F.concat(F.lit('{"duration": "'), field("Fields", "duration"), F.lit('"}')))
+            .when(eid % 79 == 0, F.lit('{"duration": 5000000.5}'))
+            .when(eid % 73 == 0, F.lit("{}")).otherwise(F.to_json("Fields")))
+    spec = C.CaptureSpec(name="any", predicate="5000000 < [duration] AND [sqlserver].[query_hash] IN (1, 2, 3)")
+    return C.where(env.withColumn("Fields", F.parse_json(text)), spec).select(
+        "UUID", "Name", field("Fields", "duration").alias("duration"))
+
+
 def project_actions(spark, sf_dir):
     """C3."""
     return C.keep_actions(_env(spark, sf_dir), ["query_hash", "username"]).select(
@@ -297,6 +311,24 @@ def ingest_twice(spark, sf_dir):
     return _ingested(spark, root)
 
 
+def dead_letter_replay(spark, sf_dir):
+    """T7, dead letters come back: the dirty envelope is ingested, its dead letters are repaired (an id from the
+    row's offset, a name cut to its limit) and replayed, twice; each is stored once, with its lineage."""
+    from eventlake.sinks import ingest as I
+    root = scratch_path(spark, "replay")
+    I.ingest(X.env_dirty(_events(spark, sf_dir)), None, root)
+
+    def repair(dead):
+        own = F.regexp_replace(F.md5(X.source_id().cast("string")), E.UUID_GROUPS, "$1-$2-$3-$4-$5")
+        return (dead.withColumn("UUID", F.coalesce("UUID", own))
+                .withColumn("Name", F.substring("Name", 1, K.NAME_MAX_CHARS)))
+
+    I.replay_dead(spark, root, repair)
+    I.replay_dead(spark, root, repair)
+    return I.with_lineage(spark, root).select("UUID", "Name", _us().alias("Timestamp_us"),
+                                              F.col("lineage").isNotNull().alias("repaired"))
+
+
 def sink_table(spark, sf_dir):
     """K4: the target table created if absent (twice: the second call is a no-op), the
     envelope inserted, and the catalog table read back."""
@@ -617,6 +649,7 @@ QUERIES: dict[str, Query] = {
     "field_get": field_get,
     "filter_name": filter_name,
     "filter_predicate": filter_predicate,
+    "filter_predicate_dirty": filter_predicate_dirty,
     "project_actions": project_actions,
     "project_optional_fields": project_optional_fields,
     "capture_session": capture_session,
@@ -637,6 +670,7 @@ QUERIES: dict[str, Query] = {
     "sink_daily": sink_daily,
     "sink_ingest": sink_ingest,
     "ingest_twice": ingest_twice,
+    "dead_letter_replay": dead_letter_replay,
     "sink_table": sink_table,
     "sink_options": sink_options,
     "kafka_payload": kafka_payload,

@@ -222,6 +222,13 @@ BODIES["reconcile_missing"] = r"""
         FROM env WHERE event_id % 211 = 7
         UNION ALL
         SELECT Name, UUID, ts_us, 'extra', 1 FROM env WHERE event_id % 307 = 9 AND event_id % 97 <> 5"""
+BODIES["filter_predicate_dirty"] = (
+    "SELECT UUID, Name, CASE WHEN event_id % 83 <> 0 AND event_id % 79 = 0 THEN '5000000.5' ELSE CAST(duration AS VARCHAR) END "
+    "AS duration FROM env WHERE query_hash IN (1, 2, 3) AND event_id % 89 <> 0 AND CASE WHEN event_id % 83 = 0 THEN duration > 5000000 "
+    "WHEN event_id % 79 = 0 THEN true WHEN event_id % 73 = 0 THEN false ELSE duration > 5000000 END")
+BODIES["dead_letter_replay"] = (
+    "SELECT UUID, CASE WHEN event_id % 97 <> 0 AND event_id % 101 = 0 THEN repeat('x', 255) ELSE Name END AS Name, "
+    "ts_us AS Timestamp_us, event_id % 97 = 0 OR event_id % 101 = 0 AS repaired FROM env")
 BODIES["sorted_merge"] = CAPTURE_TEXT
 BODIES["ingest_twice"] = BODIES["sink_ingest"]
 BODIES["stream_restart"] = TEXT_ENVELOPE

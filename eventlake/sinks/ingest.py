@@ -8,7 +8,8 @@ keys, in a first delivery nearly all, are then written without being shuffled fo
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import uuid
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,15 +21,18 @@ from eventlake.sinks.keyindex import KEY, KeyIndex, key_columns
 from eventlake.sinks.writers import dedup_key, reject_reason, writer_options
 
 GOOD, DEAD = "good", "dead"
+REPLAYED = "_replayed"              # the ledger of settled dead letters, likewise
 INDEX = "_keys"                     # under the table's root; readers skip names with an underscore
 
 
 def labelled(captured: DataFrame) -> DataFrame:
-    """Rows with ``reject_reason`` and ``row_key``: NULL for a good row, whose key is its UUID, else a
-    hash of the whole row, corrupt text included, so that a dead row only meets its exact copy."""
+    """Rows with ``reject_reason``, ``row_key`` (NULL for a good row, whose key is its UUID, else a hash of
+    the whole row, corrupt text included, so that a dead row only meets its exact copy) and ``lineage``
+    (NULL; for a repaired row, the key of the dead one)."""
     text = F.to_json(F.struct(*[F.col(c) for c in captured.columns]))
     out = captured.withColumn("reject_reason", reject_reason(tuple(captured.columns)))
-    return out.withColumn("row_key", F.when(F.col("reject_reason").isNotNull(), F.concat(F.lit("dead:"), F.sha2(text, 256))))
+    out = out.withColumn("row_key", F.when(F.col("reject_reason").isNotNull(), F.concat(F.lit("dead:"), F.sha2(text, 256))))
+    return out.withColumn("lineage", F.lit(None).cast("string"))
 
 
 def with_key(rows: DataFrame) -> DataFrame:
@@ -93,5 +97,45 @@ def append(rows: DataFrame, root: str, compression: str | None = None, batch_siz
 def read_status(spark: SparkSession, root: str, status: str = GOOD) -> DataFrame:
     """Rows of one status (partition-pruned), without the bookkeeping columns."""
     df = spark.read.parquet(root).filter(F.col("status") == status)
-    drop = ["status", "row_key"] + (["reject_reason"] if status == GOOD else [])
+    drop = ["status", "row_key", "lineage"] + (["reject_reason"] if status == GOOD else [])
     return df.drop(*drop)
+
+
+# --- T7: dead letters come back -----------------------------------------------------------------------
+
+def pending_dead(spark: SparkSession, root: str) -> DataFrame:
+    """Dead letters that no replay has settled, with their ``row_key`` and ``reject_reason``."""
+    dead = spark.read.parquet(root).where(F.col("status") == DEAD).drop("status", "event_date", "lineage")
+    ledger = f"{root.rstrip('/')}/{REPLAYED}"
+    if not folders.exists(spark, ledger):
+        return dead
+    settled = spark.read.schema("row_key string, run string").parquet(ledger).select("row_key")
+    return dead.join(settled, "row_key", "left_anti")
+
+
+def replay_dead(spark: SparkSession, root: str, repair: Callable[[DataFrame], DataFrame], run: str | None = None) -> dict[str, int]:
+    """Repair the pending dead letters under ``root`` and ingest those that are whole now.
+
+    ``repair`` maps dead rows to rows of the same columns (it keeps ``row_key``; rows that it leaves out stay
+    pending).  A repaired row that breaks no constraint enters the table like a delivery, with the dead row's
+    key as its ``lineage``, unless its own key is stored already; either way the ledger settles it under
+    ``run``.  Rows that are still broken stay pending.  The ledger is written after the rows: a replay that was
+    lost in between is made again and stores nothing twice.  Returns the numbers of rows."""
+    before = pending_dead(spark, root)
+    fixed = repair(before)
+    columns = [c for c in before.columns if c not in ("reject_reason", "row_key")]
+    again = labelled(fixed.select(*columns, F.col("row_key").alias("dead_key"))).withColumn("lineage", F.col("dead_key"))
+    again = again.drop("dead_key")
+    # repaired once: the repair may be costly, and rows and ledger must agree on it
+    whole = cut_lineage(again.where("reject_reason is null"), "replay")
+    n = whole.select("lineage").distinct().count()
+    if n:
+        append(whole, root)
+        (whole.select(F.col("lineage").alias("row_key"), F.lit(run or uuid.uuid4().hex).alias("run")).distinct()
+         .write.mode("append").parquet(f"{root.rstrip('/')}/{REPLAYED}"))
+    return {"settled": n, "pending": pending_dead(spark, root).count()}
+
+
+def with_lineage(spark: SparkSession, root: str) -> DataFrame:
+    """Good rows with the key of the dead letter they came from (NULL: delivered whole)."""
+    return spark.read.parquet(root).where(F.col("status") == GOOD).drop("status", "row_key", "reject_reason")

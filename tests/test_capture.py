@@ -178,3 +178,25 @@ def test_keep_keys_reads_only_the_kept_leaves(spark, tmp_dir):
     out = spark.read.parquet(f"{tmp_dir}/t").select(C.keep_keys(F.col("Actions"), ["query_hash", "username"]))
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<Actions:struct<0:variant,1:variant>>" in plan
+
+
+def test_fields_take_the_type_of_the_number_they_meet(spark):
+    from eventlake.operators.capture import NUMBER_TYPE, inferred_types
+
+    assert inferred_types("[a] >= 5 AND 1.5<[b] or [p].[c] IN (1, 2) AND [d] BETWEEN 1 and 2 AND [e] + 1 > [f] AND -3 <> [g]") == \
+        {k: NUMBER_TYPE for k in "abcdefg"}
+    assert inferred_types("[a] = 'x > 5' AND [b] LIKE N'1%' AND [c] IN ('1') AND [d] = [e] AND f(5) = 1") == {}
+
+
+def test_predicates_without_declared_types_survive_dirty_fields(spark):
+    values = ['5000001', '5000000.5', '"5000002"', '"n/a"', 'null', '""', '[1]', '{}', 'true', '9223372036854775807', '-1', '1e6', '5e6']
+    rows = [(uuid_of(i), "k", "2024-01-01T00:00:00+00:00", i, i, 1, '{"h":1}', f'{{"duration":{v}}}') for i, v in enumerate(values)]
+    rows.append((uuid_of(99), "k", "2024-01-01T00:00:00+00:00", 99, 1, 1, "{}", "{}"))
+    env = env_rows(spark, rows)
+    for predicate in ("[duration] > 5000000", "5000000 < [duration]", "[duration] - 1 >= 5000000 OR [duration] > 5000000"):
+        spec = C.CaptureSpec(name="k", predicate=predicate)
+        got = sorted(r["XEventStartOffsetInBytes"] for r in C.where(env, spec).collect())
+        assert got == [0, 1, 2, 9], predicate
+    assert C.capture(env, [C.CaptureSpec(name="k", predicate="[duration] = 5000000 AND [x].[h] = 1")]).count() == 1
+    # what is declared stays as declared
+    assert C.where(env, C.CaptureSpec(name="k", predicate="[duration] > 5000000", field_types={"duration": "bigint"})).count() == 3
