@@ -311,6 +311,34 @@ def ingest_twice(spark, sf_dir):
     return _ingested(spark, root)
 
 
+def _landed(spark, sf_dir):
+    """The text lines with all seven faults, landed."""
+    path = scratch_path(spark, "lines")
+    X.landing_lines(_events(spark, sf_dir)).write.text(path)
+    return path
+
+
+def ingest_captured_dirty(spark, sf_dir):
+    """C5 and K7 on dirty input: landed lines with all seven faults are captured and ingested; broken rows of a
+    declared kind, or of none, are dead letters with their reason, whatever the predicate."""
+    from eventlake.sinks.ingest import ingest
+    root = scratch_path(spark, "ingest")
+    specs = [*STANDARD_SPECS, C.CaptureSpec(name="x" * 256)]
+    ingest(S.read_event_lines(spark, _landed(spark, sf_dir)), specs, root)
+    return _ingested(spark, root)
+
+
+def stream_dead_letter(spark, sf_dir):
+    """T7 on a stream: landed lines with all seven faults; good rows to the sink, the others to the dead letter
+    with their reason."""
+    good, dead, ckpt = (scratch_path(spark, n) for n in ("good", "dead", "ckpt"))
+    src = S.read_event_stream(spark, _landed(spark, sf_dir), fmt="json")
+    T.drain(T.run(src, None, good, dead, ckpt, state_partitions=_slots(spark)))
+    columns = ["UUID", "Name", _us().alias("Timestamp_us")]
+    return (spark.read.parquet(good).select(*columns, F.lit(None).cast("string").alias("reject_reason"))
+            .unionByName(spark.read.parquet(dead).select(*columns, "reject_reason")))
+
+
 def dead_letter_replay(spark, sf_dir):
     """T7, dead letters come back: the dirty envelope is ingested, its dead letters are repaired (an id from the
     row's offset, a name cut to its limit) and replayed, twice; each is stored once, with its lineage."""
@@ -514,6 +542,20 @@ def hourly_stats_stream(spark, sf_dir):
     return _stream_agg(spark, sf_dir, A.windowed_stats, ["Name"], "hourly-stream")
 
 
+def aggregate_two_checkpoints(spark, sf_dir):
+    """T5 for aggregate logs: two streams with checkpoints of their own, over one half of the events each, write
+    their windows to one log; both are in it, and their newest versions are merged."""
+    root = scratch_path(spark, "two-checkpoints")
+    for half in (0, 1):
+        src = _event_stream(spark, sf_dir)
+        agg = A.windowed_stats(X.envelope_from_events(src.filter(F.col("event_id") % 2 == half)))
+        flat = agg.select(F.col("window.start").alias("window_start"), "Name", "n_events", "sum_duration", "max_duration")
+        T.drain(T.run_aggregate(flat, root, scratch_path(spark, "ckpt"), state_partitions=_slots(spark)))
+    out = T.latest_versions(spark, root, ["window_start", "Name"],
+                            across={"n_events": "sum", "sum_duration": "sum", "max_duration": "max"})
+    return out.select(F.unix_micros("window_start").alias("window_start_us"), *[c for c in out.columns if c != "window_start"])
+
+
 def alert_windows_stream(spark, sf_dir):
     """A3 on a stream."""
     return _stream_agg(spark, sf_dir, lambda e: A.alerts(e, min_slow=3), ["Name"], "alerts-stream")
@@ -613,6 +655,14 @@ def audit_log(spark, sf_dir):
                       *A.AUDIT_COLUMNS)
 
 
+def audit_table(spark, sf_dir):
+    """A7 as a table: the audit log appended to its day partitions (K2), some days of it read back."""
+    path = scratch_path(spark, "audit")
+    K.write_daily(A.audit_log(_env(spark, sf_dir)), path)
+    back = spark.read.parquet(path).filter(F.col("event_date").between("2024-01-10", "2024-01-12"))
+    return back.select("UUID", "Name", _us().alias("Timestamp_us"), _day_text("event_date").alias("event_date"), *A.AUDIT_COLUMNS)
+
+
 def failure_bursts(spark, sf_dir):
     """A8."""
     return _window_us(A.failure_bursts(_env(spark, sf_dir), min_failures=3, every="1 day"))
@@ -670,6 +720,7 @@ QUERIES: dict[str, Query] = {
     "sink_daily": sink_daily,
     "sink_ingest": sink_ingest,
     "ingest_twice": ingest_twice,
+    "ingest_captured_dirty": ingest_captured_dirty,
     "dead_letter_replay": dead_letter_replay,
     "sink_table": sink_table,
     "sink_options": sink_options,
@@ -681,12 +732,14 @@ QUERIES: dict[str, Query] = {
     "ordered_by_uuid": ordered_by_uuid,
     "stream_ingest": stream_ingest,
     "stream_dedup": stream_dedup,
+    "stream_dead_letter": stream_dead_letter,
     "stream_restart": stream_restart,
     "stream_keep_late": stream_keep_late,
     "stream_state_dedup": stream_state_dedup,
     "alert_transitions": alert_transitions,
     "hourly_stats_stream": hourly_stats_stream,
     "alert_windows_stream": alert_windows_stream,
+    "aggregate_two_checkpoints": aggregate_two_checkpoints,
     "failure_bursts_stream": failure_bursts_stream,
     "distinct_events": distinct_events,
     "event_hash": event_hash,
@@ -700,6 +753,7 @@ QUERIES: dict[str, Query] = {
     "query_hash_regression": query_hash_regression,
     "workload_by_hour": workload_by_hour,
     "audit_log": audit_log,
+    "audit_table": audit_table,
     "failure_bursts": failure_bursts,
     "capacity_daily": capacity_daily,
     "capacity_daily_approx": capacity_daily_approx,

@@ -229,6 +229,25 @@ BODIES["filter_predicate_dirty"] = (
 BODIES["dead_letter_replay"] = (
     "SELECT UUID, CASE WHEN event_id % 97 <> 0 AND event_id % 101 = 0 THEN repeat('x', 255) ELSE Name END AS Name, "
     "ts_us AS Timestamp_us, event_id % 97 = 0 OR event_id % 101 = 0 AS repaired FROM env")
+# the seven faults of the landed lines, by the first that the constraints name
+FAULTS = """
+        faulty AS (SELECT *, CASE WHEN event_id % 67 = 0 THEN 'corrupt record' WHEN event_id % 97 = 0 THEN 'UUID is null'
+                 WHEN event_id % 83 = 0 THEN 'Name longer than 255' WHEN event_id % 89 = 0 THEN 'Name is null'
+                 WHEN event_id % 79 = 0 THEN 'Timestamp is null or malformed' WHEN event_id % 73 = 0 THEN 'Actions malformed'
+                 WHEN event_id % 71 = 0 THEN 'Fields malformed' END AS reject_reason FROM env),
+        lines AS (SELECT CASE WHEN event_id % 67 = 0 OR event_id % 97 = 0 THEN NULL ELSE UUID END AS UUID,
+                 CASE WHEN event_id % 67 = 0 THEN NULL WHEN event_id % 83 = 0 THEN repeat('x', 256)
+                      WHEN event_id % 89 = 0 THEN NULL ELSE Name END AS Name,
+                 CASE WHEN event_id % 67 <> 0 AND event_id % 79 <> 0 THEN ts_us END AS Timestamp_us, reject_reason, duration FROM faulty)
+"""
+BODIES["stream_dead_letter"] = FAULTS + "        SELECT UUID, Name, Timestamp_us, reject_reason FROM lines"
+BODIES["ingest_captured_dirty"] = FAULTS + """
+        SELECT UUID, Name, Timestamp_us, reject_reason FROM lines
+        WHERE reject_reason = 'corrupt record'
+           OR reject_reason IS NOT NULL AND (Name IS NULL OR Name IN ('error', 'click') OR length(Name) = 256)
+           OR reject_reason IS NULL AND Name IN ('error', 'click') AND duration >= 5000000"""
+BODIES["aggregate_two_checkpoints"] = BODIES["hourly_stats"]
+BODIES["audit_table"] = BODIES["audit_log"] + " AND CAST(ts AS DATE) BETWEEN DATE '2024-01-10' AND DATE '2024-01-12'"
 BODIES["sorted_merge"] = CAPTURE_TEXT
 BODIES["ingest_twice"] = BODIES["sink_ingest"]
 BODIES["stream_restart"] = TEXT_ENVELOPE
@@ -240,7 +259,7 @@ BODIES["alert_windows_stream"] = BODIES["alert_windows"]
 BODIES["failure_bursts_stream"] = BODIES["failure_bursts"]
 
 # bodies that add CTEs of their own continue the WITH list
-_CONTINUES = {"alert_transitions", "query_hash_regression", "capacity_daily", "capacity_daily_approx"}
+_CONTINUES = {"stream_dead_letter", "ingest_captured_dirty", "alert_transitions", "query_hash_regression", "capacity_daily", "capacity_daily_approx"}
 
 
 def oracle_sql() -> dict[str, str]:

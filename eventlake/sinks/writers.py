@@ -182,12 +182,14 @@ def with_event_date(df: DataFrame) -> DataFrame:
 
 
 def write_daily(df: DataFrame, path: str, compression: str | None = None,
-                batch_size: int | None = None) -> None:
+                batch_size: int | None = None, parallelism: int | None = None) -> None:
     """K2: append to UTC-day partitions (created on demand, so no event is ever outside
     an existing partition).  A ``rebalance`` exchange on the day keeps the number of files in
     proportion to the data; a day with a third of all rows is split over several tasks."""
-    # rebalanced by day: adaptive execution merges small days into few files and splits hot ones
-    (with_event_date(df).hint("rebalance", F.col("event_date")).write.mode("append").partitionBy("event_date")
+    # rebalanced by day: adaptive execution merges small days into few files and splits hot ones;
+    # ``parallelism`` bounds the tasks that it starts from
+    some = [] if parallelism is None else [parallelism]
+    (with_event_date(df).hint("rebalance", *some, F.col("event_date")).write.mode("append").partitionBy("event_date")
         .options(**writer_options(compression, batch_size)).parquet(path))
 
 
@@ -216,8 +218,13 @@ def kafka_payload(df: DataFrame, timestamp_pattern: str | None = None) -> DataFr
 
 def write_kafka(df: DataFrame, options: Mapping[str, str], streaming: bool = False,
                 checkpoint: str | None = None):
-    """K3: produce with Spark's Kafka connector (must be on the classpath)."""
-    payload = kafka_payload(df)
+    """K3: produce with Spark's Kafka connector (must be on the classpath).  Of :func:`sink_from_config`'s options,
+    ``timestampFormat`` is the payload's and ``parallelism`` the number of producers."""
+    options = dict(options)
+    payload = kafka_payload(df, options.pop("timestampFormat", None))
+    producers = options.pop("parallelism", None)
+    if producers is not None:
+        payload = payload.repartition(int(producers))
     if streaming:
         w = payload.writeStream.format("kafka").options(**options)
         if checkpoint:
@@ -268,8 +275,22 @@ def sink_from_config(sections: Mapping[str, Mapping | None]) -> tuple[str, dict[
                              linger_ms=section.get("LingerMs", KAFKA_DEFAULTS["linger_ms"]),
                              batch_size=section.get("BatchSize", KAFKA_DEFAULTS["batch_size"]),
                              timeout_ms=section.get("ProduceTimeout", KAFKA_DEFAULTS["timeout_ms"]))
-        return kind, opts
+        # options of write_kafka itself: the connector does not see them
+        if section.get("DateTimeFormatString"):
+            opts["timestampFormat"] = str(section["DateTimeFormatString"])
+        return kind, opts | _parallelism(section)
     opts = writer_options(section.get("Compression"), section.get("BatchSize"),
                           kind=kind)
     opts["table"] = str(section.get("Table", DEFAULT_TABLE))
-    return kind, opts
+    return kind, opts | _parallelism(section)
+
+
+def _parallelism(section: Mapping) -> dict[str, str]:
+    """Concurrent loads, where the section sets them: ``num_files`` of :func:`write_sorted`, ``parallelism`` of
+    :func:`write_daily`, :func:`write_jdbc` and :func:`write_kafka`."""
+    n = section.get("MaxDegreeOfParallelism")
+    if n is None:
+        return {}
+    if int(n) < 1:
+        raise ValueError(f"MaxDegreeOfParallelism must be positive, not {n}")
+    return {"parallelism": str(int(n))}

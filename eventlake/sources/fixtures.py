@@ -114,5 +114,23 @@ def env_text(events: DataFrame) -> DataFrame:
         payload_json("Actions").alias("Actions"), payload_json("Fields").alias("Fields"))
 
 
-__all__ = ["envelope", "envelope_from_events", "env_dup", "env_dirty",
+def landing_lines(events: DataFrame) -> DataFrame:
+    """Text lines (``value``) as a landing folder holds them: the text form as JSON objects, with one of the seven
+    faults in some: no JSON at all, no id, no name, a name too long, a time that is none, payloads cut off."""
+    txt = env_text(events)
+    eid = source_id()
+
+    def put(column: str, faults: dict[int, Column | None]) -> Column:
+        out = F.col(column)
+        for every, value in faults.items():
+            out = F.when(eid % every == 0, F.lit(None).cast("string") if value is None else value).otherwise(out)
+        return out.alias(column)
+
+    faulty = {"UUID": {97: None}, "Name": {89: None, 83: F.repeat(F.lit("x"), 256)}, "Timestamp": {79: F.lit("yesterday")},
+              "Actions": {73: F.lit("not json")}, "Fields": {71: F.lit('{"a":')}}
+    line = F.to_json(F.struct(*[put(c, faulty[c]) if c in faulty else F.col(c) for c in txt.columns]))
+    return txt.select(F.when(eid % 67 == 0, F.concat(F.lit("not json "), eid.cast("string"))).otherwise(line).alias("value"))
+
+
+__all__ = ["landing_lines", "envelope", "envelope_from_events", "env_dup", "env_dirty",
            "env_text", "read_table"]

@@ -40,6 +40,12 @@ def read_event_stream(spark: SparkSession, path: str, fmt: str = "parquet",
     raise ValueError(f"unsupported landing format {fmt!r}")
 
 
+def read_event_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Landed JSON lines in their text form as one batch, unparseable lines kept in ``_corrupt_record``."""
+    schema = T.StructType([*ENVELOPE_TEXT.fields, T.StructField(CORRUPT_COLUMN, T.StringType())])
+    return from_text(spark.read.schema(schema).option("columnNameOfCorruptRecord", CORRUPT_COLUMN).json(path))
+
+
 def decode_value(messages: DataFrame) -> DataFrame:
     """Kafka ``value`` bytes (UTF-8 JSON of the envelope) -> envelope, with the text of
     messages that do not parse in ``_corrupt_record`` (for the dead letter)."""

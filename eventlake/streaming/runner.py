@@ -9,7 +9,8 @@ constraint go to a dead-letter table instead of failing or vanishing (T7).
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+import time
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -254,14 +255,22 @@ def _batches(spark, root: str, day: str) -> list[str]:
     return sorted(s.getPath().getName() for s in own.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(own))
 
 
+def versions_by_batch(batch: DataFrame, root: str, number: int) -> None:
+    """The groups that a batch changed under ``root/query=Q/batch_id=N``: a replay replaces them, and another
+    query, or a new checkpoint, on the same log never touches them."""
+    query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or "none"
+    (batch.withColumn("written_ms", F.lit(int(time.time() * 1000)))
+        .write.mode("overwrite").parquet(f"{root}/query=q{query}/batch_id={number}"))
+
+
 def run_aggregate(agg: DataFrame, root: str, checkpoint: str, available_now: bool = True,
                   processing_time: str | None = None,
                   state_partitions: int | None = None) -> StreamingQuery:
     """Streaming aggregate in update mode: each micro-batch writes the groups it changed
-    to ``root/batch_id=N`` (replay-safe).  With a watermark on the input, state for
+    to ``root/query=Q/batch_id=N`` (replay-safe).  With a watermark on the input, state for
     closed windows is dropped, so state stays bounded on an endless stream."""
     w = (agg.writeStream.outputMode("update")
-         .foreachBatch(idempotent_batch(root, plain_by_batch))
+         .foreachBatch(lambda batch, number: versions_by_batch(batch, root, number))
          .option("checkpointLocation", checkpoint))
     if available_now:
         w = w.trigger(availableNow=True)
@@ -271,11 +280,19 @@ def run_aggregate(agg: DataFrame, root: str, checkpoint: str, available_now: boo
         return w.start()
 
 
-def latest_versions(spark, root: str, keys: Sequence[str]) -> DataFrame:
-    """Current value of every group in an update log written by :func:`run_aggregate`:
-    the version from the highest batch id (an aggregate, not a scan per key)."""
+def latest_versions(spark, root: str, keys: Sequence[str], across: Mapping[str, str] | None = None) -> DataFrame:
+    """Current value of every group in an update log written by :func:`run_aggregate`: of each query the
+    version of its highest batch number (an aggregate, not a scan per key).
+
+    Several queries on one log: by default the query that started last has a group (it began anew on the same
+    input).  ``across`` (value column -> ``sum``, ``max`` or ``min``) merges queries that read different inputs."""
     log = spark.read.parquet(root)
-    values = [c for c in log.columns if c not in (*keys, "batch_id")]
-    return (log.groupBy(*keys)
-            .agg(F.max_by(F.struct(*values), F.col("batch_id")).alias("_v"))
-            .select(*keys, "_v.*"))
+    values = [c for c in log.columns if c not in (*keys, "query", "batch_id", "written_ms")]
+    own = log.groupBy(*keys, "query").agg(F.max_by(F.struct(*values), F.col("batch_id")).alias("v"))
+    if across is not None:
+        if set(across) != set(values) or not set(across.values()) <= {"sum", "max", "min"}:
+            raise ValueError(f"each of {values} needs sum, max or min")
+        return own.groupBy(*keys).agg(*[getattr(F, across[c])(f"v.{c}").alias(c) for c in values])
+    started = log.groupBy("query").agg(F.min("written_ms").alias("started"))      # a row per query
+    newest = own.join(started, "query").groupBy(*keys).agg(F.max_by("v", F.struct("started", "query")).alias("v"))
+    return newest.select(*keys, "v.*")

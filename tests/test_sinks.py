@@ -282,3 +282,46 @@ def test_kafka_wrappers_need_the_connector(spark):
         K.write_kafka(_env(spark).limit(1), opts)
     with pytest.raises(Exception, match="(?i)data source.*kafka|kafka.*data source"):
         S.read_kafka(spark, "localhost:1", "events", streaming=False)
+
+
+def test_parallelism_and_time_format_reach_the_writers(spark, tmp_dir):
+    kind, opts = K.sink_from_config({"Kafka": {"BrokerAddress": "b:9092", "Topic": "t", "MaxDegreeOfParallelism": 7,
+                                               "DateTimeFormatString": "yyyy/MM/dd HH:mm"}})
+    assert (opts["parallelism"], opts["timestampFormat"]) == ("7", "yyyy/MM/dd HH:mm")
+    assert K.sink_from_config({"ClickHouse": {"MaxDegreeOfParallelism": "2"}})[1]["parallelism"] == "2"
+    with pytest.raises(ValueError):
+        K.sink_from_config({"Postgres": {"MaxDegreeOfParallelism": 0}})
+    env = env_rows(spark, [(uuid_of(i), "k", "2024-01-02T03:04:05+00:00", i, i, i, "{}", "{}") for i in range(20)])
+    seen = {}
+
+    class Writer:
+        def format(self, name):
+            return self
+
+        def options(self, **options):
+            seen["options"] = options
+            return self
+
+        def save(self):
+            seen["saved"] = True
+
+    class Frame:
+        """Stands for the payload frame: the connector is not on this machine."""
+
+        def __init__(self, df):
+            self.df, self.write = df, Writer()
+
+        def repartition(self, n):
+            seen["producers"] = n
+            return self
+
+    real = K.kafka_payload
+    K.kafka_payload = lambda df, pattern=None: Frame(seen.setdefault("payload", real(df, pattern)))
+    try:
+        K.write_kafka(env, opts)
+    finally:
+        K.kafka_payload = real
+    assert seen["producers"] == 7 and seen["saved"] and not {"parallelism", "timestampFormat"} & set(seen["options"])
+    assert '"Timestamp":"2024/01/02 03:04"' in seen["payload"].select(F.col("value").cast("string")).first()[0]
+    K.write_daily(env, f"{tmp_dir}/daily", parallelism=2)
+    assert spark.read.parquet(f"{tmp_dir}/daily").count() == 20
