@@ -217,9 +217,6 @@ def capture(df: DataFrame, specs: Sequence[CaptureSpec], keep_broken: bool = Fal
     return kept.select(*cols, actions.alias("Actions"), fields.alias("Fields"), *extra)
 
 
-# Keys of the documented event-definition configuration.
-CONFIG_KEYS = {"package": "Package", "name": "Name", "actions": "Actions",
-               "attributes": "CustomizableAttributes", "predicate": "PredicateExpression"}
 DEFAULT_FIELD_TYPES = {"duration": "bigint"}
 
 
@@ -234,15 +231,16 @@ def specs_from_config(events: Sequence[Mapping], field_types: Mapping[str, str]
     types = dict(DEFAULT_FIELD_TYPES if field_types is None else field_types)
     specs = []
     for e in events:
-        if CONFIG_KEYS["name"] not in e:
-            raise ValueError(f"event definition without {CONFIG_KEYS['name']}: {dict(e)}")
-        attrs = {str(a["Name"]): str(a["Value"]) for a in e.get(CONFIG_KEYS["attributes"]) or []}
+        # The keys of the documented event-definition configuration.
+        if "Name" not in e:
+            raise ValueError(f"event definition without Name: {dict(e)}")
+        attrs = {str(a["Name"]): str(a["Value"]) for a in e.get("CustomizableAttributes") or []}
         specs.append(CaptureSpec(
-            name=str(e[CONFIG_KEYS["name"]]),
-            package=str(e.get(CONFIG_KEYS["package"], "sqlserver")),
-            actions=tuple(str(a) for a in e.get(CONFIG_KEYS["actions"]) or ()),
+            name=str(e["Name"]),
+            package=str(e.get("Package", "sqlserver")),
+            actions=tuple(str(a) for a in e.get("Actions") or ()),
             attributes=attrs,
-            predicate=e.get(CONFIG_KEYS["predicate"]),
+            predicate=e.get("PredicateExpression"),
             field_types=types))
     _check(specs)
     return specs

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from eventlake.functions.encode import payload_json
+from eventlake.functions.encode import event_json, payload_json
 
 _SCALARS = ("UUID", "Name", "Timestamp", "XEventStartOffsetInBytes",
             "XEventEndOffsetInBytes", "XEventSizeInBytes")
@@ -36,6 +36,12 @@ def event_hash() -> Column:
     return F.md5(F.concat_ws("|", *parts))
 
 
+def event_digest() -> Column:
+    """V2 without look-alikes: md5 of the whole event as one JSON document (keys in order, payloads canonical), in
+    which NULL, text and separators inside text are told apart."""
+    return F.md5(event_json().cast("binary"))
+
+
 def count_gate(arrived: DataFrame, expected: DataFrame, key: str = "Name",
                exact: bool = True) -> DataFrame:
     """V3: per key, arrived rows against an expected-count table ``(key, expected)``.

@@ -399,6 +399,18 @@ def kafka_roundtrip(spark, sf_dir):
     return to_text(decoded)
 
 
+def kafka_dirty(spark, sf_dir):
+    """S2 on a topic that holds more than events: messages without JSON, of another shape, empty or cut off keep
+    their text and get a reason; the others decode."""
+    messages = K.kafka_payload(_env(spark, sf_dir))
+    text = F.col("value").cast("string")
+    own = F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint")
+    value = (F.when(own % 31 == 0, F.concat(F.lit("not json "), F.md5(text))).when(own % 29 == 0, F.lit("[1, 2]"))
+             .when(own % 23 == 0, F.lit("")).when(own % 19 == 0, F.substring(text, 1, 40)).otherwise(text))
+    decoded = S.decode_value(messages.select("key", value.cast("binary").alias("value")))
+    return K.label_valid(decoded).select("UUID", F.col(S.CORRUPT_COLUMN).alias("corrupt"), "reject_reason")
+
+
 def day_partition(spark, sf_dir):
     """K5: the day partitions the envelope needs, with names and ranges."""
     env = _env(spark, sf_dir)
@@ -579,6 +591,11 @@ def event_hash(spark, sf_dir):
     return _env(spark, sf_dir).select("UUID", V.event_hash().alias("event_hash"))
 
 
+def event_digest(spark, sf_dir):
+    """V2 over the dirty envelope, where ids are NULL in some rows."""
+    return X.env_dirty(_events(spark, sf_dir)).select("XEventStartOffsetInBytes", V.event_digest().alias("event_digest"))
+
+
 def count_events(spark, sf_dir):
     """V3: captured rows per kind against the count expected from the source table."""
     ev = _events(spark, sf_dir)
@@ -726,6 +743,7 @@ QUERIES: dict[str, Query] = {
     "sink_options": sink_options,
     "kafka_payload": kafka_payload,
     "kafka_roundtrip": kafka_roundtrip,
+    "kafka_dirty": kafka_dirty,
     "day_partition": day_partition,
     "dedup_key": dedup_key,
     "constraint_split": constraint_split,
@@ -743,6 +761,7 @@ QUERIES: dict[str, Query] = {
     "failure_bursts_stream": failure_bursts_stream,
     "distinct_events": distinct_events,
     "event_hash": event_hash,
+    "event_digest": event_digest,
     "count_events": count_events,
     "reconcile_missing": reconcile_missing,
     "all_match_regex": all_match_regex,

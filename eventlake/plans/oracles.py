@@ -248,6 +248,18 @@ BODIES["ingest_captured_dirty"] = FAULTS + """
            OR reject_reason IS NULL AND Name IN ('error', 'click') AND duration >= 5000000"""
 BODIES["aggregate_two_checkpoints"] = BODIES["hourly_stats"]
 BODIES["audit_table"] = BODIES["audit_log"] + " AND CAST(ts AS DATE) BETWEEN DATE '2024-01-10' AND DATE '2024-01-12'"
+BODIES["event_digest"] = (
+    "SELECT XEventStartOffsetInBytes, md5(" + EVENT_JSON
+    .replace("'UUID', UUID", "'UUID', CASE WHEN event_id % 97 = 0 THEN NULL ELSE UUID END")
+    .replace("'Name', Name", "'Name', CASE WHEN event_id % 97 <> 0 AND event_id % 101 = 0 THEN repeat('x', 256) ELSE Name END")
+    + ") AS event_digest FROM envj")
+BODIES["kafka_dirty"] = f""",
+        m AS (SELECT UUID, {EVENT_JSON} AS t FROM envj),
+        n AS (SELECT *, CAST('0x' || substr(md5(t), 1, 8) AS BIGINT) AS own FROM m),
+        v AS (SELECT UUID, CASE WHEN own % 31 = 0 THEN 'not json ' || md5(t) WHEN own % 29 = 0 THEN '[1, 2]'
+                     WHEN own % 23 = 0 THEN '' WHEN own % 19 = 0 THEN substr(t, 1, 40) END AS bad FROM n)
+        SELECT CASE WHEN bad IS NULL THEN UUID END AS UUID, bad AS corrupt,
+               CASE WHEN bad IS NOT NULL THEN 'corrupt record' END AS reject_reason FROM v"""[1:]
 BODIES["sorted_merge"] = CAPTURE_TEXT
 BODIES["ingest_twice"] = BODIES["sink_ingest"]
 BODIES["stream_restart"] = TEXT_ENVELOPE
@@ -259,7 +271,7 @@ BODIES["alert_windows_stream"] = BODIES["alert_windows"]
 BODIES["failure_bursts_stream"] = BODIES["failure_bursts"]
 
 # bodies that add CTEs of their own continue the WITH list
-_CONTINUES = {"stream_dead_letter", "ingest_captured_dirty", "alert_transitions", "query_hash_regression", "capacity_daily", "capacity_daily_approx"}
+_CONTINUES = {"kafka_dirty", "stream_dead_letter", "ingest_captured_dirty", "alert_transitions", "query_hash_regression", "capacity_daily", "capacity_daily_approx"}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -30,8 +30,8 @@ KAFKA_CODECS = ("none", "gzip", "snappy", "lz4", "zstd")
 # Relational constraints of the envelope.
 NAME_MAX_CHARS = 255
 SINK_KINDS = ("sorted", "daily", "kafka", "jdbc")
-# Day partition label, unpadded year/month/day: {table}_y{Y}m{M}d{D}.
-PARTITION_LABEL = ("_y", "m", "d")
+# Day partition label, year, month and day unpadded.
+PARTITION_LABEL = "%s_y%dm%dd%d"
 
 
 # --- K11 ---------------------------------------------------------------------------------------
@@ -99,9 +99,7 @@ def day_partition(ts: str | Column = "Timestamp", table: str = DEFAULT_TABLE) ->
     and the half-open range [day, day + 1) (calendar arithmetic, month ends included)."""
     c = F.col(ts) if isinstance(ts, str) else ts
     day = F.to_date(c)
-    y, m, d = PARTITION_LABEL
-    label = F.concat(F.lit(f"{table}{y}"), F.year(day).cast("string"), F.lit(m),
-                     F.month(day).cast("string"), F.lit(d), F.dayofmonth(day).cast("string"))
+    label = F.when(day.isNotNull(), F.format_string(PARTITION_LABEL, F.lit(table), F.year(day), F.month(day), F.dayofmonth(day)))
     return F.struct(day.alias("event_date"), label.alias("partition_name"),
                     day.alias("range_start"), F.date_add(day, 1).alias("range_end"))
 
