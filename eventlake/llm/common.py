@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
+from itertools import count
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -31,6 +33,34 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def free_name(columns: list[str], stem: str) -> str:
+    """A column name that none of ``columns`` bears, in any case of letters."""
+    taken = {c.lower() for c in columns}
+    return next(n for n in (f"{stem}_{k}" for k in count()) if n.lower() not in taken)
+
+
+def apart(operator: Callable) -> Callable:
+    """An operator whose first argument is a frame that passes through, made safe for columns whose names begin
+    with two underscores, as the operators' own do: for the time of the call they bear free names.  A
+    column that the operator adds must not be there under that name (``ValueError``)."""
+    @wraps(operator)
+    def run(docs: DataFrame, *args, **how):
+        own = [c for c in docs.columns if c.startswith("__")]
+        if not own:
+            return operator(docs, *args, **how)
+        taken = {c.lower() for c in docs.columns}
+        stem = next(f"passing{k}x" for k in count() if not any(c.startswith(f"passing{k}x") for c in taken))
+        free = {c: f"{stem}{i}" for i, c in enumerate(own)}
+        named = lambda v: free.get(v, v) if isinstance(v, str) else v  # noqa: E731 - a column named by an argument
+        out = operator(docs.withColumnsRenamed(free), *map(named, args), **{k: named(v) for k, v in how.items()})
+        added = {c.lower() for c in out.columns}
+        twice = [c for c in own if c.lower() in added]
+        if twice:
+            raise ValueError(f"the operator adds columns of these names: {twice}")
+        return out.withColumnsRenamed({b: a for a, b in free.items()})
+    return run
+
+
 def by_group(keys: list[str], fn: Callable) -> Callable:
     """A ``mapInPandas`` function that calls ``fn(pdf)`` once for each run of equal keys.
 

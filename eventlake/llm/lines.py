@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from eventlake.llm.common import materialise
+from eventlake.llm.common import apart, materialise
 
 LONG_WORDS = 10        # a line needs so many words over its sites together, and two sites
 LIFT = 16              # a word may be so many times as frequent where a line is as it is overall
@@ -103,6 +103,7 @@ def boilerplate(rows: DataFrame, most_sites: int | None = None) -> DataFrame:
     return bad.select("h1", "h2", F.col("sites").cast("long").alias("sites"), "first")
 
 
+@apart
 def without_boilerplate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                         site_col: str = "source", most_sites: int | None = None) -> DataFrame:
     """``docs`` with boilerplate lines removed from ``text_col`` and ``__n_lines`` (lines that are
@@ -135,6 +136,7 @@ def without_boilerplate(docs: DataFrame, id_col: str = "doc_id", text_col: str =
             .drop("__id", "__doc", "__gone", "__key"))
 
 
+@apart
 def line_dedup(docs: DataFrame, text_col: str = "text", count_col: str = "n_chars", **how) -> DataFrame:
     """``docs`` without its boilerplate lines, columns as they were (``count_col``, if there, is the
     new text's length).  Documents that consisted of boilerplate alone are left out: all that

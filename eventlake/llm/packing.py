@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from eventlake.llm.common import materialise
+from eventlake.llm.common import apart, materialise
 from eventlake.llm.tokens import CACHE_PIECES, LONG_PIECE, coder
 
 TEXTS_AT_ONCE = 256
@@ -99,6 +99,7 @@ def plan_best_fit(counts: dict[int, int], size: int) -> list[tuple[int, int, int
     return plan
 
 
+@apart
 def pack(pieces: DataFrame, size: int = 1024, length_col: str = "length") -> DataFrame:
     """``pieces`` with ``sequence_id`` (long) and ``offset`` (long): as few sequences of at most
     ``size`` tokens as best fit gives, filled without gaps from 0.

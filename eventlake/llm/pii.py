@@ -15,6 +15,8 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from eventlake.llm.common import apart
+
 KINDS = ("email", "ip", "card", "phone")
 
 # The base patterns.  Possessive forms and look-behinds match the same spans as
@@ -241,6 +243,7 @@ def _score(c: Column, weight: dict) -> Column:
     return out
 
 
+@apart
 def personal_data(docs: DataFrame, text_col: str = "text", threshold: float = 0.5) -> DataFrame:
     """``docs`` with ``__base`` and ``__spans``: arrays of (kind, start, end) by kind as listed,
     then start, in code points with the end exclusive.  ``__spans`` holds the base spans and the
@@ -270,6 +273,7 @@ def joined(spans: str) -> Column:
         ":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
+@apart
 def masked(docs: DataFrame, text_col: str = "text", count_col: str = "n_chars", **how) -> DataFrame:
     """``docs`` with every found span replaced by its kind in angle brackets (of overlapping spans,
     the first; a shorter rest goes with it), columns as they were; ``count_col``, if there, is

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from eventlake.llm.common import WORD_BREAK, materialise
+from eventlake.llm.common import WORD_BREAK, apart, materialise
 
 # Fixed values of the base rules.
 SYMBOLS = r"[#*$%&|<>]"
@@ -177,6 +177,7 @@ def _null_safe(left: DataFrame, right: DataFrame, keys: list[str], name: str) ->
     return left.join(other, same, "left").drop(*[f"__r_{k}" for k in keys])
 
 
+@apart
 def judged(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", source_col: str = "source",
            reach: float = REACH, least_docs: int = LEAST_DOCS, store: bool = False) -> DataFrame:
     """``docs`` with its statistics (see :func:`with_statistics`), ``__base_failed`` and ``__kept``.
@@ -207,6 +208,7 @@ def judged(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", sour
     return out.drop(*fences.columns)
 
 
+@apart
 def quality_filter(docs: DataFrame, **how) -> DataFrame:
     """The rows of ``docs`` that :func:`judged` keeps, columns as they were."""
     return judged(docs, **how).where("__kept").select(*docs.columns)
