@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventlake.llm import lines, minhash, packing, pii, quality
-from eventlake.llm.common import materialise, table
+from eventlake.llm.common import free_name, materialise, table
 from eventlake.llm.queries import tokenizer
 
 
@@ -27,9 +27,10 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates (5-word shingles, similarity 0.8), the one
     with the smallest doc_id; of repeated rows of it, one.  Documents without words stay."""
     groups = minhash.near_duplicates(docs, words=5, num=80, den=100, marks=True)
-    gone = groups.where("not kept").select("doc_id", F.col("mark").alias("__mark")).distinct()
-    marked = docs.withColumn("__mark", minhash.text_mark(F.col("text").cast("string")))
-    left = marked.join(gone, ["doc_id", "__mark"], "left_anti").select(*docs.columns)
+    mark = free_name(docs.columns, "mark")
+    gone = groups.where("not kept").select("doc_id", F.col("mark").alias(mark)).distinct()
+    marked = docs.withColumn(mark, minhash.text_mark(F.col("text").cast("string")))
+    left = marked.join(gone, ["doc_id", mark], "left_anti").select(*docs.columns)
     named = left.where(F.col("doc_id").isNotNull()).dropDuplicates(["doc_id", "text"])
     return named.unionByName(left.where(F.col("doc_id").isNull()))
 
