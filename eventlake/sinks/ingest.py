@@ -42,6 +42,8 @@ def with_key(rows: DataFrame) -> DataFrame:
 
 def stored_keys(spark: SparkSession, root: str) -> DataFrame:
     """The index keys of every row under ``root``."""
+    if "row_key" not in spark.read.parquet(root).columns:
+        raise ValueError(f"{root} was not written by ingest: its dead letters have no row_key")
     return with_key(spark.read.parquet(root).select("UUID", "row_key", "Timestamp")).select(*KEY)
 
 

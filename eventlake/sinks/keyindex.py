@@ -91,7 +91,8 @@ class KeyIndex:
 
     def heal(self, rows: DataFrame, days: DataFrame) -> list[str]:
         """Index anew the days (column ``day``) whose ``rows`` (``KEY`` of the stored table) and indexed
-        keys differ in number; returns them.  Counting reads partition folders and file footers."""
+        keys differ in number; returns them.  Counting reads partition folders and file footers.  A day that
+        holds a key twice (appended without the check) differs each time, and is indexed each time."""
         touched = days.select("day").distinct()
         have = rows.join(touched, "day", "left_semi").groupBy("day").agg(F.count(F.lit(1)).alias("n"))
         if self._days():
