@@ -51,7 +51,7 @@ STAGES = [("quality_rules", quality_rules), ("line_dedup", line_dedup), ("near_d
           ("personal_data", personal_data), ("pack", pack)]
 
 #: The tokenizer and the trained span classifier have no SQL form.  The tests hold the operators
-#: against brute force; of the stages here they call near_dedup alone.
+#: against brute force, and the stages and run on hard rows.
 ORACLE_SQL = None
 
 
