@@ -66,9 +66,8 @@ def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = scratch_path(spark, "token-files")
-    order = token_files.write_token_files(table(spark, sf_dir, "documents"),
-                                          tokenizer("word_bpe_49k.json"), out, end_id=1)
-    rows = token_files.read_token_files(spark, out, order)
+    token_files.write_token_files(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"), out, end_id=1)
+    rows = token_files.read_token_files(spark, out)
     rows = materialise(rows.select("part", "block", "doc_id", "local", "n_tokens",
                                    F.crc32("ids").alias("ids_crc32")), "token-rows")
     return token_files.with_starts(rows).select("doc_id", "start", "n_tokens", "ids_crc32")

@@ -5,8 +5,9 @@ File format (one block of whole documents per file, integers little-endian):
 bytes, 0); document ids (64-bit), their null flags (1 byte each), token counts (32-bit);
 control bytes (two bits per token, lowest first: its byte count less one); data bytes (the
 token's frequency rank, lowest byte first); a closing ``\\n`` that Spark's text writer adds.
-Files are written and read by Spark's own sources, so their commits survive lost executors
-and any file system that Spark reads will do.
+They stand in the folder ``tokens``; beside it, ``ranks`` holds the ids by rank as Parquet, so
+that a folder can be read with nothing else.  Files are written and read by Spark's own sources,
+so their commits survive lost executors and any file system that Spark reads will do.
 """
 
 from __future__ import annotations
@@ -137,9 +138,9 @@ def token_counts(blocks: DataFrame, width: int) -> DataFrame:
 
 def write_token_files(docs: DataFrame, path: str, out: str, end_id: int = 1, id_col: str = "doc_id",
                       text_col: str = "text", block_tokens: int = BLOCK_TOKENS,
-                      long_piece: int = LONG_PIECE, cache: int = CACHE_PIECES) -> list[int]:
-    """Write the token files of ``docs`` under the folder ``out`` and return the ids by
-    descending frequency (ties: smaller id first), which the reader needs.
+                      long_piece: int = LONG_PIECE, cache: int = CACHE_PIECES) -> None:
+    """Write the token files of ``docs`` under the folder ``out`` and, beside them, the ids by
+    descending frequency (ties: smaller id first).
 
     Frequencies are counted over all tokens.  The ranking has at most one entry per
     vocabulary entry, and that is all the driver sees.  Null text is empty (only the end
@@ -167,18 +168,20 @@ def write_token_files(docs: DataFrame, path: str, out: str, end_id: int = 1, id_
                 yield pa.RecordBatch.from_arrays([pa.array([blob], pa.binary())], names=["value"])
 
     (blocks.mapInArrow(run, "value binary").select(F.col("value").cast("string").alias("value"))
-     .write.option("maxRecordsPerFile", 1).option("compression", "none").text(out))
-    return order
+     .write.option("maxRecordsPerFile", 1).option("compression", "none").text(f"{out}/tokens"))
+    (docs.sparkSession.createDataFrame(list(enumerate(order)), "rank long, token long").coalesce(1)
+     .write.parquet(f"{out}/ranks"))
 
 
-def read_token_files(spark: SparkSession, out: str, order: list[int]) -> DataFrame:
+def read_token_files(spark: SparkSession, out: str) -> DataFrame:
     """``doc_id``, ``start`` (ids of all documents before it), ``n_tokens``, ``ids`` (binary,
     little-endian unsigned 32-bit) of every document in the files under ``out``.
 
     ``start`` is the document's place in its block plus the token totals of the blocks before
     it in its partition and of the partitions before that; the totals are windows over one
     row per block and per partition."""
-    table = np.array(order or [0], dtype="<u4")
+    ranks = spark.read.schema("rank long, token long").parquet(f"{out}/ranks").orderBy("rank").collect()
+    table = np.array([r["token"] for r in ranks] or [0], dtype="<u4")
 
     def run(batches):
         import pyarrow as pa
@@ -208,7 +211,7 @@ def read_token_files(spark: SparkSession, out: str, order: list[int]) -> DataFra
                      pa.array(lengths, pa.int64()), pa.array(pieces, pa.binary())],
                     names=["part", "block", "doc_id", "local", "n_tokens", "ids"])
 
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(out).select("content")
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(f"{out}/tokens").select("content")
     return files.mapInArrow(run, "part long, block long, doc_id long, local long, n_tokens long, ids binary")
 
 
