@@ -1,8 +1,9 @@
 """Tokenising whole texts with a tokenizer file of the ``tokenizers`` library, inside tasks.
 
-The ids equal the library's ``encode(text, add_special_tokens=False)``.  A text is cut where
-the file's own splitting rule always cuts (around white space), each distinct piece is
-encoded once and remembered, and the pieces' ids are joined.  A piece without white space
+The ids equal the library's ``encode(text, add_special_tokens=False)``.  A plain text (blank,
+line feed, printable ASCII, Latin-1 letters) is cut by the file's own splitting rule, any other
+one where that rule always cuts (around white space); each distinct piece is encoded once and
+remembered, and the pieces' ids are joined.  A piece without white space
 that is longer than ``long_piece`` is encoded by *tree concatenation*: its halves (of halves)
 are encoded independently, as one batch, and joined bottom-up; around each join a growing
 window is encoded again until it agrees with both sides (see :func:`join_halves`).
@@ -13,6 +14,8 @@ from __future__ import annotations
 import json
 import re
 from array import array
+from codecs import charmap_decode
+from itertools import chain, filterfalse
 
 import numpy as np
 
@@ -22,16 +25,16 @@ WHITE = "\t-\r \x85\xa0  -     　"
 NOT_WHITE = "\x1c\x1d\x1e\x1f"
 RARE_WHITE = "\t\x0b\x0c\r\x85\xa0                　"
 
-# The two splitting rules, restricted to printable ASCII and Latin-1 letters
-# (there, normalisation is the identity and lower-casing is one to one).
-PLAIN_WORD = re.compile(r"[!-~À-ÖØ-öø-ÿ]+")
-PLAIN_SPACED = re.compile(r"[ \n]?[!-~À-ÖØ-öø-ÿ]+(?:\n[!-~À-ÖØ-öø-ÿ]+)*")
-WORD_RULE = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")
+# The two splitting rules, restricted to blank, line feed, printable ASCII and
+# Latin-1 letters (there, normalisation is the identity and lower-casing is one to one).
+PLAIN = "!-~À-ÖØ-öø-ÿ"
+WORD_RULE = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^ \na-zß-öø-ÿ0-9]+")
 SPACED_RULE = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-zÀ-ÖØ-öø-ÿ]+| ?[0-9]+"
-                         r"| ?[^ \nA-Za-zÀ-ÖØ-öø-ÿ0-9]+|\n")
+                         r"| ?[^ \nA-Za-zÀ-ÖØ-öø-ÿ0-9]+|[ \n]+(?![^ \n])|[ \n]+")
 
 LONG_PIECE = 4096
 CACHE_PIECES = 400_000
+CHARS_AT_ONCE = 1 << 19
 
 
 def _byte_letters() -> list[str]:
@@ -43,20 +46,23 @@ def _byte_letters() -> list[str]:
 
 
 class Memory(dict):
-    """Ids of pieces by piece, filled on demand.  Two generations: :meth:`age` (called
-    between batches) forgets pieces not met since the one before, so it stays bounded by
-    ``most`` pieces and those of one batch."""
+    """Ids of pieces by piece; :meth:`fill` makes those of all unknown pieces at once.  Two
+    generations: :meth:`age` (called between batches) forgets pieces not met since the one
+    before, so it stays bounded by ``most`` pieces and those of one batch."""
 
     def __init__(self, make, most: int):
         super().__init__()
         self.make, self.most, self.old = make, most, {}
 
-    def __missing__(self, piece: str) -> bytes:
-        known = self.old.get(piece)
-        if known is None:
-            known = self.make(piece)
-        self[piece] = known
-        return known
+    def fill(self, pieces) -> None:
+        new = set(filterfalse(self.__contains__, pieces))
+        if self.old:
+            met = {p: self.old[p] for p in new if p in self.old}
+            self.update(met)
+            new.difference_update(met)
+        if new:
+            made = list(new)
+            self.update(zip(made, self.make(made), strict=True))
 
     def age(self) -> None:
         if len(self) > self.most // 2:
@@ -84,50 +90,57 @@ class PieceEncoder:
         self.marks = tuple({t[:2] for t in self.special})
         self.long_piece = long_piece
         self.model = self.lib.model
-        self.letters = dict(enumerate(_byte_letters()))
+        self.letters = "".join(_byte_letters())
         self.dtype = np.dtype("<u2") if self.lib.get_vocab_size() <= 65536 else np.dtype("<u4")
         self.code = "H" if self.dtype.itemsize == 2 else "I"
         self.strings = ([self.lib.id_to_token(k) for k in range(self.lib.get_vocab_size())]
                         if told.get("decoder") is None else None)
         self.white = re.compile(f"[^{WHITE}]+" if self.words else f"[{WHITE}]*[^{WHITE}]+|[{WHITE}]+")
-        self.memory = Memory(self._piece, cache)                              # pieces as they stand
-        self.after_blank = Memory(lambda p: self._piece(" " + p), cache)      # pieces after one blank
-
-    def _piece(self, piece: str) -> bytes:
-        """Ids of one piece: plain letters straight from the model, all else by the library."""
-        if self.words and piece.isascii() and piece.isalpha() and len(piece) <= self.long_piece:
-            ids = [t.id for t in self.model.tokenize(piece.lower())]
-        elif len(piece) > self.long_piece:
-            ids = tree_encode(self, piece)[0]
-        elif ((PLAIN_WORD if self.words else PLAIN_SPACED).fullmatch(piece)
-                and not any(m in piece for m in self.marks)):
-            ids, tokenize = [], self.model.tokenize
-            for part in WORD_RULE.findall(piece.lower()) if self.words else SPACED_RULE.findall(piece):
-                if not (part.isascii() and part.isalpha()):
-                    part = part.encode().decode("latin-1").translate(self.letters)
-                ids += [t.id for t in tokenize(part)]
-        else:
-            ids = self.lib.encode(piece, add_special_tokens=False).ids
-        return array(self.code, ids).tobytes()
-
-    def _ids(self, text: str) -> bytes:
-        """Ids of a text: it is cut where the file's rule cuts whatever stands around, and the
-        ids of the pieces are joined."""
-        if self.words:
-            pieces = self.white.findall(text) if any(c in text for c in NOT_WHITE) else text.split()
-        elif "  " in text or " \n" in text or text[-1:] == " " or any(c in text for c in RARE_WHITE):
-            pieces = self.white.findall(text)
-        else:
-            head, _, rest = text.partition(" ")
-            first = self.memory[head] if head else b""
-            return first + b"".join(map(self.after_blank.__getitem__, rest.split(" "))) if rest else first
-        return b"".join(map(self.memory.__getitem__, pieces))
+        self.rule = WORD_RULE if self.words else SPACED_RULE
+        self.plain = re.compile(f"(?:[{PLAIN}]{{0,{long_piece}}}+[ \\n])*+[{PLAIN}]{{0,{long_piece}}}+")
+        self.parts = Memory(self._parts, cache)               # what the rule cuts plain texts into
+        self.pieces = Memory(self._pieces, cache // 4)        # what white space cuts other texts into
+
+    def _parts(self, parts: list[str]) -> list[bytes]:
+        """Ids of parts of plain texts, straight from the model."""
+        # 1 stands between them: no part holds it, and its byte has a letter of its own
+        shown = charmap_decode("\x01".join(parts).encode(), "strict", self.letters)[0].split(self.letters[1])
+        tokenize, code = self.model.tokenize, self.code
+        return [array(code, [t.id for t in tokenize(p)]).tobytes() for p in shown]
+
+    def _pieces(self, pieces: list[str]) -> list[bytes]:
+        """Ids of pieces by the library, long ones by tree concatenation."""
+        short = [p for p in pieces if len(p) <= self.long_piece]
+        made = iter(self.lib.encode_batch(short, add_special_tokens=False))
+        return [array(self.code, next(made).ids if len(p) <= self.long_piece else tree_encode(self, p)[0]).tobytes()
+                for p in pieces]
+
+    def _cut(self, text: str) -> tuple[Memory, list[str]]:
+        """The memory that a text is looked up in and what the text is cut into: the rule's own
+        parts where it is plain, has no long piece and cannot hold a special token; otherwise
+        pieces, cut where the rule cuts whatever stands around."""
+        if self.plain.fullmatch(text) and not any(m in text for m in self.marks):
+            return self.parts, self.rule.findall(text.lower() if self.words else text)
+        if self.words and not any(c in text for c in NOT_WHITE):
+            return self.pieces, text.split()
+        return self.pieces, self.white.findall(text)
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text, as little-endian bytes of ``self.dtype``."""
-        self.memory.age()
-        self.after_blank.age()
-        return [self._ids(t) for t in texts]
+        """Ids of each text, as little-endian bytes of ``self.dtype``; what about
+        ``CHARS_AT_ONCE`` characters of whole texts are cut into is held at a time."""
+        out: list[bytes] = []
+        held, chars = [], 0
+        for k, text in enumerate(texts, 1):
+            held.append(self._cut(text))
+            chars += len(text)
+            if chars < CHARS_AT_ONCE and k < len(texts):
+                continue
+            for memory in (self.parts, self.pieces):
+                memory.age()
+                memory.fill(chain.from_iterable(cut for own, cut in held if own is memory))
+            out += [b"".join(map(own.__getitem__, cut)) for own, cut in held]
+            held, chars = [], 0
+        return out
 
     def ids(self, text: str) -> np.ndarray:
         return np.frombuffer(self.encode([text])[0], dtype=self.dtype)

@@ -138,10 +138,20 @@ def test_byte_code():
     assert len(token_files.unpack_ranks(np.frombuffer(empty[0], np.uint8), np.frombuffer(empty[1], np.uint8), 0)) == 0
 
 
+@pytest.mark.parametrize("path", [WORD, BYTE])
+def test_plain_texts_give_the_librarys_ids(path):
+    rng, own = random.Random(5), tokens.PieceEncoder(path, long_piece=40, cache=64)
+    letters = ["  ", " ", "\n", "'", "s", "re", "a", "Bc", "é", "Ü", "7", "42", ".", "!!", "^", "<|", "ß", "x" * 45]
+    texts = ["".join(rng.choices(letters, k=rng.randrange(40))) for _ in range(1500)]
+    texts += ["", " ", "\n\n", "a \n", " a", "it's 'save\n\n\nb  c"]
+    got = [np.frombuffer(b, own.dtype).tolist() for k in range(0, len(texts), 90) for b in own.encode(texts[k:k + 90])]
+    assert got == [own.lib.encode(t, add_special_tokens=False).ids for t in texts]
+
+
 def test_token_files(spark, tmp_dir):
     lib = tokens.PieceEncoder(WORD).lib
-    order = token_files.write_token_files(docs_of(spark, UNIQUE), WORD, tmp_dir + "/out", block_tokens=500)
-    rows = {r["doc_id"]: r for r in token_files.with_starts(token_files.read_token_files(spark, tmp_dir + "/out", order)).collect()}
+    token_files.write_token_files(docs_of(spark, UNIQUE), WORD, tmp_dir + "/out", block_tokens=500)
+    rows = {r["doc_id"]: r for r in token_files.with_starts(token_files.read_token_files(spark, tmp_dir + "/out")).collect()}
     at = 0
     for i, t in sorted(UNIQUE, key=lambda d: d[0]):
         ids = [*lib.encode(t or "", add_special_tokens=False).ids, 1]
@@ -149,11 +159,11 @@ def test_token_files(spark, tmp_dir):
         assert (rows[i]["start"], rows[i]["n_tokens"]) == (at, len(ids))
         at += len(ids)
     nulls = spark.createDataFrame([(None, "b a"), (None, "c"), (3, "d")], "doc_id long, text string")
-    order = token_files.write_token_files(nulls, WORD, tmp_dir + "/nulls")
-    got = token_files.with_starts(token_files.read_token_files(spark, tmp_dir + "/nulls", order)).collect()
+    token_files.write_token_files(nulls, WORD, tmp_dir + "/nulls")
+    got = token_files.with_starts(token_files.read_token_files(spark, tmp_dir + "/nulls")).collect()
     assert sorted((r["doc_id"] is None, r["n_tokens"]) for r in got) == [(False, 2), (True, 2), (True, 3)]
-    order = token_files.write_token_files(docs_of(spark, []), WORD, tmp_dir + "/none")
-    assert token_files.read_token_files(spark, tmp_dir + "/none", order).count() == 0
+    token_files.write_token_files(docs_of(spark, []), WORD, tmp_dir + "/none")
+    assert token_files.read_token_files(spark, tmp_dir + "/none").count() == 0
 
 
 # --- near duplicates -----------------------------------------------------------------------------
