@@ -134,7 +134,54 @@ SELECT d.doc_id, count(*) FILTER (WHERE kind = 'assign') AS n_assign, count(*) F
 FROM docs d LEFT JOIN kept k ON k.row = d.row GROUP BY d.row, d.doc_id"""
 
 
+#: Vectors whose components are all finite and not all zero, linked by cosine >= 0.9; who reaches whom by links.
+#: All pairs, where the operator searches an index of stated recall and may miss a link.
+NEAR_VECTORS = r"""
+WITH RECURSIVE v AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b
+  FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.9),
+walk AS (SELECT a, b FROM links UNION SELECT w.a, l.b FROM walk w JOIN links l ON l.a = w.b),
+degree AS (SELECT a, count(*) AS n FROM links GROUP BY a),
+first_of AS (SELECT a, min(b) AS low FROM walk GROUP BY a)
+SELECT vec_id, CAST(coalesce(n, 0) AS BIGINT) AS n_links, least(vec_id, coalesce(low, vec_id)) AS component_id,
+       vec_id = least(vec_id, coalesce(low, vec_id)) AS kept
+FROM embeddings LEFT JOIN degree ON degree.a = vec_id LEFT JOIN first_of ON first_of.a = vec_id
+"""
+
+#: Documents by their sets of 3-word shingles; classes of equal sets are linked by full sets.
+NEAR_DOCUMENTS = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(string_split_regex(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws
+  FROM documents),
+sets AS (
+  SELECT doc_id, CASE WHEN len(ws) = 0 THEN CAST([] AS VARCHAR[])
+                      WHEN len(ws) < 3 THEN [array_to_string(ws, ' ')]
+                      ELSE list_sort(list_distinct(list_transform(range(1, len(ws) - 1),
+                             lambda i: ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2]))) END AS s
+  FROM w),
+classes AS (SELECT s, min(doc_id) AS rep FROM sets WHERE len(s) > 0 GROUP BY s),
+posts AS (SELECT rep, len(s) AS n, unnest(s) AS x FROM classes),
+links AS (
+  SELECT a.rep AS a, b.rep AS b
+  FROM posts a JOIN posts b ON a.x = b.x AND a.rep <> b.rep AND 100 * a.n >= 85 * b.n AND 100 * b.n >= 85 * a.n
+  GROUP BY a.rep, b.rep, a.n, b.n HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))),
+walk AS (SELECT a, b FROM links UNION SELECT w.a, l.b FROM walk w JOIN links l ON l.a = w.b),
+first_of AS (SELECT rep, least(rep, coalesce(min(b), rep)) AS low FROM classes LEFT JOIN walk ON a = rep GROUP BY rep)
+SELECT d.doc_id, CAST(len(d.s) AS BIGINT) AS n_shingles, coalesce(f.low, d.doc_id) AS component_id,
+       d.doc_id = coalesce(f.low, d.doc_id) AS kept
+FROM sets d LEFT JOIN classes c ON len(d.s) > 0 AND c.s = d.s LEFT JOIN first_of f ON f.rep = c.rep
+"""
+
 ORACLES: dict[str, str] = {
+    "op1_multi_index_dedup": NEAR_VECTORS,
+    "op10_minhash_dedup": NEAR_DOCUMENTS,
     "op11_filter_audit": AUDIT,
     "op12_spelling_variants": SPELLING,
     "op13_secret_ownership": _secrets(),

@@ -17,6 +17,7 @@ from eventlake.llm.components import connected_components
 
 SAMPLE = 8192
 CODEWORDS = 64
+PER_CODEWORD = 16
 BLOCK = 1024
 RECALL = 0.999
 SEED = 20240229
@@ -25,10 +26,12 @@ SEED = 20240229
 # --- index -------------------------------------------------------------------------------------
 
 def fit_codebook(x: np.ndarray, k: int, rounds: int = 12) -> np.ndarray:
-    """k-means on one half of the sampled unit vectors."""
+    """k-means on one half of the sampled unit vectors, with ``PER_CODEWORD`` of them to a codeword
+    on average at least: a book that repeats its sample would tell nothing of other vectors,
+    and :func:`calibrate` would find them nearer than they are."""
     rng = np.random.default_rng(SEED)
     x = np.unique(x, axis=0)
-    k = max(1, min(k, len(x)))
+    k = max(1, min(k, len(x) // PER_CODEWORD))
     centres = x[rng.choice(len(x), k, replace=False)] if len(x) else np.zeros((1, x.shape[1]))
     for _ in range(rounds):
         near = _squares(x, centres).argmin(1)
