@@ -148,11 +148,12 @@ def with_dead_letter(good_root: str, dead_root: str, write_good: BatchWriter = d
                      keep_late: bool = False):
     """Split each micro-batch by the row constraints; good rows to the sink, broken
     rows with their reason to the dead letter.  Both writes are keyed by batch id.
-    The batch is labelled once and persisted so the two writes share one computation.
+    The batch is labelled once and persisted so the two writes share one computation; it is dealt over
+    tasks by size first, since a source's splits (whole row groups of compressed files) may be few.
     ``keep_late`` deduplicates good rows against the stored target (late rows kept)."""
     def run(batch: DataFrame, number: int) -> None:
         batch_id = batch_key(batch, number)
-        labelled = label_valid(batch).persist()
+        labelled = label_valid(batch).hint("rebalance", F.col("Timestamp"), F.col("UUID")).persist()
         try:
             good = labelled.filter(F.col("reject_reason").isNull()).drop("reject_reason")
             if keep_late:

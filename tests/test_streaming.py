@@ -15,6 +15,7 @@ from eventlake.sources import fixtures as X
 from eventlake.sources import readers as S
 from eventlake.streaming import runner as T
 from tests.conftest import SF001
+from tests.helpers import env_rows, uuid_of
 
 
 def _events(spark):
@@ -306,3 +307,22 @@ def test_aggregate_log_keeps_queries_apart(spark, tmp_dir):
     assert sorted(map(tuple, newest.collect())) == sorted(map(tuple, half.collect()))
     with pytest.raises(ValueError):
         T.latest_versions(spark, f"{tmp_dir}/log", ["ws", "Name"], {"n_events": "sum"})
+
+
+def test_a_batch_of_one_split_is_dealt_over_tasks_by_size(spark, tmp_dir):
+    from contextlib import ExitStack
+
+    from eventlake.session import sql_conf
+    rows = env_rows(spark, [(uuid_of(i), "click", "2024-01-01T00:00:00.000000+00:00", i, i, 1, "{}", "{}")
+                            for i in range(4000)]).coalesce(1)
+    rows.write.parquet(f"{tmp_dir}/in")
+    seen = []
+
+    def write(batch, root, key):
+        seen.append((batch.rdd.getNumPartitions(), batch.count()))
+
+    with ExitStack() as settings:
+        for key, value in (("advisoryPartitionSizeInBytes", "16k"), ("coalescePartitions.minPartitionSize", "1k")):
+            settings.enter_context(sql_conf(spark, f"spark.sql.adaptive.{key}", value))
+        T.with_dead_letter(f"{tmp_dir}/good", f"{tmp_dir}/dead", write)(spark.read.parquet(f"{tmp_dir}/in"), 0)
+    assert seen[0][0] > 1 and seen[0][1] == 4000
