@@ -10,6 +10,7 @@ import hashlib
 from collections.abc import Iterator, Sequence
 from contextlib import ExitStack
 
+import pandas as pd
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StreamingQuery
@@ -45,7 +46,8 @@ def _start(df: DataFrame, writer, state_partitions: int | None, empty_batches: b
 
 class SeenKeys(StatefulProcessor):
     """The keys seen in one hour of event time and one bucket of keys: 16-byte digests in a list, a piece per
-    batch.  A group reads and extends its list once a batch, whatever the number of its rows.
+    batch.  A group reads and extends its list once a batch, whatever the number of its rows; rows come and
+    go as pandas frames, their numbers as text (pandas has no nulls among whole numbers).
 
     Yields each key's first row, with ``late`` false; rows of an hour that the watermark has passed
     cannot be judged any more and are yielded with ``late`` true."""
@@ -58,29 +60,33 @@ class SeenKeys(StatefulProcessor):
         self.handle = handle
         self.pieces = handle.getListState("pieces", "digests binary")
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:  # noqa: N802, N803 - Spark's names
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802, N803 - Spark's names
         hour = key[0]
         if hour != NO_HOUR and hour + HOUR_MS <= timerValues.getCurrentWatermarkInMs():
-            for r in rows:
-                yield Row(**{**r.asDict(), "late": True})
+            for pdf in rows:
+                yield pdf.assign(late=True)
             return
         seen, pieces = set(), 0
         for (piece,) in self.pieces.get():
             pieces += 1
             seen.update(piece[i:i + DIGEST] for i in range(0, len(piece), DIGEST))
         fresh = []
-        for r in rows:
-            own = hashlib.blake2b(f"{r.ts}:{r.row_key}".encode(), digest_size=DIGEST).digest()
-            if own not in seen:
-                seen.add(own)
-                fresh.append(own)
-                yield Row(**{**r.asDict(), "late": False})
+        for pdf in rows:
+            first = []
+            for at, (ts, row_key) in enumerate(zip(pdf["ts"].tolist(), pdf["row_key"].tolist(), strict=True)):
+                own = hashlib.blake2b(f"{ts}:{row_key}".encode(), digest_size=DIGEST).digest()
+                if own not in seen:
+                    seen.add(own)
+                    fresh.append(own)
+                    first.append(at)
+            if first:
+                yield pdf.iloc[first].assign(late=False)
         if fresh:
             self.pieces.appendValue((b"".join(fresh),))
             if not pieces:
                 self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.sweep_ms)
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:  # noqa: N802, N803
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
         if key[0] != NO_HOUR and key[0] + HOUR_MS <= timerValues.getCurrentWatermarkInMs():
             self.pieces.clear()
         else:
@@ -105,20 +111,21 @@ def first_arrivals(df: DataFrame, horizon: str, buckets: int, sweep_ms: int = SW
     keyed = df.withWatermark("Timestamp", horizon).select(
         F.coalesce(ms, F.lit(NO_HOUR).cast("long")).alias("hour"),
         F.pmod(F.xxhash64(own), F.lit(buckets)).cast("int").alias("bucket"), own.alias("row_key"),
-        F.unix_micros("Timestamp").alias("ts"),
-        *[F.to_json(c).alias(c) if c in ("Actions", "Fields") else F.col(c) for c in ENVELOPE_COLUMNS if c != "Timestamp"], *extra)
-    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in ENVELOPE_TEXT.fields if f.name != "Timestamp"]
-    schema = ", ".join(["hour long", "bucket int", "row_key string", "ts long", *fields,
-                        *[f"`{c}` string" for c in extra], "late boolean"])
-    return keyed.groupBy("hour", "bucket").transformWithState(SeenKeys(sweep_ms), schema, "append", "processingTime")
+        F.unix_micros("Timestamp").cast("string").alias("ts"),
+        *[(F.to_json(c) if c in ("Actions", "Fields") else F.col(c).cast("string")).alias(c)
+          for c in ENVELOPE_COLUMNS if c != "Timestamp"], *extra)
+    names = ["row_key", "ts", *[c for c in ENVELOPE_COLUMNS if c != "Timestamp"], *extra]
+    schema = ", ".join(["hour long", "bucket int", *[f"`{c}` string" for c in names], "late boolean"])
+    return keyed.groupBy("hour", "bucket").transformWithStateInPandas(SeenKeys(sweep_ms), schema, "append", "processingTime")
 
 
 def _envelope(batch: DataFrame) -> DataFrame:
     """The text rows of :func:`first_arrivals` as an envelope frame with ``late``."""
     extra = [c for c in (CORRUPT_COLUMN,) if c in batch.columns]
-    made = {"Timestamp": F.timestamp_micros("ts"), "Actions": F.when(F.col("Actions").isNotNull(), parse_payload("Actions")),
+    made = {"Timestamp": F.timestamp_micros(F.col("ts").cast("long")), "Actions": F.when(F.col("Actions").isNotNull(), parse_payload("Actions")),
             "Fields": F.when(F.col("Fields").isNotNull(), parse_payload("Fields"))}
-    return batch.select(*[made.get(c, F.col(c)).alias(c) for c in ENVELOPE_COLUMNS], *extra, "late")
+    kinds = {f.name: f.dataType for f in ENVELOPE_TEXT.fields}
+    return batch.select(*[made.get(c, F.col(c).cast(kinds[c])).alias(c) for c in ENVELOPE_COLUMNS], *extra, "late")
 
 
 def run_state_dedup(source: DataFrame, specs: Sequence[CaptureSpec] | None, good_root: str, dead_root: str, checkpoint: str,

@@ -2,6 +2,7 @@
 
 import random
 
+import pandas as pd
 from pyspark.sql import functions as F
 
 from eventlake.sources.readers import read_event_stream
@@ -129,3 +130,35 @@ def test_events_in_any_order_within_the_delay(spark, tmp_dir):
     land(spark, f"{tmp_dir}/in", [rows, [row(99, 60 * 24)]])
     assert alert_run(spark, tmp_dir, min_slow=3) == [("click", 0, "raised", 3), ("click", 10, "cleared", 0)]
     assert spark.read.parquet(f"{tmp_dir}/out").where(F.col("n_slow") > 3).count() == 0
+
+
+def test_rows_reach_the_state_as_frames_and_whole_numbers_stay_whole(spark, tmp_dir):
+    class Pieces(list):
+        get, appendValue = (lambda self: iter(self)), list.append
+
+    class Handle:
+        def __init__(self):
+            self.pieces, self.timers = Pieces(), []
+
+        def getListState(self, *_):  # noqa: N802 - Spark's name
+            return self.pieces
+
+        def registerTimer(self, at):  # noqa: N802 - Spark's name
+            self.timers.append(at)
+
+    class Times:
+        getCurrentWatermarkInMs = getCurrentProcessingTimeInMs = staticmethod(lambda: 0)  # noqa: N815
+
+    handle, own = Handle(), S.SeenKeys()
+    own.init(handle)
+    frame = pd.DataFrame({"ts": ["1", None, "1", "1"], "row_key": ["a", "a", "b", "a"]})
+    got = pd.concat(own.handleInputRows((0, 0), iter([frame, frame]), Times()))
+    assert got.index.tolist() == [0, 1, 2] and not got["late"].any()
+    assert len(handle.pieces) == 1 and len(handle.pieces[0][0]) == 3 * S.DIGEST and len(handle.timers) == 1
+    assert list(own.handleInputRows((0, 0), iter([frame]), Times())) == []
+
+    big = 2 ** 60 + 1
+    land(spark, f"{tmp_dir}/in", [[row(1, 0, offset=big), (*row(2, 5)[:3], None, None, None, *row(2, 5)[6:])]])
+    run(spark, tmp_dir, "30 days")
+    back = {r["UUID"]: r["XEventStartOffsetInBytes"] for r in spark.read.parquet(f"{tmp_dir}/good").collect()}
+    assert back == {uuid_of(1): big, uuid_of(2): None}
