@@ -2,8 +2,9 @@
 
 Good rows and dead letters go to the same root, partitioned by ``status`` and ``event_date``, so
 readers prune on ``status``.  A narrow pass over the keys comes first: it finds the keys that
-stand more than once in the delivery and those that the table's key index holds.  Rows of all other
-keys, in a first delivery nearly all, are then written without being shuffled for it.
+stand more than once in the delivery and those that the table's key index holds.  Without such keys,
+as in most first deliveries, the rows are written without being shuffled for it; otherwise they meet
+those keys in one join, and only rows of repeated new keys meet in an aggregate.
 """
 
 from __future__ import annotations
@@ -70,8 +71,7 @@ def append(rows: DataFrame, root: str, compression: str | None = None, batch_siz
     batch = cut_lineage(keyed.groupBy(*KEY).agg(F.count(F.lit(1)).alias("n")), "ingest-keys")
     if unique and folders.exists(spark, root):
         index.heal(stored_keys(spark, root), batch)
-        seen = index.known(batch).withColumn("known", F.lit(True))
-        batch = cut_lineage(batch.join(seen, KEY, "left"), "ingest-known")
+        batch = cut_lineage(index.marked(batch), "ingest-known")
     else:
         batch = batch.withColumn("known", F.lit(None).cast("boolean"))
     fresh = batch.where("known is null")
@@ -81,11 +81,14 @@ def append(rows: DataFrame, root: str, compression: str | None = None, batch_siz
         return
     out = keyed
     if found["known"] or found["repeated"]:
-        out = keyed.join(batch.where("known or n > 1").select(*KEY), KEY, "left_anti")
+        # the rows are evaluated and shuffled once, for both
+        met = batch.where("known or n > 1").select(*KEY, F.col("known").alias("__known"), F.col("n").alias("__n"))
+        out = keyed.join(met, KEY, "left").where("__known is null")
     if found["repeated"]:
         # only rows whose keys stand more than once meet in an aggregate
-        again = keyed.join(fresh.where("n > 1").select(*KEY), KEY, "left_semi")
-        out = out.select(*keyed.columns).unionByName(dedup_key(again, keys=tuple(KEY)))
+        out = cut_lineage(out, "ingest-fresh")
+        again = dedup_key(out.where("__n is not null").select(*keyed.columns), keys=tuple(KEY))
+        out = out.where("__n is null").select(*keyed.columns).unionByName(again)
     out = (out.select(*rows.columns)
            .withColumn("status", F.when(F.col("reject_reason").isNull(), F.lit(GOOD)).otherwise(F.lit(DEAD)))
            .withColumn("event_date", F.to_date("Timestamp")))

@@ -3,9 +3,10 @@
 ``keys/day=D/words=W`` holds the keys themselves, sorted by word; ``filter/day=D/words=W`` holds a
 Bloom filter over them as rows ``(word, bits)``: a key sets :data:`BITS` bits of one 64-bit word of
 ``W`` (a power of two, about :data:`WORD_KEYS` keys a word), so a run's filter is one aggregate and
-a probe one equi-join.  Only keys that the filter cannot rule out are compared with the key files,
-and only those of the days they fall on are read.  Each run appends its own filter; runs need not
-know each other.
+a probe one equi-join.  Only the files of the days that a delivery's keys fall on are read.  A
+delivery of few keys (by :data:`FEW`) asks the filter first, and only keys that it cannot rule out
+are compared with the key files; any other meets the keys themselves, in one aggregate.  Each run
+appends its own filter; runs need not know each other.
 
 The index is written after the rows.  A run that was lost in between, or a table that had no
 index, shows as a day whose numbers of rows and keys differ, and that day is indexed anew.
@@ -23,6 +24,7 @@ KEY = ["day", "ts", "key"]
 NO_DAY = "none"                     # rows without a timestamp
 WORD_KEYS = 6
 BITS = 4
+FEW = 8                             # stored keys for each delivered one from which the filter is asked first
 MOST_DAYS_LISTED = 4096             # days named in a scan's filter; beyond, the join alone prunes
 
 
@@ -61,8 +63,8 @@ class KeyIndex:
         """Index ``fresh`` (``KEY``; keys that are not in the index yet)."""
         n = fresh.groupBy("day").agg(F.count(F.lit(1)).alias("n"))
         words = F.expr(f"shiftleft(1L, cast(greatest(0D, ceil(log2(n / {WORD_KEYS}.0D))) AS int))")
-        # one row a day: broadcast by the planner
-        placed = cut_lineage(_placed(fresh.join(n.select("day", words.alias("words")), "day")), "index-keys")
+        # one row a day; the planner, not knowing it, would shuffle all keys by their day
+        placed = _placed(fresh.join(F.broadcast(n.select("day", words.alias("words"))), "day"))
         out = placed.hint("rebalance", F.col("day"), F.col("words"))
         (placed.groupBy("day", "words", "word").agg(F.bit_or("bits").alias("bits"))
          .hint("rebalance", F.col("day"), F.col("words")).sortWithinPartitions("day", "words", "word")
@@ -75,19 +77,31 @@ class KeyIndex:
         """Keys that the filters of their days cannot rule out, placed in each run size's words."""
         bloom = self._read("filter", "word bigint, bits bigint", days)
         sizes = bloom.select("day", "words").distinct()             # a few powers of two a day
-        probe = _placed(keys.select(*KEY).join(sizes, "day")).withColumnRenamed("bits", "mask")
+        probe = _placed(keys.select(*KEY).join(F.broadcast(sizes), "day")).withColumnRenamed("bits", "mask")
         same = [probe[c] == bloom[c] for c in ("day", "words", "word")]
         return probe.join(bloom, [*same, probe["mask"].bitwiseAND(bloom["bits"]) == probe["mask"]], "left_semi").drop("mask")
 
     def known(self, keys: DataFrame) -> DataFrame:
         """Those of ``keys`` (``KEY``) that are indexed, exactly."""
+        return self.marked(keys.select(*KEY, F.lit(1).cast("long").alias("n"))).where("known").select(*KEY).distinct()
+
+    def marked(self, batch: DataFrame) -> DataFrame:
+        """``batch`` (``KEY``, ``n`` long: how often it came; of a repeated key the sum may be returned) with
+        ``known``: true for keys that are indexed, exactly, else NULL.  ``batch`` is read more than once."""
         stored = self._days()
-        asked = [r["day"] for r in keys.select("day").distinct().limit(MOST_DAYS_LISTED + 1).collect()]
+        asked = [r["day"] for r in batch.select("day").distinct().limit(MOST_DAYS_LISTED + 1).collect()]
         days = sorted(stored.intersection(asked)) if len(asked) <= MOST_DAYS_LISTED else None
+        none = F.lit(None).cast("boolean").alias("known")
         if not stored or days == []:
-            return keys.select(*KEY).limit(0)
-        maybe = cut_lineage(self.maybe_known(keys, days), "index-maybe")
-        return maybe.join(self.keys(days), [*KEY, "words", "word"], "left_semi").select(*KEY).distinct()
+            return batch.select(*KEY, "n", none)
+        held = self.keys(days)
+        if batch.count() * FEW < held.count():
+            maybe = cut_lineage(self.maybe_known(batch, days), "index-maybe")
+            seen = held.join(maybe, [*KEY, "words", "word"], "left_semi").select(*KEY).distinct()
+            return batch.select(*KEY, "n").join(seen.withColumn("known", F.lit(True)), KEY, "left")
+        both = batch.select(*KEY, "n", none).unionByName(
+            held.select(*KEY, F.lit(0).cast("long").alias("n"), F.lit(True).alias("known")))
+        return both.groupBy(*KEY).agg(F.sum("n").alias("n"), F.bool_or("known").alias("known")).where("n > 0")
 
     def heal(self, rows: DataFrame, days: DataFrame) -> list[str]:
         """Index anew the days (column ``day``) whose ``rows`` (``KEY`` of the stored table) and indexed

@@ -111,6 +111,44 @@ def test_a_first_delivery_is_not_shuffled_for_its_keys(spark, tmp_dir):
     assert I.read_status(spark, f"{tmp_dir}/table").count() == 100
 
 
+def test_a_delivery_with_known_and_repeated_keys_is_evaluated_twice(spark, tmp_dir):
+    """Once for its keys and once for its rows, whatever of it is known or comes again."""
+    root = f"{tmp_dir}/table"
+    I.ingest(env_rows(spark, DELIVERY[:4]), None, root)
+    seen = spark.sparkContext.accumulator(0)
+
+    def named(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    more = env_rows(spark, [*DELIVERY, row(20, 1), row(21, 2), row(21, 2)])
+    # (variants do not pass Arrow: the ids do)
+    ids = more.select("XEventStartOffsetInBytes", F.monotonically_increasing_id().alias("i"), "UUID", "Name", "Timestamp")
+    passed = ids.mapInArrow(named, ids.schema).select(
+        "UUID", "Name", "Timestamp", "XEventStartOffsetInBytes", F.lit(1).cast("long").alias("XEventEndOffsetInBytes"),
+        F.lit(1).cast("long").alias("XEventSizeInBytes"), F.parse_json(F.lit("{}")).alias("Actions"), F.parse_json(F.lit("{}")).alias("Fields"))
+    I.ingest(passed, None, root)
+    assert seen.value == 2 * more.count()
+    got = stored(spark, root)
+    assert len(got) == len(set(x[1:4] for x in got)) == 11
+
+
+def test_few_and_many_keys_are_marked_alike(spark, tmp_dir):
+    """A delivery of few keys asks the filter first, one of many meets the keys themselves."""
+    index = KeyIndex(spark, f"{tmp_dir}/index")
+    have = [(f"2024-01-{1 + i % 3:02d}", i, f"k{i}") for i in range(400)]
+    index.add(spark.createDataFrame(have[:300], KEY))
+    index.add(spark.createDataFrame(have[300:], KEY))
+    asked = [*have[:20], *have[390:], *[(d, t, f"{k}x") for d, t, k in have[:10]], ("2024-02-01", 1, "k1")]
+    for keys in (asked, asked + [(d, t, f"{k}y") for d, t, k in have]):
+        batch = spark.createDataFrame([(*k, 1 + k[1] % 2) for k in keys], "day string, ts bigint, key string, n bigint")
+        got = index.marked(batch).collect()
+        assert sorted(tuple(r[c] for c in (*KEY, "n")) for r in got) == sorted((*k, 1 + k[1] % 2) for k in keys)
+        assert {tuple(r[c] for c in KEY) for r in got if r["known"]} == set(keys) & set(have)
+        assert {r["known"] for r in got} == {True, None}
+
+
 # --- dead letters come back (T7) ---------------------------------------------------------------------
 
 def restored(dead):
